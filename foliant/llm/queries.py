@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions.labels import language_name, source_name, subject_name
-from foliant.llm import encoding, language, leak, mix, neighbours, split, tokens
+from foliant.llm import encoding, language, leak, mix, neighbours, scans, split, tokens
 from foliant.session import cut, table
 
 MODEL, DIMENSIONS = "shelf-embed-v2", 64
@@ -61,6 +61,25 @@ def p5_page_tokens(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings_pages").select("id", "document_id", tokens.token_count(F.col("raw_text")).alias("estimated_tokens"))
 
 
+def _scan_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    pages = table(spark, d, "embeddings_pages").select("id", "document_id", "page_number", F.col("raw_text").alias("text"), "metadata")
+    states = table(spark, d, "embeddings_documents")
+    books = states.select(F.col("id").alias("document_id"), F.explode(F.array_distinct(F.array("title", "book_title"))).alias("title")).distinct()
+    rows = table(spark, d, "embeddings_book_chapters")
+    chapters = rows.select("document_id", F.explode(F.array("chapter_title", "unit_title", "section_title", "lesson_title")).alias("title"), F.col("pdf_start_page").alias("start_page")).distinct()
+    return pages, books, chapters
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pages, books, chapters = _scan_tables(spark, d)
+    return scans.find_noise(pages, books, chapters, cut(scans.vocabulary(pages)))
+
+
+def p6_mended(spark: SparkSession, d: str) -> DataFrame:
+    pages, books, chapters = _scan_tables(spark, d)
+    return scans.mended_pages(pages, books, chapters, cut(scans.vocabulary(pages)))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return language.wrong_labels(table(spark, d, "embeddings_pages"), "id", "raw_text", "detected_language")
 
@@ -101,5 +120,5 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_documents(table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_neighbours, p5_token_budget, p5_page_tokens, p7_found, p7_page_languages, p8_found, p8_report, p9_mixture, p9_shares, p10_found, p10_pieces)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_neighbours, p5_token_budget, p5_page_tokens, p6_found, p6_mended, p7_found, p7_page_languages, p8_found, p8_report, p9_mixture, p9_shares, p10_found, p10_pieces)}
 SQL = {"p2_neighbours": P2_NEIGHBOURS}
