@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -38,15 +41,41 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = os.path.join(tempfile.gettempdir(), "foliant-checkpoints")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        sc.setCheckpointDir(shared)
     return shared
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a table written to the shared folder: compressed columns, readable after any executor is lost.
+
+    The table is deleted when the Python process ends; drop_written() does so earlier, once no result needs it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/foliant-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    if not _written:
+        atexit.register(_drop_at_exit)
+    _written.append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def drop_written() -> None:
+    """Delete the tables that cut() wrote in this process."""
+    while _written:
+        spark, path = _written.pop()
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def _drop_at_exit() -> None:
+    try:
+        drop_written()
+    except Exception:  # the context was stopped before
+        for _, path in _written:
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(path.removeprefix("file://"), ignore_errors=True)
 
 
 def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
