@@ -12,6 +12,7 @@ import unicodedata
 from dataclasses import dataclass
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,8 +38,11 @@ LONGEST_WORD = 40
 #: Characters of a line that may be a running head.
 LONGEST_HEAD = 160
 
-TOKEN = r"[\p{L}\p{M}\p{Nd}@]+(?:-[\p{L}\p{M}\p{Nd}@]+)*"
-BREAK = r"([\p{L}\p{M}\p{Nd}@]+(?:-[\p{L}\p{M}\p{Nd}@]+)*)[-‐‑­¬][ \t ]*\r?\n[ \t ]*([\p{L}\p{M}][\p{L}\p{M}\p{Nd}@]*(?:-[\p{L}\p{M}\p{Nd}@]+)*)"
+#: Letters, marks, digits and @; the usual ranges stand first, as classes of properties are slow.
+W = r"a-z0-9@\u0900-\u0963\u0966-\u097f\p{L}\p{M}\p{Nd}"
+#: Everything else up to U+3100 that isn't a letter, mark, digit or @, but the hyphen: to be blanked by translate(), which is much faster than a pattern.
+SIGNS = "".join(chr(c) for c in range(0x3100) if unicodedata.category(chr(c))[0] in "PSZC" and chr(c) not in "@-" or c < 32)
+MARKS = "-‐‑\xad¬"
 
 # Words before a page number, and before the number of a heading.
 PAGE_WORDS = "page|pg|p|prishth|panna|pan|पृष्ठ|पान|पेज"
@@ -46,15 +50,16 @@ HEADING_WORDS = "chapter|unit|lesson|section|part|adhyay|ikai|paath|prakaran|अ
 
 _UNUSUAL = re.compile(f"[^{USUAL}]")
 _NUMBER = r"[0-9०-९lIoOS]{1,4}|[ivxlcIVXLC1]{1,7}"
-_ALONE = re.compile(rf"^[\W_]*(?:(?i:{PAGE_WORDS})\b[\W_]*)?(?P<n>{_NUMBER})[\W_]*$")
-_BEFORE = re.compile(rf"^[\W_]*(?P<n>{_NUMBER})(?:\s+|\s*[|–—-]\s*)(?P<rest>\S.*)$")
-_AFTER = re.compile(rf"^(?P<rest>.*\S)(?:\s+|\s*[|–—-]\s*)(?P<n>{_NUMBER})[\W_]*$")
+_IS_NUMBER = re.compile(_NUMBER)
+_AROUND = " \t\xa0-‐‑–—_|[](){}<>.,:;•·*~«»=+/\\"  # what stands around a page number
+_IS_PAGE_WORD = re.compile(f"(?i:{PAGE_WORDS})")
 _HEADING = re.compile(rf"^[\W_]*(?i:{HEADING_WORDS})\s+[0-9०-९ivxlIVXL]+\b[\s:.–—-]*(?P<rest>.*)$")
 _READ = str.maketrans("०१२३४५६७८९lIoOS", "012345678911005")
 
 
 _MARKS = "".join(sorted(chr(c) for c in range(0x300, 0xE00) if unicodedata.category(chr(c))[0] == "M"))
 _NO_LETTER = re.compile(rf"[^\w{_MARKS}]|[\d_]")
+_SIGN = re.compile("[@0159]")
 _SIGNS, _ALIKE = str.maketrans("@0159", "aolsg"), str.maketrans("cfbभषङृटवघय", "ethमपडुदबधथ", "ि")
 
 
@@ -63,10 +68,13 @@ def fold(text: str | None) -> str:
     s = text or ""
     if not s.isascii():
         s = unicodedata.normalize("NFC", s).replace("२", "र")
-    s = _NO_LETTER.sub("", s.lower().translate(_SIGNS))
+    s = s.lower()
+    if _SIGN.search(s):
+        s = s.translate(_SIGNS)
+    s = _NO_LETTER.sub("", s)
     for wrong, right in (("cl", "d"), ("rn", "m"), ("vv", "w"), ("ii", "u"), ("li", "h")):
         s = s.replace(wrong, right)
-    return s.translate(_ALIKE)
+    return s.replace("c", "e").replace("f", "t").replace("b", "h") if s.isascii() else s.translate(_ALIKE)
 
 
 def roman(text: str) -> int | None:
@@ -78,31 +86,27 @@ def roman(text: str) -> int | None:
     return sum(-v if v < w else v for v, w in zip(values, [*values[1:], 0], strict=True))
 
 
-def edge_lines(text: str | None) -> list[dict]:
-    """The two first and two last lines that aren't blank: place, arabic and roman number, the rest, whether it is a numbered heading."""
-    lines = [(i, x.strip()) for i, x in enumerate((text or "").replace("\r\n", "\n").replace("\r", "\n").split("\n")) if x.strip()]
-    ends = lines[:2] + [x for x in lines[-2:] if x not in lines[:2]]
-    out = []
-    for place, (i, line) in enumerate(ends):
-        if len(line) > LONGEST_HEAD:
-            continue
-        at = {"line": i, "top": place < 2 and len(lines) > 1, "number": None, "roman": None, "rest": "", "heading": False}
-        if m := _ALONE.match(line):
-            at |= _value(m["n"])
-        elif m := _HEADING.match(line):
-            at |= {"rest": fold(m["rest"]), "heading": True}
-        elif (m := _BEFORE.match(line)) or (m := _AFTER.match(line)):
-            at |= {"rest": fold(m["rest"])} | _value(m["n"])
-        else:
-            at["rest"] = fold(line)
-        parts = [fold(x) for x in re.split(r"\s[–|—]\s", line)] if not at["heading"] else []
-        if len(parts) == 2 and all(len(p) > 3 for p in parts):
-            at["parts"] = parts
-        if at["rest"] or at["number"] is not None or at["roman"] is not None:
-            if at["number"] is not None or at["roman"] is not None:
-                at["whole"] = fold(line)  # the number may belong to the title
-            out.append(at)
-    return out
+def read_edge(line: str) -> dict:
+    """What a line at the edge of a page holds: arabic and roman number, the rest folded, whether it is a numbered heading."""
+    at = {"number": None, "roman": None, "rest": "", "heading": False, "parts": None, "whole": None}
+    tokens = line.strip(_AROUND).split()
+    if not tokens:
+        return at
+    first, last = tokens[0].strip(_AROUND), tokens[-1].strip(_AROUND)
+    is_number = lambda t: len(t) <= 7 and _IS_NUMBER.fullmatch(t) is not None
+    if is_number(last) and (len(tokens) == 1 or len(tokens) == 2 and _IS_PAGE_WORD.fullmatch(first)):
+        return at | _value(last)
+    if len(first) <= 9 and (m := _HEADING.match(line)):
+        return at | {"rest": fold(m["rest"]), "heading": True}
+    for n, rest in ((first, tokens[1:]), (last, tokens[:-1])):
+        if is_number(n) and (title := fold(" ".join(rest))) and ((v := _value(n))["number"] is not None or v["roman"]):
+            at |= {"rest": title, "whole": fold(line)} | v  # the number may belong to the title
+            break
+    else:
+        at["rest"] = fold(line)
+    if any(c in line for c in "–|—") and len(parts := [fold(x) for x in re.split(r"\s[–|—]\s", line)]) == 2 and all(len(p) > 3 for p in parts):
+        at["parts"] = parts
+    return at
 
 
 def _value(n: str) -> dict:
@@ -111,17 +115,24 @@ def _value(n: str) -> dict:
     return {"number": int(arabic) if arabic.isdigit() and (has_digit or set(n) <= {"l", "I"}) else None, "roman": roman(n)}
 
 
-EDGE = T.ArrayType(
-    T.StructType(
-        [T.StructField("line", T.IntegerType()), T.StructField("top", T.BooleanType()), T.StructField("number", T.IntegerType()), T.StructField("roman", T.IntegerType()), T.StructField("rest", T.StringType()), T.StructField("heading", T.BooleanType()), T.StructField("parts", T.ArrayType(T.StringType())), T.StructField("whole", T.StringType())]
-    )
+EDGE = T.StructType(
+    [T.StructField("number", T.IntegerType()), T.StructField("roman", T.IntegerType()), T.StructField("rest", T.StringType()), T.StructField("heading", T.BooleanType()), T.StructField("parts", T.ArrayType(T.StringType())), T.StructField("whole", T.StringType())]
 )
 
 
 @F.pandas_udf(EDGE)
-def _edges(texts: pd.Series) -> pd.Series:
-    whole = [repair(t)[0] if t and _UNUSUAL.search(t) else t for t in texts]  # heads may be garbled too
-    return pd.Series([[{"parts": None, "whole": None, **e} for e in edge_lines(t)] for t in whole], dtype=object)
+def _edge_udf(lines: pd.Series) -> pd.DataFrame:
+    whole = [repair(t)[0] if _UNUSUAL.search(t) else t for t in lines]  # heads may be garbled too
+    return pd.DataFrame([read_edge(t.strip()) for t in whole], columns=EDGE.names).astype({"number": "Int32", "roman": "Int32"})
+
+
+def edge_lines(pages: DataFrame) -> DataFrame:
+    """(id, document_id, page_number, line, fields of EDGE) of the two first and two last lines that aren't blank. Cut out JVM-side: Python sees no page's text."""
+    solid = F.filter(F.transform(lines_of(F.col("text")), lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(" \t\xa0")).alias("t"))), lambda x: x["t"] != "")
+    n = F.size("s")
+    ends = F.when(n <= 4, F.col("s")).otherwise(F.concat(F.slice("s", 1, 2), F.slice("s", -2, 2)))
+    rows = pages.select("id", "document_id", "page_number", solid.alias("s")).select("id", "document_id", "page_number", F.explode(ends).alias("e")).where(F.length("e.t") <= LONGEST_HEAD)
+    return rows.select("id", "document_id", "page_number", "e.line", _edge_udf("e.t").alias("x")).select("id", "document_id", "page_number", "line", "x.*")
 
 
 @F.pandas_udf(T.StringType())
@@ -137,49 +148,67 @@ def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> DataF
     the distance from the page's place that most numbers of the book keep; a roman one, where the printed count has
     not begun. A title of a chapter on the page where it opens, or with its word and number before it, is its heading.
     """
-    edges = cut(pages.select("id", "document_id", "page_number", F.explode(_edges("text")).alias("e")).select("id", "document_id", "page_number", "e.*"))  # small, and read three times
-    titles = books.select("document_id", F.explode(F.array_distinct(F.array("title"))).alias("title"), F.lit(None).cast("int").alias("start_page"), F.lit(True).alias("book")).unionByName(chapters.select("document_id", "title", "start_page", F.lit(False).alias("book")))
+    edges = cut(edge_lines(pages))  # small, and read three times
+    of = lambda text: F.xxhash64("document_id", text)  # noqa: E731  # slim keys of a book's titles; 64 bits for a book's few lines
+    titles = books.select("document_id", "title", F.lit(None).cast("int").alias("start_page"), F.lit(True).alias("book")).unionByName(chapters.select("document_id", "title", "start_page", F.lit(False).alias("book")))
     titles = titles.where(F.trim("title") != "").withColumn("rest", _fold_udf("title")).where(F.length("rest") >= 3)
-    titles = titles.groupBy("document_id", "rest").agg(F.max("book").alias("book"), F.collect_set("start_page").alias("starts"))
-    named = edges.where(F.col("rest") != "").select("id", "document_id", "page_number", "line", "top", "heading", F.explode(F.concat(F.array(F.struct(F.col("rest"), F.lit(False).alias("part"))), F.when(F.col("whole").isNotNull(), F.array(F.struct(F.col("whole").alias("rest"), F.lit(False).alias("part")))).otherwise(F.expr("array()")), F.coalesce(F.transform("parts", lambda p: F.struct(p.alias("rest"), F.lit(True).alias("part"))), F.expr("array()")))).alias("t"))
-    named = named.select("id", "document_id", "page_number", "line", "top", "heading", "t.*").distinct().join(titles, ["document_id", "rest"])
+    titles = titles.groupBy(of("rest").alias("h")).agg(F.max("book").alias("book"), F.collect_set("start_page").alias("starts"))
+    forms = F.concat(F.array(F.struct(F.col("rest"), F.lit(False).alias("part"))), F.when(F.col("whole").isNotNull(), F.array(F.struct(F.col("whole").alias("rest"), F.lit(False).alias("part")))).otherwise(F.expr("array()")), F.coalesce(F.transform("parts", lambda p: F.struct(p.alias("rest"), F.lit(True).alias("part"))), F.expr("array()")))
+    named = edges.where(F.length("rest") >= 3).select("id", "document_id", "page_number", "line", "heading", F.explode(forms).alias("t")).where(F.length("t.rest") >= 3).select("id", "page_number", "line", "heading", F.col("t.part").alias("part"), of("t.rest").alias("h"))
+    named = cut(named.join(titles, "h"))
     # Where no start is known, a chapter opens on the first page that bears its title.
-    opens = named.groupBy("document_id", "rest").agg(F.min("page_number").alias("first"), F.min(F.when(F.col("heading"), F.col("page_number"))).alias("headed"), F.countDistinct("page_number").alias("on_pages"))
-    heads = named.join(opens, ["document_id", "rest"]).where(
-        ~F.col("heading")
-        & (F.col("part") | F.when(F.col("book") & (F.size("starts") == 0), (F.col("on_pages") > 1)).otherwise(~F.array_contains("starts", F.col("page_number")) & ((F.size("starts") > 0) | (F.coalesce("headed", "first") != F.col("page_number")))))
-    )
-    heads = heads.select("id", "line", F.lit("header").alias("noise")).distinct()
+    opens = named.groupBy("h").agg(F.min("page_number").alias("first"), F.min(F.when(F.col("heading"), F.col("page_number"))).alias("headed"), F.countDistinct("page_number").alias("on_pages"))
+    repeated = F.when(F.col("book") & (F.size("starts") == 0), F.col("on_pages") > 1).otherwise(~F.array_contains("starts", F.col("page_number")) & ((F.size("starts") > 0) | (F.coalesce("headed", "first") != F.col("page_number"))))
+    heads = named.join(opens, "h").where(~F.col("heading") & (F.col("part") | repeated)).select("id", "line", F.lit("header").alias("noise")).distinct()
 
     votes = edges.where(F.col("number").isNotNull()).groupBy("document_id", (F.col("page_number") - F.col("number")).alias("offset")).agg(F.countDistinct("page_number").alias("n"))
     printed = pages.select("document_id", (F.col("page_number") - F.get_json_object("metadata", "$.printed_page").try_cast("int")).alias("offset")).where(F.col("offset").isNotNull()).groupBy("document_id", "offset").agg(F.count(F.lit(1)).alias("n"))
     offsets = votes.unionByName(printed).groupBy("document_id", "offset").agg(F.sum("n").alias("n")).groupBy("document_id").agg(F.max_by("offset", F.struct("n", -F.abs("offset"))).alias("offset"), F.max("n").alias("n")).where("n >= 2")
     numbered = edges.where(F.col("number").isNotNull() | F.col("roman").isNotNull()).join(offsets, "document_id", "left")
     is_page = (F.col("number") == F.col("page_number") - F.col("offset")) | (F.col("roman").isNotNull() & (F.col("page_number") <= F.coalesce("offset", F.lit(0))) & (F.abs(F.col("roman") - F.col("page_number")) < 40))
-    numbers = numbered.where(is_page).select("id", "line", F.lit("page_number").alias("noise")).distinct()
+    numbers = numbered.where(is_page).select("id", "line", (F.col("rest") == "").alias("alone"), F.lit("page_number").alias("noise"))
+    # Beside anything but a title a number is part of the text.
+    beside = numbers.where("not alone").join(named.select("id", "line"), ["id", "line"], "left_semi")
+    numbers = numbers.where("alone").unionByName(beside).drop("alone").distinct()
     return heads.unionByName(numbers)
 
 
+def _blanked(text: Column, more: str = "") -> Column:
+    return F.translate(text, SIGNS + more, " " * len(SIGNS + more))
+
+
+def lines_of(text: Column) -> Column:
+    """The lines of a text; a CRLF counts as two ends, so that the numbers are those of a split by single characters."""
+    return F.split(F.translate(text, "\r", "\n"), "\n")
+
+
 def _joined(text: Column) -> Column:
     """A text whose words broken over lines are whole; marks at line ends go."""
-    return F.regexp_replace(text, r"(?<=[\p{L}\p{M}\p{Nd}@])[-‐‑­¬][ \t ]*\r?\n[ \t ]*(?=[\p{L}\p{M}])", "")
+    return F.regexp_replace(text, rf"[{MARKS}](?<=[{W}].)[ \t\xa0]*\r?\n[ \t\xa0]*(?=[{W}])", "")  # the mark first: few places have one
 
 
 def vocabulary(pages: DataFrame) -> DataFrame:
     """(word, n) of all words and hyphenated compounds of the pages, in lower case; the words of compounds count too."""
-    tokens = pages.select(F.explode(F.regexp_extract_all(F.lower(_joined(F.col("text"))), F.lit(TOKEN), F.lit(0))).alias("word"))
-    counts = tokens.where(F.col("word").rlike(r"[\p{L}@]")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    parts = counts.where(F.instr("word", "-") > 0).select(F.explode(F.split("word", "-")).alias("word"), "n")
+    tokens = pages.select(F.explode(F.split(_blanked(_joined(F.lower("text"))), " ")).alias("word")).where(F.col("word") != "")
+    raw = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = raw.groupBy(F.regexp_replace("word", "^-+|-+$", "").alias("word")).agg(F.sum("n").alias("n"))
+    counts = cut(counts.where(F.col("word").rlike(r"[\p{L}@]")))  # small, and read twice
+    parts = counts.where(F.instr("word", "-") > 0).select(F.explode(F.split("word", "-+")).alias("word"), "n")
     return counts.unionByName(parts).where(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+#: Values of characters are below this, so that no sum over LONGEST_WORD of them overflows.
+VALUES = 1 << 55
+
+
 def anagram(word: Column) -> Column:
-    """The sum of the fifth powers of the code points."""
-    return F.aggregate(F.transform(F.split(word, ""), lambda c: F.ascii(c).cast("bigint")), F.lit(0).cast("bigint"), lambda a, x: a + x * x * x * x * x)
+    """The sum of the values of the characters: the same for all orders of them."""
+    return F.aggregate(F.transform(F.split(word, ""), lambda c: F.pmod(F.xxhash64(c), F.lit(VALUES))), F.lit(0).cast("bigint"), lambda a, x: a + x)
 
 
 def _value_of(group: str) -> int:
-    return sum(ord(c) ** 5 for c in group)
+    """anagram() of a group of characters."""
+    return sum(xxhash.xxh64_intdigest(c.encode(), seed=42) % VALUES for c in group)
 
 
 def corrections(words: DataFrame) -> DataFrame:
@@ -228,8 +257,12 @@ def broken_words(pages: DataFrame, words: DataFrame) -> DataFrame:
     A compound is known by its hyphenated form within lines, more frequent than the form without; forms count as
     folded, so that misread ones count with the right ones. Where neither is known, the mark is taken for a break.
     """
-    text = F.lower(F.col("text"))
-    found = pages.select("id", F.explode(F.arrays_zip(F.regexp_extract_all(text, F.lit(BREAK), F.lit(1)).alias("left"), F.regexp_extract_all(text, F.lit(BREAK), F.lit(2)).alias("right"))).alias("b")).select("id", "b.left", "b.right")
+    lines = F.split(F.regexp_replace(F.lower("text"), "\r", ""), "\n")
+    ends = F.transform("l", lambda x: F.right(F.btrim(x, F.lit(" \t\xa0")), F.lit(1)).isin(*MARKS))
+    rows = pages.where(F.col("text").rlike(rf"[{MARKS}][ \t\xa0]*\r?\n")).select("id", lines.alias("l")).select("id", "l", ends.alias("e")).where(F.exists("e", lambda x: x))
+    at = F.filter(F.sequence(F.lit(0), F.size("l") - 1), lambda i: F.col("e")[i] & (i < F.size("l") - 1))
+    pair = F.transform(at, lambda i: F.struct(F.regexp_extract(F.col("l")[i], rf"([{W}]+(?:-[{W}]+)*)[{MARKS}][ \t\xa0]*$", 1).alias("left"), F.regexp_extract(F.col("l")[i + 1], rf"^[ \t\xa0]*([\p{{L}}\p{{M}}][{W}]*(?:-[{W}]+)*)", 1).alias("right")))
+    found = cut(rows.select("id", F.explode(pair).alias("b")).select("id", "b.left", "b.right").where("left <> '' and right <> ''"))  # slim, and read twice
     keys = found.select("left", "right").distinct().withColumn("joined", folded(F.concat("left", "right"))).withColumn("compound", folded(F.concat_ws("-", "left", "right")))
     forms = words.groupBy(folded(F.col("word")).alias("form")).agg(F.sum("n").alias("n"))
     keys = keys.join(forms.select(F.col("form").alias("joined"), F.col("n").alias("whole")), "joined", "left").join(forms.select(F.col("form").alias("compound"), F.col("n").alias("parted")), "compound", "left")
@@ -239,15 +272,15 @@ def broken_words(pages: DataFrame, words: DataFrame) -> DataFrame:
 
 def misread_words(pages: DataFrame, wrong: DataFrame) -> DataFrame:
     """(id, line, word, right) of each misread word of the pages; a word broken over lines is in its first line."""
-    lines = pages.select("id", F.posexplode(F.split(_joined_keeping_lines(F.lower("text")), "\r\n|\r|\n")).alias("line", "t"))
-    tokens = lines.where(F.length("t") > 0).select("id", "line", F.explode(F.regexp_extract_all("t", F.lit(r"[\p{L}\p{M}\p{Nd}@]+"), F.lit(0))).alias("word"))
+    lines = pages.select("id", F.posexplode(lines_of(_joined_keeping_lines(F.lower("text")))).alias("line", "t"))
+    tokens = lines.where(F.length("t") > 2).select("id", "line", F.explode(F.split(_blanked(F.col("t"), "-"), " ")).alias("word")).where(F.length("word") > 2)
     few = wrong.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
     return tokens.join(F.broadcast(wrong) if few else wrong, "word")
 
 
 def _joined_keeping_lines(text: Column) -> Column:
     """As _joined, with a line break after the word, so that the lines keep their numbers."""
-    return F.regexp_replace(text, r"(?<=[\p{L}\p{M}\p{Nd}@])[-‐‑­¬][ \t ]*(\r?\n)[ \t ]*([\p{L}\p{M}\p{Nd}@]+)", "$2$1")
+    return F.regexp_replace(text, rf"[{MARKS}](?<=[{W}].)[ \t\xa0]*(\r?\n)[ \t\xa0]*([{W}]+)", "$2$1")
 
 
 def trusted(misread: DataFrame) -> DataFrame:
@@ -275,7 +308,10 @@ def look(pages: DataFrame, books: DataFrame, chapters: DataFrame, words: DataFra
     rows = pages.where(F.length("text") > 0)
     words = vocabulary(rows) if words is None else words
     lines = page_edges(rows, books, chapters)
-    misread = misread_words(rows, corrections(words)).join(lines.select("id", "line").distinct(), ["id", "line"], "left_anti")
+    lines = cut(lines)
+    # The joins read the texts once; what they find is small and read several times.
+    # Cut before the anti-join, which Catalyst would otherwise push below the split into lines and shuffle the texts for.
+    misread = cut(misread_words(rows, cut(corrections(words)))).join(lines.select("id", "line"), ["id", "line"], "left_anti")
     return Noise(lines, trusted(misread), broken_words(rows, words))
 
 
@@ -297,8 +333,13 @@ def mend(text: str, drop: set[int], right: dict[str, str], whole: set[tuple[str,
 
     A blank line ends a paragraph, and so does a line much shorter than the page's usual one that ends a sentence.
     """
-    lines = text.replace("\r\n", "\n").replace("\r", "\n").split("\n")
-    kept = "\n".join(x.rstrip() for i, x in enumerate(lines) if i not in drop)
+    kept, at = [], 0
+    for x in re.split("(\r\n|\r|\n)", text):
+        if x in ("\r\n", "\r", "\n"):
+            at += len(x)  # as lines_of() counts
+        elif at not in drop:
+            kept.append(x.rstrip())
+    kept = "\n".join(kept)
 
     def join(m: re.Match) -> str:
         left, end = m["left"], m["end"]
