@@ -17,7 +17,7 @@ WESTERN = ["cp1252", "latin-1", "cp1254", "iso8859_15"]
 #: Layers of wrong decoding that are peeled off at most.
 LAYERS = 6
 #: Characters that need no look: ASCII, Devanagari, and signs that no garbled sequence consists of alone.
-USUAL = r"\x00-\x7fऀ-ॿ‐–—‘’“”…×÷­‌‍"
+USUAL = r"\x00-\x7fऀ-ॿ‐–—‘’“”…×÷\xad\u200c\u200d"
 
 _UTF8 = re.compile(
     "(?:[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2})+"
@@ -49,24 +49,23 @@ def _lead_test(encoding: str) -> re.Pattern:
 
 @functools.cache
 def _weights() -> np.ndarray:
-    w = np.full(0x10000, 2, dtype=np.uint8)
+    w = np.full(0x10000, 4, dtype=np.uint8)
     w[:0x80] = 0
-    w[0x80:0xA0] = 2
-    w[0xA0:0x250] = 1
-    w[0x370:0x530] = 1
+    w[0xA0:0x100] = 2
+    w[0x100:0x250] = 3
+    w[0x370:0x400] = 2
     w[0x900:0x980] = 0
-    w[0x1E00:0x2000] = 1
+    w[0x1E00:0x2000] = 3
     w[0x2000:0x2070] = 0
-    w[0x2070:0x2800] = 1
-    w[[0x20AC, 0x2122]] = 1
-    w[[ord(c) for c in " °±²³¹¼½¾×÷·«»§©®µ"]] = 0
-    w[[0xC2, 0xC3]] = 2
-    w[[0x201A, 0x201E, 0x2020, 0x2021, 0x2030, 0x2039, 0x203A]] = 1
+    w[[ord(c) for c in "×÷"]] = 0
+    w[[ord(c) for c in "\xa0°±²³¹¼½¾·«»§©®µ"]] = 1
+    w[[ord(c) for c in "€™‚„†‡‰‹›"]] = 2
+    w[[ord(c) for c in "ÂÃ"]] = 4
     return w
 
 
 def garbling_cost(text: str) -> int:
-    """How unlikely the characters of a text are: 0 for usual ones, 1 for letters and signs that garbling yields, 2 for others."""
+    """How unlikely the characters of a text are: 0 for usual ones, 1 to 3 for letters and signs that garbling yields, 4 for others."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     w = _weights()
     return int(w[np.minimum(codes, 0xFFFF)].sum(dtype=np.int64))
