@@ -34,7 +34,7 @@ def rotation(d: int, seed: int = SEED) -> np.ndarray:
 
 def encode(x: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(packed signs, correction scalars) of unit rows: uint8 (n, d / 8) and float32 (n)."""
-    y = x @ turn
+    y = x.astype(np.float32) @ turn
     return np.packbits(y > 0, axis=1, bitorder="little"), (np.abs(y).sum(axis=1) / np.sqrt(y.shape[1])).astype(np.float32)
 
 
@@ -48,7 +48,7 @@ class Queries:
 
     def __init__(self, q: np.ndarray, turn: np.ndarray):
         self.exact, self.d = q, q.shape[1]
-        y = q @ turn
+        y = q.astype(np.float32) @ turn
         self.low = y.min(axis=1, keepdims=True)
         self.step = np.maximum((y.max(axis=1, keepdims=True) - self.low) / (2**QUERY_BITS - 1), 1e-12)
         level = np.floor((y - self.low) / self.step + np.random.default_rng(SEED).random(y.shape)).clip(0, 2**QUERY_BITS - 1).astype(np.uint8)
@@ -94,7 +94,7 @@ def current_vectors(df: DataFrame, key: str, vector: str, d: int, model: tuple[s
 def _matrix(vectors: pd.Series) -> np.ndarray:
     x = np.stack(vectors.to_numpy()).astype(np.float64)
     x /= np.abs(x).max(axis=1, keepdims=True)  # first, so that squares neither overflow nor vanish
-    return (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
 def _exact(a: np.ndarray, b: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -102,7 +102,7 @@ def _exact(a: np.ndarray, b: np.ndarray, rows: np.ndarray, at: np.ndarray) -> np
     out = np.empty(len(rows))
     for i in range(0, len(rows), 1 << 15):
         j = slice(i, i + (1 << 15))
-        out[j] = np.einsum("ij,ij->i", a[rows[j]].astype(np.float64), b[at[j]].astype(np.float64))
+        out[j] = np.einsum("ij,ij->i", a[rows[j]], b[at[j]])
     return out
 
 
@@ -114,7 +114,7 @@ def _block(q: Queries, ids: np.ndarray, query_ids: list, x: np.ndarray, codes: n
         # The best by estimate, compared exactly, bound the k-th best of all from below.
         near = np.argpartition(estimate, len(ids) - k - 1, axis=1)[:, -k - 1 :]  # k + 1: the query may be among the rows
         rows, at = np.repeat(np.arange(len(query_ids)), k + 1), near.ravel()
-        floor = np.maximum(floor, _exact(q.exact, x, rows, at).reshape(near.shape).min(axis=1) - 1e-5)
+        floor = np.maximum(floor, _exact(q.exact, x, rows, at).reshape(near.shape).min(axis=1) - 1e-6)
     at_q, at_x = np.nonzero(upper >= floor[:, None])
     exact = _exact(q.exact, x, at_q, at_x)
     edges = np.searchsorted(at_q, np.arange(len(query_ids) + 1))
@@ -129,7 +129,7 @@ def _block(q: Queries, ids: np.ndarray, query_ids: list, x: np.ndarray, codes: n
             s, own = s[s >= cut], own[s >= cut]  # ties at the end stay, until the order of the keys decides
         order = np.lexsort((own.astype(str), -s))[:k]
         if len(order) == k:
-            floor[n] = max(floor[n], s[order[-1]] - 1e-5)
+            floor[n] = max(floor[n], s[order[-1]] - 1e-6)
         for j in order:
             yield n, own[j], float(s[j])
 
@@ -150,7 +150,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, d: int, eps: float = E
     out = None
     for block in range(n_blocks):
         own = (asked if n_blocks == 1 else asked.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block)).toPandas()
-        sent = spark.sparkContext.broadcast((own["id"].tolist(), _matrix(own["v"]) if len(own) else np.zeros((0, d), dtype=np.float32)))
+        sent = spark.sparkContext.broadcast((own["id"].tolist(), _matrix(own["v"]) if len(own) else np.zeros((0, d))))
 
         def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             query_ids, matrix = sent.value
@@ -170,7 +170,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int, d: int, eps: float = E
                         if len(rows) > k:
                             rows.sort()
                             del rows[k:]
-                            floor[n] = max(floor[n], -rows[-1][0] - 1e-5)
+                            floor[n] = max(floor[n], -rows[-1][0] - 1e-6)
             yield pd.DataFrame([(query_ids[n], i, -s) for n, rows in enumerate(best) for s, i in rows], columns=["query_id", "id", "similarity"])
 
         found = vectors.select("id", "v").mapInPandas(scan, f"query_id {kind}, id {kind}, similarity double")
