@@ -80,7 +80,7 @@ def _units(body: list[str], is_page, is_roman, digits) -> list[dict]:
                 out.append({"unit_number": unit[0], "unit_title": unit[1], "section_number": str(n), "section_title": title, "printed_start_page": page, "structure_type": "section", "detected_by": "toc_units", "confidence": 0.82})
             held = []
         elif re.search("[A-Za-z]", row) and len(row) <= 140:
-            held = [*held, row][-3:]
+            held = [*held, line if held else row][-3:]  # a title may go on in small letters
     return out if len(out) >= 3 else []
 
 
