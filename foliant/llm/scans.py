@@ -189,9 +189,9 @@ def _joined(text: Column) -> Column:
 
 def vocabulary(pages: DataFrame) -> DataFrame:
     """(word, n) of all words and hyphenated compounds of the pages, in lower case; the words of compounds count too."""
-    tokens = pages.select(F.explode(F.split(_blanked(_joined(F.lower("text"))), " ")).alias("word")).where(F.col("word") != "")
+    tokens = pages.select(F.explode(F.split(_blanked(_joined(F.col("text"))), " ")).alias("word")).where(F.col("word") != "")
     raw = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = raw.groupBy(F.regexp_replace("word", "^-+|-+$", "").alias("word")).agg(F.sum("n").alias("n"))
+    counts = raw.groupBy(F.lower(F.regexp_replace("word", "^-+|-+$", "")).alias("word")).agg(F.sum("n").alias("n"))
     counts = cut(counts.where(F.col("word").rlike(r"[\p{L}@]")))  # small, and read twice
     parts = counts.where(F.instr("word", "-") > 0).select(F.explode(F.split("word", "-+")).alias("word"), "n")
     return counts.unionByName(parts).where(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n"))
@@ -272,10 +272,12 @@ def broken_words(pages: DataFrame, words: DataFrame) -> DataFrame:
 
 def misread_words(pages: DataFrame, wrong: DataFrame) -> DataFrame:
     """(id, line, word, right) of each misread word of the pages; a word broken over lines is in its first line."""
-    lines = pages.select("id", F.posexplode(lines_of(_joined_keeping_lines(F.lower("text")))).alias("line", "t"))
+    lines = pages.select("id", F.posexplode(lines_of(_joined_keeping_lines(F.col("text")))).alias("line", "t"))
     tokens = lines.where(F.length("t") > 2).select("id", "line", F.explode(F.split(_blanked(F.col("t"), "-"), " ")).alias("word")).where(F.length("word") > 2)
+    # The few wrong words take on the texts' cases, not the texts the words'.
+    cased = wrong.select(F.explode(F.array_distinct(F.array("word", F.initcap("word"), F.upper("word")))).alias("raw"), F.col("word").alias("low"), "right")
     few = wrong.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    return tokens.join(F.broadcast(wrong) if few else wrong, "word")
+    return tokens.join(F.broadcast(cased) if few else cased, F.col("word") == F.col("raw")).select("id", "line", F.col("low").alias("word"), "right")
 
 
 def _joined_keeping_lines(text: Column) -> Column:
