@@ -17,6 +17,8 @@ MAX_CELLS = 200_000
 #: Bins of the sampling order, by source; only documents of one bin are ranked one by one.
 BINS = 1 << 14
 ROUNDS = 200
+#: Documents of a source, the next in order, among which those are sought that fit the room left.
+FILL = 200
 
 
 @dataclass
@@ -73,21 +75,36 @@ def _fit(weight: np.ndarray, tokens: np.ndarray, cap: np.ndarray, aim: float, ex
     return weight
 
 
+def fill(rows: list[tuple[int, int]], room: float) -> list[int]:
+    """The ids of rows (id, tokens) that fill the room best: the first alone, or those that fit, in order, with the one nearest to what they leave."""
+    taken, left = [], room
+    for i, n in rows:
+        if n <= left:
+            taken.append(i)
+            left -= n
+    rest = [(abs(left - n), i) for i, n in rows if i not in taken]
+    if rest and min(rest)[0] < left:
+        left, last = min(rest)
+        taken.append(last)
+    return [rows[0][0]] if rows and abs(room - rows[0][1]) < left else taken
+
+
 def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None = None) -> DataFrame:
     """(key, source, language, topic, tokens, expected_copies, copies) of the documents in the mixture.
 
     docs has key, source, language, topic, tokens; targets has source, target_share, max_repeats. Each document is
     taken floor(w) times and once more with the probability of the rest: the documents of a source are ordered by
-    u / p, u a hash of the key, and taken until the source has its tokens, to the nearest document. Documents without
+    u / p, u a hash of the key, and taken until the next would give the source more than its tokens; what is then left is filled by fill(). Documents without
     tokens, of no key or of sources without a target are not taken; repeated keys are documents of their own. Language
-    and topic shares are those of all of docs. Only cell totals, at most MAX_CELLS, and bin totals go to the driver.
+    and topic shares are those of all of docs. Only cell totals, at most MAX_CELLS, bin totals and
+    FILL rows a source go to the driver.
     """
     kind = docs.schema[key].dataType.simpleString()
     rows = docs.where(F.col(f"`{key}`").isNotNull() & (F.col("tokens") > 0)).select(
         F.col(f"`{key}`").alias("k"), source_name(F.col("source")).alias("source"), F.coalesce("language", F.lit("unknown")).alias("language"), F.coalesce("topic", F.lit("unknown")).alias("topic"), F.col("tokens").cast("bigint").alias("tokens")
     )
     wanted = {r.source: r for r in targets.where("target_share is not null").groupBy(source_name(F.col("source")).alias("source")).agg(F.max("target_share").alias("share"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("most")).limit(MAX_CELLS).toLocalIterator()}
-    rows = cut(rows)  # the token counts are made once
+    rows = cut(rows.withColumn("rid", F.monotonically_increasing_id()))  # the token counts are made once
     cells = rows.groupBy("source", "language", "topic").agg(F.sum("tokens").alias("tokens")).limit(MAX_CELLS + 1).toPandas()
     if len(cells) > MAX_CELLS:
         raise ValueError(f"more than {MAX_CELLS} cells of source, language and topic; bring labels together first")
@@ -102,7 +119,7 @@ def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None =
         rows.join(F.broadcast(weights), ["source", "language", "topic"])
         .withColumn("base", F.floor(F.col("weight") + 1e-9).cast("int"))
         .withColumn("p", F.greatest(F.lit(0.0), F.col("weight") - F.col("base")))
-        # Repeated keys get the same place in the order; the nearest-document rule below decides among them.
+        # Repeated keys get the same place in the order; the number of the row decides among them.
         .withColumn("q", F.when(F.col("p") > 1e-9, (F.pmod(F.xxhash64("k"), F.lit(1 << 40)) / (1 << 40)) / F.col("p")))
         # Documents with q below 1 are the expected ones; bins beyond serve where fewer than expected came.
         .withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.when(F.col("q") < 2, F.col("q") / 2 * (BINS - 1024)).otherwise(BINS - 1024 + F.log2("q") * 16))).cast("int"))
@@ -118,11 +135,26 @@ def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None =
     at = spark.createDataFrame(edges, "source string, edge int, room double")
     placed = drawn.join(F.broadcast(at), "source")
     # Only the documents of the edge bin are ranked.
-    inside = placed.where((F.col("bin") == F.col("edge"))).withColumn("upto", F.sum("tokens").over(Window.partitionBy("source").orderBy("q", "k").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    inside = inside.withColumn("extra", (F.col("upto") - F.col("tokens") / 2 <= F.col("room")).cast("int"))
+    inside = placed.where(F.col("bin") == F.col("edge")).withColumn("upto", F.sum("tokens").over(Window.partitionBy("source").orderBy("q", "rid").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    inside = inside.withColumn("extra", (F.col("upto") <= F.col("room")).cast("int"))
     others = placed.where(F.col("bin").isNull() | (F.col("bin") != F.col("edge"))).withColumn("extra", F.coalesce((F.col("bin") < F.col("edge")).cast("int"), F.lit(0)))
+    chosen = inside.drop("upto").unionByName(others)
+    # What room is left is filled from the next documents that fit, so that a long one at the edge doesn't spoil a share.
+    filled = {r.source: r.t for r in inside.where("extra = 1").groupBy("source").agg(F.max("upto").alias("t")).toLocalIterator()}
+    left = {source: room - filled.get(source, 0) for source, edge, room in edges if edge < BINS}
+    more: list[int] = []
+    if left:
+        room = spark.createDataFrame(list(left.items()), "source string, left double")
+        next_ones = chosen.where("extra = 0 and q is not null").join(F.broadcast(room), "source").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("q", "rid"))).where(F.col("n") <= FILL)
+        by_source: dict[str, list] = {}
+        for r in next_ones.select("source", "rid", "tokens", "n").orderBy("source", "n").collect():
+            by_source.setdefault(r.source, []).append((r.rid, r.tokens))
+        for source, rows_ in by_source.items():
+            more += fill(rows_, left[source])
+    also = spark.createDataFrame([(i,) for i in more], "rid bigint").withColumn("also", F.lit(1))
+    chosen = chosen.join(F.broadcast(also), "rid", "left").withColumn("extra", F.greatest("extra", F.coalesce("also", F.lit(0))))
     columns = [F.col("k").alias(key), "source", "language", "topic", "tokens", F.col("weight").alias("expected_copies"), (F.col("base") + F.col("extra")).alias("copies")]
-    return inside.select(*columns).unionByName(others.select(*columns)).where(F.col("copies") > 0)
+    return chosen.select(*columns).where(F.col("copies") > 0)
 
 
 def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:

@@ -66,3 +66,8 @@ def test_dirt(spark):
     assert mix.mixture(docs.limit(0), "doc_id", targets).count() == 0
     assert mix.mixture(docs, "doc_id", targets.limit(0)).count() == 0
     assert mix.shares(mix.mixture(docs.limit(0), "doc_id", targets), targets).count() == 2
+
+
+@pytest.mark.parametrize("rows, room, want", [([(1, 50), (2, 30), (3, 20)], 55, [1]), ([(1, 90), (2, 30), (3, 20)], 55, [2, 3]), ([(1, 90), (2, 30)], 85, [1]), ([(1, 95), (2, 30), (3, 57)], 85, [2, 3]), ([(1, 60)], 55, [1]), ([(1, 200)], 55, []), ([], 9, [])])
+def test_fill(rows, room, want):
+    assert mix.fill(rows, room) == want
