@@ -49,8 +49,9 @@ PAGE_WORDS = "page|pg|p|prishth|panna|pan|पृष्ठ|पान|पेज"
 HEADING_WORDS = "chapter|unit|lesson|section|part|adhyay|ikai|paath|prakaran|अध्याय|इकाई|पाठ|प्रकरण|घटक|धडा|भाग|विभाग"
 
 _UNUSUAL = re.compile(f"[^{USUAL}]")
-_NUMBER = r"[0-9०-९lIoOS]{1,4}|[ivxlcIVXLC1]{1,7}"
+_NUMBER = r"[0-9०-९lIoOS]{1,10}|[ivxlcIVXLC1]{1,7}"
 _IS_NUMBER = re.compile(_NUMBER)
+LONGEST_NUMBER, LARGEST_NUMBER = 10, 2**31 - 1  # what the page_number column can hold
 _AROUND = " \t\xa0-‐‑–—_|[](){}<>.,:;•·*~«»=+/\\"  # what stands around a page number
 _IS_PAGE_WORD = re.compile(f"(?i:{PAGE_WORDS})")
 _HEADING = re.compile(rf"^[\W_]*(?i:{HEADING_WORDS})\s+[0-9०-९ivxlIVXL]+\b[\s:.–—-]*(?P<rest>.*)$")
@@ -93,7 +94,7 @@ def read_edge(line: str) -> dict:
     if not tokens:
         return at
     first, last = tokens[0].strip(_AROUND), tokens[-1].strip(_AROUND)
-    is_number = lambda t: len(t) <= 7 and _IS_NUMBER.fullmatch(t) is not None
+    is_number = lambda t: len(t) <= LONGEST_NUMBER and _IS_NUMBER.fullmatch(t) is not None
     if is_number(last) and (len(tokens) == 1 or len(tokens) == 2 and _IS_PAGE_WORD.fullmatch(first)):
         return at | _value(last)
     if len(first) <= 9 and (m := _HEADING.match(line)):
@@ -112,7 +113,8 @@ def read_edge(line: str) -> dict:
 def _value(n: str) -> dict:
     arabic = n.translate(_READ)
     has_digit = any(c.isdigit() for c in n)
-    return {"number": int(arabic) if arabic.isdigit() and (has_digit or set(n) <= {"l", "I"}) else None, "roman": roman(n)}
+    value = int(arabic) if arabic.isdigit() and (has_digit or set(n) <= {"l", "I"}) else None
+    return {"number": value if value is not None and value <= LARGEST_NUMBER else None, "roman": roman(n)}
 
 
 EDGE = T.StructType(
@@ -161,7 +163,7 @@ def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> DataF
     repeated = F.when(F.col("book") & (F.size("starts") == 0), F.col("on_pages") > 1).otherwise(~F.array_contains("starts", F.col("page_number")) & ((F.size("starts") > 0) | (F.coalesce("headed", "first") != F.col("page_number"))))
     heads = named.join(opens, "h").where(~F.col("heading") & (F.col("part") | repeated)).select("id", "line", F.lit("header").alias("noise")).distinct()
 
-    votes = edges.where(F.col("number").isNotNull()).groupBy("document_id", (F.col("page_number") - F.col("number")).alias("offset")).agg(F.countDistinct("page_number").alias("n"))
+    votes = edges.where(F.col("number").isNotNull()).groupBy("document_id", (F.col("page_number").cast("bigint") - F.col("number")).alias("offset")).agg(F.countDistinct("page_number").alias("n"))
     printed = pages.select("document_id", (F.col("page_number") - F.get_json_object("metadata", "$.printed_page").try_cast("int")).alias("offset")).where(F.col("offset").isNotNull()).groupBy("document_id", "offset").agg(F.count(F.lit(1)).alias("n"))
     offsets = votes.unionByName(printed).groupBy("document_id", "offset").agg(F.sum("n").alias("n")).groupBy("document_id").agg(F.max_by("offset", F.struct("n", -F.abs("offset"))).alias("offset"), F.max("n").alias("n")).where("n >= 2")
     numbered = edges.where(F.col("number").isNotNull() | F.col("roman").isNotNull()).join(offsets, "document_id", "left")

@@ -108,3 +108,22 @@ def test_dirt(spark, tables):
     assert {(r.id, r.noise) for r in S.find_noise(pages, books, chapters).collect()} == {("a", "hyphen")}
     assert S.find_noise(pages.limit(0), books, chapters).count() == 0
     assert S.mended_pages(pages, books.limit(0), chapters.limit(0)).count() == 6
+
+
+@pytest.mark.parametrize("line, number, rest", [("10234", 10234, ""), ("१०२३४", 10234, ""), ("Page 1O234", 10234, ""), ("270001 | Lanterns", 270001, "lantems"), ("2147483647", 2147483647, ""), ("2147483648", None, ""), ("8174506345", None, "")])
+def test_long_numbers(line, number, rest):
+    got = S.read_edge(line)
+    assert got["number"] == number and (got["rest"] or "") == S.fold(rest)
+
+
+def test_book_of_12000_pages(spark):
+    head = lambda n: f"{n - 4}  The Warm Garden" if n % 2 else "It was late."
+    rows = [(f"p{n}", "book", n, f"{head(n)}\nA line of text.\nAnd one more.\n{n - 4 if n % 2 == 0 else 'The end.'}", None) for n in range(1, 12001)]
+    rows.append(("pin", "book", 12001, "A line.\nOne.\nTwo.\n110016", None))  # not the page's number
+    pages = spark.createDataFrame(rows, "id string, document_id string, page_number int, text string, metadata string")
+    books = spark.createDataFrame([("book", "The Warm Garden")], "document_id string, title string")
+    found = S.page_edges(pages, books, spark.createDataFrame([], "document_id string, title string, start_page int"))
+    got = {(r.id, r.noise) for r in found.select("id", "noise").distinct().collect()}
+    late = range(9000, 12001)
+    assert {(f"p{n}", "page_number") for n in late} <= got and {(f"p{n}", "header") for n in late if n % 2} <= got
+    assert ("pin", "page_number") not in got
