@@ -9,6 +9,7 @@ from __future__ import annotations
 import difflib
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +20,8 @@ from foliant.operators import structure
 
 #: Pages at the start of a book that may be its contents, how like two headings must be, how far a start may be moved.
 CONTENTS_PAGES, CLOSE, NEAR = 40, 0.78, 3
+#: Pages and titles of a book that are compared in one go, and the hashed values of characters by which pairs are bounded.
+PAGES_AT_ONCE, TITLES_AT_ONCE, BUCKETS = 1024, 4096, 64
 _LETTER = "A-Za-zऀ-ॿ"
 _DIGITS = str.maketrans("०१२३४५६७८९", "0123456789")
 _UNIT = re.compile(r"\bUnit\s+([0-9०-९]+)\s*[:\-–]\s*(.+)$", re.I)
@@ -123,24 +126,106 @@ def detect(pages: DataFrame, text: str = "raw_text") -> DataFrame:
     return first.withColumn("position", F.row_number().over(Window.partitionBy("document_id").orderBy("page_number", "i"))).select("document_id", "position", *FIELDS)
 
 
-@F.pandas_udf(T.BooleanType())
-def _close(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([x == y or len(x) >= 4 and len(x.split()) <= max(6, len(y.split()) + 3) and difflib.SequenceMatcher(None, x, y).ratio() >= CLOSE for x, y in zip(a, b, strict=True)], dtype=bool)
+def _bags(strings: list[str], pairs: bool) -> np.ndarray:
+    """How often each string has each character, or pair of neighbours, by hashed value: sums of minima bound what two strings share from above."""
+    codes = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    row = np.repeat(np.arange(len(strings)), [len(x) for x in strings])
+    if pairs:
+        inside = row[1:] == row[:-1]
+        codes, row = (codes[:-1] * 31 + codes[1:])[inside], row[1:][inside]
+    return np.bincount(row * BUCKETS + codes % BUCKETS, minlength=len(strings) * BUCKETS).reshape(-1, BUCKETS).astype(np.int16)
+
+
+def close_pairs(lines: list[str], titles: list[str]) -> list[tuple[str, str]]:
+    """The pairs of a line and a title whose ratio is CLOSE, or that are equal.
+
+    Nothing is lost before the ratio. M equal characters of S in both need M >= CLOSE / 2 * S, so that the lengths, and
+    the characters both have, must suffice; and M in at most S - 2 M + 1 blocks hold 3 M - S - 1 equal pairs of neighbours.
+    """
+    lines, titles = sorted({x for x in lines if x}, key=len), sorted({x for x in titles if x})
+    if not lines or not titles:
+        return []
+    sizes, words, out = np.array([len(x) for x in lines]), np.array([len(x.split()) for x in lines]), []
+    chars, pairs, title_chars, title_pairs = _bags(lines, False), _bags(lines, True), _bags(titles, False), _bags(titles, True)
+    half = round(CLOSE * 50)  # of a hundred
+    for j, y in enumerate(titles):
+        low, high = np.searchsorted(sizes, -(-half * len(y) // (100 - half))), np.searchsorted(sizes, (100 - half) * len(y) // half, "right")
+        total = sizes[low:high] + len(y)
+        least = -(-half * total // 100)
+        at = np.flatnonzero(np.minimum(chars[low:high], title_chars[j]).sum(axis=1) >= least)
+        at = at[np.minimum(pairs[low + at], title_pairs[j]).sum(axis=1) >= 3 * least[at] - total[at] - 1] + low
+        ratio = difflib.SequenceMatcher(None, "", y)
+        for i in at:
+            x = lines[i]
+            if x != y:
+                if len(x) < 4 or words[i] > max(6, len(y.split()) + 3):
+                    continue
+                ratio.set_seq1(x)
+                if ratio.ratio() < CLOSE:
+                    continue
+            out.append((x, y))
+    return out
+
+
+def head_pairs(heads: list[str], titles: list[str], within: int) -> list[tuple[str, str]]:
+    """The pairs of a page's head and a title that begins at one of its places up to `within`, found by the titles' first characters."""
+    by_start: dict[str, list[str]] = {}
+    for y in set(titles):
+        by_start.setdefault(y[:8], []).append(y)
+    sizes = {len(k) for k in by_start}
+    return [(x, y) for x in set(heads) for y in {y for n in sizes for p in range(min(within, len(x) - n) + 1) for y in by_start.get(x[p : p + n], ()) if x.startswith(y, p)}]
+
+
+def _hits_udf(within: int):
+    @F.pandas_udf("array<struct<i:int,g:string>>")
+    def hits(texts: pd.Series, heads: pd.Series, titles: pd.Series) -> pd.Series:
+        out = []
+        for fs, hs, gs in zip(texts, heads, titles, strict=True):
+            places: dict[tuple[str, bool], list[int]] = {}
+            for i, k in enumerate(zip(fs, map(bool, hs), strict=True)):
+                places.setdefault(k, []).append(i)
+            found = [((x, False), y) for x, y in close_pairs([x for x, h in places if not h], list(gs))]
+            found += [((x, True), y) for x, y in head_pairs([x for x, h in places if h], list(gs), within)]
+            out.append([{"i": i, "g": y} for k, y in found for i in places[k]])
+        return pd.Series(out, dtype=object)
+
+    return hits
+
+
+def _bearing(pages: DataFrame, records: DataFrame, text: str, lines: int, characters: int, head_lines: int, within: int) -> DataFrame:
+    """(document_id, id, page_number, line) of the pages with a line near the top like a record's title, or the title within the first characters of the head; there line is null.
+
+    Lines and titles of a book meet in blocks of both, so that no row of a large book grows with it.
+    """
+    titles = records.select("document_id", "id", X.match_form(structure.display_title()).alias("g")).where("g <> ''").distinct()
+    forms = titles.select("document_id", "g").distinct()
+    sizes = forms.groupBy("document_id").agg(F.count(F.lit(1)).alias("n"), F.max(F.length("g")).alias("longest"), F.min(F.length("g")).alias("shortest"), F.max(F.size(F.split("g", " "))).alias("words"))
+    blocks = forms.join(sizes, "document_id").groupBy("document_id", F.pmod(F.xxhash64("g"), F.ceil(F.col("n") / TITLES_AT_ONCE)).alias("block")).agg(F.collect_list("g").alias("gs")).drop("block")
+
+    # Heads of pages are shuffled once, by book and bin; what is known of a book goes to its bins.
+    bin_of = F.floor(F.col("page_number") / PAGES_AT_ONCE).alias("bin")
+    bins = pages.select("document_id", bin_of).distinct().join(sizes, "document_id")
+    slim = pages.select("document_id", bin_of, "page_number", F.substring(F.coalesce(F.col(text), F.lit("")), 1, characters).alias("c")).join(bins, ["document_id", "bin"])
+    top = F.slice(F.filter(F.split("c", "\n"), lambda x: F.trim(x) != ""), 1, lines)
+    bare = lambda f: F.regexp_replace(f, r"^(?:(?:chapter|unit|lesson|section|adhyay|अध्याय|इकाई|पाठ|प्रकरण)\s+)?\p{Nd}+\s+", "")
+    row = lambda line, f, head: F.struct(line.cast("int").alias("line"), f.alias("f"), F.lit(head).alias("head"))
+    fits = lambda f: (F.length(f) > 0) & (F.length(f) * CLOSE <= F.col("longest") * (2 - CLOSE) + 1) & (F.length(f) * (2 - CLOSE) + 1 >= F.col("shortest") * CLOSE) & (F.size(F.split(f, " ")) <= F.greatest(F.lit(6), F.col("words") + 3))
+    forms_of = F.flatten(F.transform(top, lambda t, i: F.when(F.length(t) <= 160, F.transform(F.array(X.match_form(t)), lambda f: F.array(row(i, f, False), row(i, bare(f), False)))[0]).otherwise(F.expr("array()"))))
+    start = X.match_form(F.array_join(F.slice(F.split("c", "\n"), 1, head_lines), "\n"))
+    heads = F.transform(F.array_distinct(F.array("start", F.regexp_replace("start", r"^\p{Nd}+\s+", ""))), lambda f: row(F.lit(None), F.substring(f, F.lit(1), F.col("longest") + within), True))
+    both = slim.withColumn("start", start).select("document_id", "bin", "page_number", F.concat(F.filter(F.array_distinct(forms_of), lambda x: fits(x["f"])), F.filter(heads, lambda x: x["f"] != "")).alias("e"))
+    at_once = both.groupBy("document_id", "bin").agg(F.flatten(F.collect_list(F.transform("e", lambda x: F.struct(F.col("page_number").alias("page_number"), x["line"].alias("line"), x["f"].alias("f"), x["head"].alias("head"))))).alias("xs"))
+    met = at_once.join(bins.select("document_id", "bin").join(blocks, "document_id"), ["document_id", "bin"]).select("document_id", "xs", F.explode(_hits_udf(within)(F.col("xs.f"), F.col("xs.head"), F.col("gs"))).alias("hit"))
+    hit = met.select("document_id", F.col("hit.g").alias("g"), F.expr("xs[hit.i]").alias("x")).select("document_id", "g", "x.page_number", "x.line")
+    return hit.join(titles, ["document_id", "g"]).groupBy("document_id", "id", "page_number").agg(F.min("line").alias("line"))
 
 
 def openings(pages: DataFrame, records: DataFrame, text: str = "raw_text") -> DataFrame:
     """(document_id, id, page_number, line): pages of a book, but those of contents, with a line near the top like a record's title.
 
-    Candidates share the title's first or last word: an equi-join, then the ratio of the two lines.
+    The title may also begin within the first 60 characters of the page's head, where it isn't a line of its own; line is null then.
     """
-    top = F.slice(F.filter(F.split(F.substring(F.coalesce(F.col(text), F.lit("")), 1, 1100), "\n"), lambda x: F.trim(x) != ""), 1, 10)
-    lines = pages.where(~X.contents_page(F.col(text))).select("document_id", "page_number", F.posexplode(top).alias("line", "t")).where(F.length("t") <= 160)
-    form = F.regexp_replace(X.match_form(F.col("t")), r"^(?:(?:chapter|unit|lesson|section|adhyay|अध्याय|इकाई|पाठ|प्रकरण)\s+)?\p{Nd}+\s+", "")
-    ends = lambda c: F.array_distinct(F.array(F.substring_index(c, " ", 1), F.substring_index(c, " ", -1)))
-    lines = lines.select("document_id", "page_number", "line", form.alias("f")).where("f <> ''").withColumn("k", F.explode(ends(F.col("f"))))
-    titles = records.select("document_id", "id", X.match_form(structure.display_title()).alias("g")).where("g <> ''").distinct().withColumn("k", F.explode(ends(F.col("g"))))
-    hit = lines.join(titles, ["document_id", "k"]).select("document_id", "id", "page_number", "line", "f", "g").distinct()
-    return hit.where(_close("f", "g")).groupBy("document_id", "id", "page_number").agg(F.min("line").alias("line"))
+    return _bearing(pages.where(~X.contents_page(F.col(text))), records, text, 10, 1100, 12, 60)
 
 
 def answer_starts(pages: DataFrame, text: str = "raw_text") -> DataFrame:
@@ -159,15 +244,17 @@ def answer_starts(pages: DataFrame, text: str = "raw_text") -> DataFrame:
 REPAIRED = "document_id string, id string, pdf_start_page int, pdf_end_page int, source string"
 
 
-def repair_ranges(records: DataFrame, pages: DataFrame, text: str = "raw_text") -> DataFrame:
+def repair_ranges(records: DataFrame, pages: DataFrame, text: str = "raw_text", whole: bool = False) -> DataFrame:
     """(document_id, id, pdf_start_page, pdf_end_page, source) of each record with a title: starts found on the pages, ends from the next start.
 
     In the order of their numbers, each record opens on the first page after the one before it that bears its title;
     where none does its own start stays. The most frequent offset of starts to printed numbers then fills what is
-    missing, and moves a start by up to NEAR pages to a page that bears the title.
+    missing, and moves a start by up to NEAR pages to a page that bears the title. With `whole`, titles within the head
+    of a page, in lines of running text too, count as the reference counts them.
     """
     slim = records.where(structure.display_title().isNotNull()).select("document_id", "id", X.safe_int(F.regexp_extract("chapter_number", r"(\p{Nd}+)", 1)).alias("no"), F.col("pdf_start_page").alias("own"), F.col("printed_start_page").alias("printed")).dropDuplicates(["document_id", "id"])
-    found = openings(pages, records, text).groupBy("document_id", "id").agg(F.sort_array(F.collect_set("page_number")).alias("at"))
+    found = openings(pages, records, text)
+    found = (found if whole else found.where("line is not null")).groupBy("document_id", "id").agg(F.sort_array(F.collect_set("page_number")).alias("at"))
     last = pages.groupBy("document_id").agg(F.max("page_number").alias("last"))
     rows = slim.join(found, ["document_id", "id"], "left").join(last, "document_id")
 

@@ -1,5 +1,6 @@
 """Chunks, contents, ranges, search, embedding, tables, files and streams on small fixtures."""
 
+import difflib
 import json
 import random
 
@@ -92,6 +93,28 @@ def test_detect_and_repair(spark):
     assert T.repair_ranges(records.limit(0), pages).count() == 0
 
 
+def test_close_pairs_lose_nothing():
+    rng = random.Random(3)
+    titles = ["".join(rng.choice("abcdeilor ") for _ in range(rng.choice([3, 6, 12, 25, 60]))).strip() or "a" for _ in range(60)] + ["गणित और खेल"]
+    bent = lambda t: "".join(rng.choice([c, c, c, c, "", rng.choice("abxyz"), c + "q"]) for c in t).strip()
+    lines = [*titles[:5], *[bent(t) for t in titles for _ in range(12)], "गणित आर खल", ""]
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y).ratio()
+    want = {(x, y) for x in lines for y in titles if x and (x == y or len(x) >= 4 and len(x.split()) <= max(6, len(y.split()) + 3) and ratio(x, y) >= 0.78)}
+    assert set(T.close_pairs(lines, titles)) == want and len(want) > 100
+    assert T.close_pairs([], titles) == [] and T.close_pairs([""], ["", "a"]) == []
+
+
+def test_openings_misread_at_both_ends_or_within_the_head(spark):
+    far = "x" * 40 + " " + "y" * 30 + " Glaciers and Saddles"
+    texts = ["Prologucs and Ribb0ns\nbody", "Gl@ciers and S@ddles | 7\nbody", "Exponenis\nbody", "RATIO the Glaciers and Saddles of this land are many and their ends are long\nbody", "12 " + far[30:] + " and more of it to read", far, "Contents\nGlaciers and Saddles", None, "Unit 3 Rivers"]
+    pages = spark.createDataFrame([("b", n, t) for n, t in enumerate(texts, 1)] + [("z", 1, "Exponents"), (None, 1, "Exponents")], "document_id string, page_number int, raw_text string")
+    titles = {"p": "Prologues and Ribbons", "g": "Glaciers and Saddles", "e": "Exponents", "r": "Unit 3: Rivers", "n": " "}
+    records = spark.createDataFrame([("b", k, None, t, None, None, None, None, None, None, None, None) for k, t in titles.items()], RECORD)
+    got = {(r.id, r.page_number, r.line) for r in T.openings(pages, records).collect()}
+    assert got == {("p", 1, 0), ("g", 2, 0), ("e", 3, 0), ("g", 4, None), ("g", 5, None), ("r", 9, 0)}
+    assert T.openings(pages, records.limit(0)).count() == 0 and T.openings(pages.limit(0), records).count() == 0
+
+
 def test_resolve_prefers_the_most_specific(spark):
     pages = spark.createDataFrame([("b", n) for n in (1, 5, 70, 130, 999)] + [("z", 1)], "document_id string, page_number int")
     records = spark.createDataFrame([("b", "c", "1", "C", None, None, None, None, None, 1, None, None), ("b", "s", "1", "C", None, None, "1", "S", None, 60, 140, None), ("b", "t", "1", "C", None, None, "2", "T", None, 100, 140, None), ("b", "u", None, "U", None, None, None, None, None, 0, 10, None), ("b", "v", None, "V", None, None, None, None, None, 9, 2, None)], RECORD)
