@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from foliant.functions import text as X
 from foliant.operators import structure
+from foliant.session import cut
 
 #: Pages at the start of a book that may be its contents, how like two headings must be, how far a start may be moved.
 CONTENTS_PAGES, CLOSE, NEAR = 40, 0.78, 3
@@ -244,17 +245,111 @@ def answer_starts(pages: DataFrame, text: str = "raw_text") -> DataFrame:
 REPAIRED = "document_id string, id string, pdf_start_page int, pdf_end_page int, source string"
 
 
-def repair_ranges(records: DataFrame, pages: DataFrame, text: str = "raw_text", whole: bool = False) -> DataFrame:
+def repair_book(rows: list[dict], last_page: int, answers: int | None, contents: set[int]) -> None:
+    """Sets start, end and source of a book's records, which are in the order of detection, as the reference does.
+
+    Each has id, no, own, printed, section, chapter (whether it is one, has a chapter's title), title, at (pages that bear
+    the title, sorted) and near (pages with it in a wider head).
+    """
+    before = 0
+    for r in rows:
+        opens = next((p for p in r["at"] if p > before), None)
+        r["start"], r["source"] = (opens, "title") if opens else (r["own"], "given") if r["own"] else (None, "none")
+        before = max(before, r["start"] or 0)
+        if r.get("added") and r["source"] == "given":
+            r["source"] = "answers"
+    for r in rows:
+        if answers and r["title"] in ("answer", "answers") and (r["start"] is None or answers < r["start"]):
+            r["start"], r["source"] = answers, "answers"
+    offset = _section_offset(rows, last_page, contents)
+    if offset is not None:
+        for r in rows:
+            if r["section"] and r["printed"] is not None and 1 <= r["printed"] + offset <= last_page:
+                r["start"], r["source"] = r["printed"] + offset, "section_offset"
+    else:
+        offset = _book_offset(rows)
+    for r in rows:
+        if offset is not None and r["printed"] is not None and 1 <= (there := r["printed"] + offset) <= last_page:
+            if r["start"] is None:
+                r["start"], r["source"] = there, "offset"
+            elif there != r["start"] and there in r["near"] and abs(there - r["start"]) <= NEAR:
+                r["start"], r["source"] = there, "offset_and_title"
+    starts = sorted((r for r in rows if r["start"]), key=lambda r: r["start"])
+    for r, after in zip(starts, [*starts[1:], None], strict=True):
+        r["end"] = max(r["start"], after["start"] - 1) if after else last_page
+
+
+def _mode(offsets: list[int]) -> tuple[int, int]:
+    return min(((o, offsets.count(o)) for o in set(offsets)), key=lambda x: (-x[1], x[0]), default=(0, 0))
+
+
+def _section_offset(rows: list[dict], last_page: int, contents: set[int]) -> int | None:
+    """As structure.offset_mode, of the first pages that bear the sections' titles in a wider head."""
+    sections = [r for r in rows if r["section"] and r["printed"] is not None]
+    firsts = [(r, min((p for p in r["near"] if p >= r["printed"] and p not in contents), default=None)) for r in sections]
+    offsets = [p - r["printed"] for r, p in firsts if p is not None and p - r["printed"] <= min(120, last_page)]
+    best, support = _mode(offsets)
+    return best if len(sections) >= 3 and len(offsets) >= 3 and support >= max(3, int(len(offsets) * 0.4)) else None
+
+
+def _book_offset(rows: list[dict]) -> int | None:
+    """As structure.printed_offsets, of the starts as found."""
+    found = [r for r in rows if r["start"] is not None]
+    for anchors in ([r for r in found if r["no"] == 1 and r["chapter"]], [r for r in found if r["printed"] == 1]):
+        if anchors and (offset := min(r["start"] for r in anchors) - 1) >= 0:
+            return offset
+    best, support = _mode([o for r in found if r["printed"] is not None and 0 <= (o := r["start"] - r["printed"]) <= 80])
+    return best if support >= 2 else None
+
+
+def repair_whole(records: DataFrame, pages: DataFrame, text: str = "raw_text") -> DataFrame:
+    """(document_id, id, pdf_start_page, pdf_end_page, source): the whole repair, in the reference's order.
+
+    A record for the answers is added where a book has none and its pages show them; titles are looked for on the pages;
+    answers that begin earlier move; the offset of sections, else that of the first chapter, of printed page 1 or of most
+    records, fills what is missing and moves starts by up to NEAR pages to a page that bears the title.
+    """
+    kind = F.col("structure_type") if "structure_type" in records.columns else F.when(structure.filled(F.col("section_title")).isNotNull() & structure.filled(F.col("chapter_title")).isNull(), "section")
+    known = records.where(structure.display_title().isNotNull()).dropDuplicates(["document_id", "id"]).withColumn("section", F.coalesce(kind == "section", F.lit(False))).withColumn("added", F.lit(False))
+    known = known.select("document_id", "id", "chapter_title", "section_title", "lesson_title", "unit_title", "chapter_number", "pdf_start_page", "printed_start_page", "section", "added")
+    answers = cut(answer_starts(pages, text))
+    without = answers.join(known.where(X.match_form(structure.display_title()) == "answers").select("document_id").distinct(), "document_id", "left_anti")
+    none = lambda n: F.lit(None).cast("string").alias(n)
+    added = without.select("document_id", F.md5(F.concat_ws("|", "document_id", F.lit("answers"))).alias("id"), F.lit("Answers").alias("chapter_title"), none("section_title"), none("lesson_title"), none("unit_title"), none("chapter_number"), F.col("answers_page").alias("pdf_start_page"), F.lit(None).cast("int").alias("printed_start_page"), F.lit(False).alias("section"), F.lit(True).alias("added"))
+    known = cut(known.unionByName(added))
+    of = lambda hits, name: hits.groupBy("document_id", "id").agg(F.sort_array(F.collect_set("page_number")).alias(name))
+    slim = known.select("document_id", "id", "added", "section", X.safe_int(F.regexp_extract("chapter_number", r"(\p{Nd}+)", 1)).alias("no"), F.col("pdf_start_page").alias("own"), F.col("printed_start_page").alias("printed"), structure.filled(F.col("chapter_title")).isNotNull().alias("chapter"), X.match_form(structure.display_title()).alias("title"))
+    listed = pages.groupBy("document_id").agg(F.max("page_number").alias("last"), F.collect_set(F.when(X.contents_page(F.col(text)), F.col("page_number"))).alias("contents"))
+    rows = slim.join(of(openings(pages, known, text), "at"), ["document_id", "id"], "left").join(of(_bearing(pages, known, text, 12, 1200, 15, 80), "near"), ["document_id", "id"], "left").join(listed, "document_id").join(answers, "document_id", "left")
+
+    def one(book: pd.DataFrame) -> pd.DataFrame:
+        book = book.sort_values(["no", "own", "id"], na_position="last", kind="stable")
+        whole = lambda x: None if pd.isna(x) else int(x)
+        some = lambda x: [] if x is None else [int(p) for p in x]
+        out = [{"document_id": r.document_id, "id": r.id, "added": bool(r.added), "section": bool(r.section), "chapter": bool(r.chapter), "title": r.title, "no": whole(r.no), "own": whole(r.own), "printed": whole(r.printed), "at": some(r.at), "near": set(some(r.near)), "end": None} for r in book.itertuples()]
+        # The record of answers has the number after the last, or after all where none has one.
+        new, old = [r for r in out if r["added"]], [r for r in out if not r["added"]]
+        numbered = [r for r in old if r["no"] is not None]
+        for r in new:
+            r["no"] = numbered[-1]["no"] + 1 if numbered else len(old) + 1
+        out = [*numbered, *new, *[r for r in old if r["no"] is None]]
+        repair_book(out, int(book["last"].iloc[0]), whole(book["answers_page"].iloc[0]), set(some(book["contents"].iloc[0])))
+        return pd.DataFrame([[r["document_id"], r["id"], r["start"], r["end"], r["source"]] for r in out], columns=["document_id", "id", "pdf_start_page", "pdf_end_page", "source"]).astype({"pdf_start_page": "Int32", "pdf_end_page": "Int32"})
+
+    return rows.groupBy("document_id").applyInPandas(one, REPAIRED)
+
+
+def repair_ranges(records: DataFrame, pages: DataFrame, text: str = "raw_text") -> DataFrame:
     """(document_id, id, pdf_start_page, pdf_end_page, source) of each record with a title: starts found on the pages, ends from the next start.
 
     In the order of their numbers, each record opens on the first page after the one before it that bears its title;
     where none does its own start stays. The most frequent offset of starts to printed numbers then fills what is
-    missing, and moves a start by up to NEAR pages to a page that bears the title. With `whole`, titles within the head
-    of a page, in lines of running text too, count as the reference counts them.
+    missing, and moves a start by up to NEAR pages to a page that bears the title. The title as a line counts alone, and
+    there is no record added: the reference's whole repair is repair_whole().
     """
     slim = records.where(structure.display_title().isNotNull()).select("document_id", "id", X.safe_int(F.regexp_extract("chapter_number", r"(\p{Nd}+)", 1)).alias("no"), F.col("pdf_start_page").alias("own"), F.col("printed_start_page").alias("printed")).dropDuplicates(["document_id", "id"])
     found = openings(pages, records, text)
-    found = (found if whole else found.where("line is not null")).groupBy("document_id", "id").agg(F.sort_array(F.collect_set("page_number")).alias("at"))
+    found = found.where("line is not null").groupBy("document_id", "id").agg(F.sort_array(F.collect_set("page_number")).alias("at"))
     last = pages.groupBy("document_id").agg(F.max("page_number").alias("last"))
     rows = slim.join(found, ["document_id", "id"], "left").join(last, "document_id")
 

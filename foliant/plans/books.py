@@ -139,7 +139,7 @@ def answer_starts(spark, d):
 
 @query()
 def repaired_ranges(spark, d):
-    return contents.repair_ranges(t(spark, d, "book_chapters"), newest_pages(spark, d), whole=True)
+    return contents.repair_whole(t(spark, d, "book_chapters"), newest_pages(spark, d))
 
 
 @query("""with k as (select distinct document_id, coalesce(nullif(trim(regexp_replace(lower(coalesce(chapter_title, section_title)), '[^\\p{L}\\p{N}_ऀ-ॿ]+', ' ', 'g')), ''), '') as t, detected_by from embeddings_book_chapters),

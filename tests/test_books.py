@@ -115,6 +115,22 @@ def test_openings_misread_at_both_ends_or_within_the_head(spark):
     assert T.openings(pages, records.limit(0)).count() == 0 and T.openings(pages.limit(0), records).count() == 0
 
 
+def test_whole_repair(spark):
+    plain = "Here is a long line of text about other things."
+    answers = {3: "Chapter 1\nIntegers\nbody", 18: "EXERCISE 1 EXERCISE 2\n1. 2.", 19: "Answers\n1. x"}
+    sections = {5: "The Raven\nbody", 9: "The Kite\nbody", 12: "The Oak\nbody", 17: "The Raven\nagain"}
+    rows = [(b, n, body.get(n, plain)) for b, body in (("a", answers), ("s", sections)) for n in range(1, 21)]
+    pages = spark.createDataFrame(rows, "document_id string, page_number int, raw_text string")
+    record = lambda b, i, no, chapter, section, own, printed: (b, i, no, chapter, None, None, None, section, None, own, None, printed)
+    records = [record("a", "i", "1", "Integers", None, 2, 5), record("a", "d", "2", "Decimals", None, None, 8)]  # of one title found, the anchor of chapter 1 holds
+    records += [record("s", "o", None, None, "The Oak", None, 8), record("s", "k", None, None, "The Kite", None, 5), record("s", "r", None, None, "The Raven", 17, 1), record("s", "z", None, None, "The Lost", 2, 12)]
+    got = {(r.document_id, r.id if len(r.id) == 1 else "new"): (r.pdf_start_page, r.pdf_end_page, r.source) for r in T.repair_whole(spark.createDataFrame(records, RECORD), pages).collect()}
+    assert got == {
+        ("a", "i"): (3, 9, "title"), ("a", "d"): (10, 17, "offset"), ("a", "new"): (18, 20, "answers"),
+        ("s", "r"): (5, 8, "section_offset"), ("s", "k"): (9, 11, "section_offset"), ("s", "o"): (12, 15, "section_offset"), ("s", "z"): (16, 20, "section_offset"),
+    }
+
+
 def test_resolve_prefers_the_most_specific(spark):
     pages = spark.createDataFrame([("b", n) for n in (1, 5, 70, 130, 999)] + [("z", 1)], "document_id string, page_number int")
     records = spark.createDataFrame([("b", "c", "1", "C", None, None, None, None, None, 1, None, None), ("b", "s", "1", "C", None, None, "1", "S", None, 60, 140, None), ("b", "t", "1", "C", None, None, "2", "T", None, 100, 140, None), ("b", "u", None, "U", None, None, None, None, None, 0, 10, None), ("b", "v", None, "V", None, None, None, None, None, 9, 2, None)], RECORD)
