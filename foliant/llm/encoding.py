@@ -14,8 +14,6 @@ from pyspark.sql import types as T
 # Legacy encodings as which UTF-8 may have been read.
 ENCODINGS = ["cp1252", "latin-1", "cp1250", "cp1251", "cp1254", "cp437", "cp850", "mac_roman", "iso8859_2", "iso8859_15", "koi8_r"]
 WESTERN = ["cp1252", "latin-1", "cp1254", "iso8859_15"]
-#: Layers of wrong decoding that are peeled off at most.
-LAYERS = 6
 #: Characters that need no look: ASCII, Devanagari, and signs that no garbled sequence consists of alone.
 USUAL = r"\x00-\x7fऀ-ॿ‐–—‘’“”…×÷\xad\u200c\u200d"
 
@@ -94,9 +92,12 @@ def _peel(text: str, encoding: str) -> str:
 
 
 def repair(text: str) -> tuple[str, int]:
-    """(the text with all layers peeled off, number of rounds it took); a text without garbling comes back as it is."""
+    """(the text with all layers peeled off, number of rounds it took); a text without garbling comes back as it is.
+
+    Every round lowers the cost, a whole number, so that the rounds come to an end by themselves.
+    """
     rounds = 0
-    for _ in range(LAYERS * 2):
+    while True:
         best, cost = text, garbling_cost(text)
         western = re.search("à[¤¥]", text)  # Devanagari read as Western European; other code pages would join halves of two characters
         for encoding in WESTERN if western else ENCODINGS:
@@ -111,10 +112,11 @@ def repair(text: str) -> tuple[str, int]:
 
 
 #: What stays where bytes were dropped, and can't stand in a right text: control characters, the first letter of a
-#: sequence next to its second, a multiplication sign or apostrophe of which the first letter is left.
-_BROKEN = re.compile("[\ufffd\x80-\x84\x86-\x9f]|[àâÃÂŕа][¤¥ҐĄ€]|(?<=\\d )Ã(?= \\d)|(?<=[a-z])âs\\b")
-#: What may stand in one that names these letters.
-_DOUBTFUL = re.compile("(?<!\\w)[ÃÂâ](?!\\w)|(?<!\\w)â(?=[A-Z])")
+#: sequence next to its second, the first letter of a multiplication sign between two numbers.
+_BROKEN = re.compile("[\ufffd\x80-\x84\x86-\x9f]|[àâÃÂŕа][¤¥ҐĄ€]|(?<=\\d )Ã(?= \\d)")
+#: What may stand in a right text, which names these letters or has words like "Kâlidâs": a remnant only beside a
+#: sequence that was proven garbled.
+_DOUBTFUL = re.compile("(?<!\\w)[ÃÂâ](?!\\w)|(?<!\\w)â(?=[A-Z])|(?<=[a-z])âs\\b")
 
 
 def lost(text: str) -> bool:

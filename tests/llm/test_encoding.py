@@ -25,6 +25,19 @@ def test_nested_layers(text):
     assert E.repair(bad)[0] == text
 
 
+def test_layers_have_no_limit():
+    bad = text = "café — ½"
+    for _ in range(9):
+        bad = garble(bad, "latin-1")
+    assert E.repair(bad) == (text, 9)
+
+
+def test_a_remnant_counts_beside_a_proven_sequence(spark):
+    rows = [("right", "Kâlidâs wrote plays."), ("lost", garble("Vepel’s — ", "cp1252") + "Rutorâs lamp"), ("whole", garble("Vepel’s", "cp1252") + " lamp")]
+    found = {r.id: r.lossless for r in E.find_garbled(spark.createDataFrame(rows, "id string, raw_text string"), "id", "raw_text").collect()}
+    assert found == {"lost": False, "whole": True}
+
+
 def test_no_break_spaces_made_plain():
     text = "कुछ लोगों ने काठी को उठाया और इकट्ठा किया"
     assert E.repair(garble(text, "cp1252").replace("\xa0", " "))[0] == text
@@ -35,7 +48,7 @@ def test_part_of_a_text():
     assert E.repair(text)[0] == "Beside the lamp, Vepel’s पुल stayed warm — “yes”."
 
 
-@pytest.mark.parametrize("text", ["A café in São Paulo: 5 × 3 ÷ 2 = 7½ cm², 16°C, £5, “né” — naïve", "The letters Ã, Â and â hang on the chart.", "É—“x”", "", "plain"])
+@pytest.mark.parametrize("text", ["A café in São Paulo: 5 × 3 ÷ 2 = 7½ cm², 16°C, £5, “né” — naïve", "The letters Ã, Â and â hang on the chart.", "É—“x”", "", "plain", "Kâlidâs wrote plays.", "Mîrâs and dâs", "le pâs"])
 def test_right_text_stays(text):
     assert E.repair(text) == (text, 0) and not E.lost(text)
 
