@@ -19,8 +19,6 @@ LATIN, DEVANAGARI = ("English", "Hinglish"), ("Hindi", "Marathi")
 STATES = (*LATIN, *DEVANAGARI)
 #: Labelled rows of which the word scores are learnt, at most about so many, chosen by a hash of their key.
 SAMPLE_ROWS = 20_000
-#: Words kept in the model, the most frequent first; it is broadcast, about 5 MB at most.
-MODEL_WORDS = 60_000
 #: A word's score lies within plus or minus this; a word in another script than the state's costs OFF_SCRIPT.
 CLIP, OFF_SCRIPT = 3.0, -6.0
 #: What a change of language costs, in nats.
@@ -45,14 +43,17 @@ class Model:
 
 
 def learn(df: DataFrame, key: str, text: str, label: str, rows: int = SAMPLE_ROWS) -> Model:
-    """Word scores from labelled rows, wrong labels among them: both signs survive as long as most labels are right."""
+    """Word scores from labelled rows, wrong labels among them: both signs survive as long as most labels are right.
+
+    All words that the rows have twice or more are kept; their number is bounded by that of the rows.
+    """
     named = df.select(F.col(f"`{key}`").alias("k"), F.col(f"`{text}`").alias("t"), language_name(F.col(f"`{label}`")).alias("l")).where(F.col("l").isin(*STATES))
     known = named.count()
     if known > rows:
         named = named.where(F.pmod(F.xxhash64("k"), F.lit(1_000_000)) < math.ceil(1e6 * rows / known))
     words = named.select("l", F.explode(F.regexp_extract_all(F.lower("t"), F.lit("[a-zÀ-ɏ]+|[ऀ-ॣ॰-ॿ]+"), F.lit(0))).alias("w"))
     counts = words.groupBy("w").agg(*[F.count_if(F.col("l") == s).alias(s) for s in STATES])
-    table = counts.withColumn("n", sum(F.col(s) for s in STATES)).where("n >= 2").orderBy(F.desc("n"), "w").limit(MODEL_WORDS).collect()
+    table = counts.withColumn("n", sum(F.col(s) for s in STATES)).where("n >= 2").collect()
     totals = {s: 1 + sum(r[s] for r in table if (r.w[0] >= "ऀ") == (s in DEVANAGARI)) for s in STATES}
     scores: dict[bool, dict[str, float]] = {False: {}, True: {}}
     for r in table:
@@ -165,7 +166,7 @@ def label_languages(df: DataFrame, key: str, text: str, model: Model, with_body:
 
     language is one of STATES, or `Mixed` when a second one has MIXED of the words. segments are places in body, the
     text without headings and with its encoding repaired. A null, empty or wordless text gives no row; repeated rows
-    each give one; other columns are ignored. The model is sent to the workers; its size is bounded by MODEL_WORDS.
+    each give one; other columns are ignored. The model is sent to the workers; its size is bounded by the SAMPLE_ROWS it was learnt from.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
     kind = df.schema[key].dataType.simpleString()

@@ -17,7 +17,7 @@ MAX_CELLS = 200_000
 #: Bins of the sampling order, by source; only documents of one bin are ranked one by one.
 BINS = 1 << 14
 ROUNDS = 200
-#: Documents of a source, the next in order, among which those are sought that fit the room left.
+#: Documents of a source, the next in order, among which first those are sought that fit the room left; then all others.
 FILL = 200
 
 
@@ -34,8 +34,9 @@ def rake(cells: pd.DataFrame, targets: dict[str, float], caps: dict[str, int], l
     """Iterative proportional fitting of cell weights to source, language and topic shares; no weight exceeds its source's cap.
 
     cells: source, language, topic, tokens. Sources without tokens drop out and the other shares keep their
-    proportions. The default total is the largest that every source can fill within its cap. The sources' shares are
-    fitted last and hold; those of language and topic hold as far as caps and empty cells allow.
+    proportions. The default total is the largest that every source can fill within its cap; a larger one is kept as
+    it is, and sources at their cap fall short of their part. The sources' shares are fitted last and hold up to the
+    caps; those of language and topic hold as far as caps and empty cells allow.
     """
     cells = cells[cells["source"].isin([s for s, x in targets.items() if x > 0]) & (cells["tokens"] > 0)].reset_index(drop=True)
     tokens = cells["tokens"].to_numpy(dtype=float)
@@ -44,7 +45,7 @@ def rake(cells: pd.DataFrame, targets: dict[str, float], caps: dict[str, int], l
         return Raked(cells.assign(weight=np.zeros(0)), 0.0, {})
     share = {s: targets[s] / sum(targets[x] for x in held) for s in held}
     most = min(held[s] * caps[s] / share[s] for s in held)
-    total = most if total is None else min(total, most)
+    total = most if total is None else float(total)
     cap = cells["source"].map(caps).to_numpy(dtype=float)
     weight = np.minimum(cap, cells["source"].map({s: share[s] * total / held[s] for s in held}).to_numpy(dtype=float))
     margins = [("language", languages), ("topic", topics), ("source", share)]
@@ -92,7 +93,8 @@ def fill(rows: list[tuple[int, int]], room: float) -> list[int]:
 def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None = None) -> DataFrame:
     """(key, source, language, topic, tokens, expected_copies, copies) of the documents in the mixture.
 
-    docs has key, source, language, topic, tokens; targets has source, target_share, max_repeats. Each document is
+    docs has key, source, language, topic, tokens; targets has source, target_share, max_repeats; total is the size
+    aimed at, where the sources can't fill it they fall short, which shares() reports. Each document is
     taken floor(w) times and once more with the probability of the rest: the documents of a source are ordered by
     u / p, u a hash of the key, and taken until the next would give the source more than its tokens; what is then left is filled by fill(). Documents without
     tokens, of no key or of sources without a target are not taken; repeated keys are documents of their own. Language
@@ -103,7 +105,9 @@ def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None =
     rows = docs.where(F.col(f"`{key}`").isNotNull() & (F.col("tokens") > 0)).select(
         F.col(f"`{key}`").alias("k"), source_name(F.col("source")).alias("source"), F.coalesce("language", F.lit("unknown")).alias("language"), F.coalesce("topic", F.lit("unknown")).alias("topic"), F.col("tokens").cast("bigint").alias("tokens")
     )
-    wanted = {r.source: r for r in targets.where("target_share is not null").groupBy(source_name(F.col("source")).alias("source")).agg(F.max("target_share").alias("share"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("most")).limit(MAX_CELLS).toLocalIterator()}
+    wanted = {r.source: r for r in targets.where("target_share is not null").groupBy(source_name(F.col("source")).alias("source")).agg(F.max("target_share").alias("share"), F.max(F.coalesce("max_repeats", F.lit(1))).alias("most")).limit(MAX_CELLS + 1).toLocalIterator()}
+    if len(wanted) > MAX_CELLS:
+        raise ValueError(f"more than {MAX_CELLS} sources with a target")
     rows = cut(rows.withColumn("rid", F.monotonically_increasing_id()))  # the token counts are made once
     cells = rows.groupBy("source", "language", "topic").agg(F.sum("tokens").alias("tokens")).limit(MAX_CELLS + 1).toPandas()
     if len(cells) > MAX_CELLS:
@@ -121,8 +125,8 @@ def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None =
         .withColumn("p", F.greatest(F.lit(0.0), F.col("weight") - F.col("base")))
         # Repeated keys get the same place in the order; the number of the row decides among them.
         .withColumn("q", F.when(F.col("p") > 1e-9, (F.pmod(F.xxhash64("k"), F.lit(1 << 40)) / (1 << 40)) / F.col("p")))
-        # Documents with q below 1 are the expected ones; bins beyond serve where fewer than expected came.
-        .withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.when(F.col("q") < 2, F.col("q") / 2 * (BINS - 1024)).otherwise(BINS - 1024 + F.log2("q") * 16))).cast("int"))
+        # Documents with q below 1 are the expected ones; bins beyond serve where fewer than expected came. Without q there is no further copy.
+        .withColumn("bin", F.when(F.col("q").isNotNull(), F.least(F.lit(BINS - 1), F.floor(F.when(F.col("q") < 2, F.col("q") / 2 * (BINS - 1024)).otherwise(BINS - 1024 + F.log2("q") * 16)))).cast("int"))
     )
     sums = drawn.groupBy("source", "bin").agg(F.sum(F.col("base") * F.col("tokens")).alias("sure"), F.sum("tokens").alias("more")).toPandas()
     edges = []
@@ -145,23 +149,40 @@ def mixture(docs: DataFrame, key: str, targets: DataFrame, total: float | None =
     more: list[int] = []
     if left:
         room = spark.createDataFrame(list(left.items()), "source string, left double")
-        next_ones = chosen.where("extra = 0 and q is not null").join(F.broadcast(room), "source").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("q", "rid"))).where(F.col("n") <= FILL)
+        free = chosen.where("extra = 0 and q is not null")
+        next_ones = free.join(F.broadcast(room), "source").withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy("q", "rid"))).where(F.col("n") <= FILL)
         by_source: dict[str, list] = {}
         for r in next_ones.select("source", "rid", "tokens", "n").orderBy("source", "n").collect():
             by_source.setdefault(r.source, []).append((r.rid, r.tokens))
+        still: list[tuple[str, float]] = []
         for source, rows_ in by_source.items():
-            more += fill(rows_, left[source])
+            taken, size = fill(rows_, left[source]), dict(rows_)
+            more += taken
+            if len(rows_) == FILL:
+                still.append((source, float(left[source] - sum(size[i] for i in taken))))
+        if still:
+            # Of all other documents of a source, the one nearest to what is left, where it brings the share nearer.
+            after = spark.createDataFrame(still, "source string, still double")
+            seen = [i for rows_ in by_source.values() for i, _ in rows_]
+            others_ = free.join(F.broadcast(after), "source").join(F.broadcast(spark.createDataFrame([(i,) for i in seen], "rid bigint")), "rid", "left_anti")
+            off = F.abs(F.col("still") - F.col("tokens"))
+            best = others_.where(off < F.abs("still")).groupBy("source").agg(F.min_by("rid", F.struct(off.alias("off"), "q", "rid")).alias("rid"))
+            more += [r.rid for r in best.toLocalIterator()]
     also = spark.createDataFrame([(i,) for i in more], "rid bigint").withColumn("also", F.lit(1))
     chosen = chosen.join(F.broadcast(also), "rid", "left").withColumn("extra", F.greatest("extra", F.coalesce("also", F.lit(0))))
     columns = [F.col("k").alias(key), "source", "language", "topic", "tokens", F.col("weight").alias("expected_copies"), (F.col("base") + F.col("extra")).alias("copies")]
     return chosen.select(*columns).where(F.col("copies") > 0)
 
 
-def shares(mixed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(source, target_share, actual_share, documents, copies, tokens, most_copies, max_repeats), a row for each target, absent ones too."""
+def shares(mixed: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
+    """(source, target_share, actual_share, documents, copies, tokens, most_copies, max_repeats, shortfall), a row for each target, absent ones too.
+
+    shortfall is what a source lacks of its target's part of `total`, by default of the tokens that came together.
+    """
     held = mixed.groupBy("source").agg(F.count(F.lit(1)).alias("documents"), F.sum("copies").alias("copies"), F.sum(F.col("copies") * F.col("tokens")).alias("tokens"), F.max("copies").alias("most_copies"))
     wanted = targets.groupBy(source_name(F.col("source")).alias("source")).agg(F.max("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
     whole = held.agg(F.sum("tokens").alias("whole"))
     return wanted.join(held, "source", "left").crossJoin(F.broadcast(whole)).select(  # whole is one row
-        "source", "target_share", F.coalesce(F.col("tokens") / F.col("whole"), F.lit(0.0)).alias("actual_share"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("documents", "copies", "tokens", "most_copies")], "max_repeats"
+        "source", "target_share", F.coalesce(F.col("tokens") / F.col("whole"), F.lit(0.0)).alias("actual_share"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("documents", "copies", "tokens", "most_copies")], "max_repeats",
+        F.greatest(F.lit(0.0), F.round(F.col("target_share") * (F.coalesce("whole", F.lit(0)) if total is None else F.lit(float(total))) - F.coalesce("tokens", F.lit(0)))).cast("bigint").alias("shortfall"),
     )

@@ -10,6 +10,8 @@ from collections import Counter
 
 import pandas as pd
 import regex
+import tiktoken
+from pyspark import SparkContext, SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +23,36 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 CACHE_PIECES = 400_000
 
 
+def ship_vocabulary(path: str) -> None:
+    """Give the executors the vocabulary file, once a context: only the driver needs to have it at `path`."""
+    sc = SparkContext._active_spark_context
+    sent = sc.__dict__.setdefault("_foliant_vocabularies", set()) if sc else None
+    if sent is not None and path not in sent:
+        sc.addFile(path)
+        sent.add(path)
+
+
+def _at_hand(path: str) -> str:
+    """Where this process has the file: as it was sent, else at the path itself."""
+    try:
+        sent = SparkFiles.get(os.path.basename(path))
+    except Exception:  # outside of any context
+        return path
+    return sent if os.path.isfile(sent) else path
+
+
 @functools.lru_cache(maxsize=4)
 def ranks(path: str) -> dict[bytes, int]:
-    with open(path, "rb") as f:
+    with open(_at_hand(path), "rb") as f:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
 
 
+@functools.lru_cache(maxsize=4)
+def encoding(path: str) -> tiktoken.Encoding:
+    """The compiled encoder of the vocabulary: the same counts as count_symbols()."""
+    return tiktoken.Encoding("own", pat_str=PIECES, mergeable_ranks=ranks(path), special_tokens={})
+
+
 def count_symbols(piece: bytes, rank: dict[bytes, int]) -> int:
     """Tokens of one piece: its symbols are a linked list, possible merges a priority queue by rank, then place.
 
@@ -82,8 +108,21 @@ def counter(path: str) -> PieceCounter:
     return PieceCounter(path)
 
 
+def encoded_count(text: Column, path: str = VOCABULARY) -> Column:
+    """As token_count, by the compiled encoder, for operators that only need the number."""
+    ship_vocabulary(path)
+
+    @F.pandas_udf("bigint")
+    def count(texts: pd.Series) -> pd.Series:
+        encode = encoding(path).encode_ordinary
+        return pd.Series([None if t is None else len(encode(t)) for t in texts], dtype="Int64")
+
+    return count(text)
+
+
 def token_count(text: Column, path: str = VOCABULARY) -> Column:
     """Tokens of a text (bigint): null for null, 0 for the empty text."""
+    ship_vocabulary(path)
 
     @F.pandas_udf("bigint")
     def count(texts: pd.Series) -> pd.Series:

@@ -71,3 +71,19 @@ def test_dirt(spark):
 @pytest.mark.parametrize("rows, room, want", [([(1, 50), (2, 30), (3, 20)], 55, [1]), ([(1, 90), (2, 30), (3, 20)], 55, [2, 3]), ([(1, 90), (2, 30)], 85, [1]), ([(1, 95), (2, 30), (3, 57)], 85, [2, 3]), ([(1, 60)], 55, [1]), ([(1, 200)], 55, []), ([], 9, [])])
 def test_fill(rows, room, want):
     assert mix.fill(rows, room) == want
+
+
+def test_a_total_beyond_the_caps_is_kept_and_reported(spark):
+    docs = spark.createDataFrame([(i, "a" if i < 10 else "b", "en", "p", 100) for i in range(110)], "doc_id bigint, source string, language string, topic string, tokens int")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    got = mix.mixture(docs, "doc_id", targets, total=6000)
+    report = {r.source: r for r in mix.shares(got, targets, 6000).collect()}
+    assert (report["a"].tokens, report["a"].shortfall) == (1000, 2000) and (report["b"].tokens, report["b"].shortfall) == (3000, 0)
+
+
+def test_the_nearest_document_is_sought_beyond_the_next_ones(spark, monkeypatch):
+    monkeypatch.setattr(mix, "FILL", 2)
+    docs = spark.createDataFrame([(i, "a", "en", "p", 1000) for i in range(40)] + [(99, "a", "en", "p", 300), (98, "b", "en", "p", 5300)], "doc_id bigint, source string, language string, topic string, tokens int")
+    targets = spark.createDataFrame([("a", 0.5, 1), ("b", 0.5, 1)], "source string, target_share double, max_repeats int")
+    got = {r.doc_id for r in mix.mixture(docs, "doc_id", targets).collect()}
+    assert {98, 99} <= got and len(got) == 7
