@@ -100,7 +100,7 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, d: str) -> DataFrame:
-    docs = table(spark, d, "documents").select("doc_id", "source", language_name(F.col("lang")).alias("language"), subject_name(F.col("subject")).alias("topic"), tokens.token_count(F.col("text")).alias("tokens"))
+    docs = table(spark, d, "documents").select("doc_id", "source", language_name(F.col("lang")).alias("language"), subject_name(F.col("subject")).alias("topic"), tokens.encoded_count(F.col("text")).alias("tokens"))
     return mix.mixture(docs, "doc_id", table(spark, d, "mix_targets"))
 
 
