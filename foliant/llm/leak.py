@@ -2,8 +2,8 @@
 
 A passage counts as leaked when at least half of its words stand in the text in runs of six or more consecutive words.
 Such a text need not be near the passage as a whole: the other half, and everything between the runs, is free. So
-fingerprints are taken of windows of one run, six words, instead of the length of an item: every leaked run holds such
-a window unaltered, and no pair can be missed at any radius.
+no fingerprint of the whole can find it (the README has figures), and the index holds all shingles of six words of the
+passages: every leaked run holds one of them unaltered, and no pair can be missed.
 """
 
 from __future__ import annotations
@@ -21,12 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Words of a run that counts, and of a window.
+#: Words of a run that counts, and of a shingle.
 RUN = 6
-#: Items whose fingerprints are held at once; more are worked off in blocks of this size.
+#: Items whose shingles are held at once; more are worked off in blocks of this size.
 BLOCK_ITEMS = 20_000
-#: Distinct words whose bits a worker keeps; a bound on memory only.
+#: Distinct words whose hashes a worker keeps; a bound on memory only.
 CACHE_WORDS = 400_000
+#: Odd, so that no word's bits are lost when a shingle's hash is summed up.
+FACTOR = 0x9E3779B97F4A7C15
 
 _BROKEN_LINE = re.compile(r"(?<=\S)[-‐‑\xad¬][^\S\n]*\r?\n\s*(?=\w)")
 _INNER = re.compile("[-‐‑\xad¬'’‘ʼ\u200c\u200d\ufeff\u200b]+")
@@ -56,67 +58,43 @@ def words(text: str) -> list[str]:
     return _words().findall(text.replace("_", " ").lower())
 
 
-class Fingerprints:
-    """SimHash of word windows: the sign of the summed bits of the hashes of their words, 64 bits a window."""
+class Hashes:
+    """64-bit hashes of all runs of RUN words of a text: a sum of the words' hashes with powers of FACTOR."""
 
     def __init__(self) -> None:
-        self.row: dict[str, int] = {}
-        self.bits = np.zeros((1 << 12, 64), dtype=np.int8)
-
-    def rows(self, text_words: list[str]) -> np.ndarray:
-        if len(self.row) > CACHE_WORDS:
-            self.row = {}
-        row = self.row
-        new = [w for w in dict.fromkeys(text_words) if w not in row]
-        if new:
-            n = len(row)
-            while n + len(new) > len(self.bits):
-                self.bits = np.concatenate((self.bits, np.zeros_like(self.bits)))
-            hashes = np.array([xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in new], dtype="<u8")
-            self.bits[n : n + len(new)] = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1).astype(np.int8) * 2 - 1
-            row.update(zip(new, range(n, n + len(new)), strict=True))
-        return np.fromiter(map(row.__getitem__, text_words), dtype=np.int64, count=len(text_words))
-
-    def windows(self, text_words: list[str]) -> np.ndarray:
-        """One fingerprint for each window of RUN words; a tie of a bit counts as 0."""
-        if len(text_words) < RUN:
+        self.of: dict[str, int] = {}
+        self.factors = [np.uint64(pow(FACTOR, k, 1 << 64)) for k in range(RUN)]
+
+    def shingles(self, text_words: list[str]) -> np.ndarray:
+        n = len(text_words) - RUN + 1
+        if n < 1:
             return np.zeros(0, dtype=np.uint64)
-        rows = self.rows(text_words)
-        b = self.bits[rows]
-        n = len(b) - RUN + 1
-        total = b[:n].copy()
+        if len(self.of) > CACHE_WORDS:
+            self.of = {}
+        of = self.of
+        for w in set(text_words).difference(of):
+            of[w] = xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass"))
+        h = np.fromiter(map(of.__getitem__, text_words), dtype=np.uint64, count=len(text_words))
+        total = h[:n] * self.factors[0]
         for k in range(1, RUN):
-            total += b[k : k + n]
-        return np.packbits(total > 0, axis=1).view("<u8").ravel()
+            total += h[k : k + n] * self.factors[k]
+        return total
 
 
 class Items:
-    """Passages with the fingerprints of their windows in a multi-index: radius + 1 blocks of bits, each sorted.
-
-    Two fingerprints at a distance of at most the radius agree in at least one block, so looking up every block finds
-    all of them.
-    """
+    """Passages with the hashes of their shingles, sorted; passages of under RUN words hold none."""
 
-    def __init__(self, items: list[tuple[int, str]], radius: int):
-        self.radius, self.prints = radius, Fingerprints()
+    def __init__(self, items: list[tuple[int, str]]):
+        self.hashes = Hashes()
         self.items = [(i, w) for i, p in items if len(w := words(p)) >= RUN]
-        prints, owner = [], []
-        for n, (_, w) in enumerate(self.items):
-            f = self.prints.windows(w)
-            prints.append(f)
-            owner.append(np.full(len(f), n))
-        self.fp = np.concatenate(prints) if prints else np.zeros(0, dtype=np.uint64)
-        self.owner = np.concatenate(owner) if owner else np.zeros(0, dtype=np.int64)
-        edges = np.linspace(0, 64, radius + 2).astype(int)
-        self.blocks = []
-        for a, b in zip(edges, edges[1:], strict=False):
-            shift, mask = np.uint64(a), np.uint64((1 << (b - a)) - 1)
-            key = (self.fp >> shift) & mask
-            order = np.argsort(key, kind="stable")
-            # A table of the block's low 16 bits rules out most windows before the search.
-            seen = np.zeros(1 << 16, dtype=bool)
-            seen[(key & np.uint64(0xFFFF)).astype(np.int64)] = True
-            self.blocks.append((shift, mask, key[order], order, seen))
+        found = [self.hashes.shingles(w) for _, w in self.items]
+        keys = np.concatenate(found) if found else np.zeros(0, dtype=np.uint64)
+        owner = np.concatenate([np.full(len(f), n) for n, f in enumerate(found)]) if found else np.zeros(0, dtype=np.int64)
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.owner = keys[order], owner[order]
+        # A table of the low 16 bits rules out most shingles of a text before the search.
+        self.seen = np.zeros(1 << 16, dtype=bool)
+        self.seen[(keys & np.uint64(0xFFFF)).astype(np.int64)] = True
         self.shingles: list[dict[tuple, list[int]]] = []
         for _, w in self.items:
             at: dict[tuple, list[int]] = defaultdict(list)
@@ -124,38 +102,25 @@ class Items:
                 at[tuple(w[k : k + RUN])].append(k)
             self.shingles.append(dict(at))
 
-    def candidates(self, fp: np.ndarray) -> dict[int, np.ndarray]:
-        """Windows of a text within the radius of a window of an item, by item."""
-        if not len(self.fp) or not len(fp):
-            return {}
-        at_window, at_item = [], []
-        for shift, mask, keys, order, seen in self.blocks:
-            key = (fp >> shift) & mask
-            near = np.flatnonzero(seen[(key & np.uint64(0xFFFF)).astype(np.int64)])
-            low = np.searchsorted(keys, key[near], "left")
-            hit = np.flatnonzero(keys[np.minimum(low, len(keys) - 1)] == key[near])
-            low, near = low[hit], near[hit]
-            n = np.searchsorted(keys, key[near], "right") - low
-            window = np.repeat(near, n)
-            item = order[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            close = np.bitwise_count(self.fp[item] ^ fp[window]) <= self.radius
-            at_window.append(window[close])
-            at_item.append(self.owner[item[close]])
-        pairs = np.unique(np.concatenate(at_item) * (len(fp) + 1) + np.concatenate(at_window))
-        if not len(pairs):
-            return {}
-        item, window = np.divmod(pairs, len(fp) + 1)
-        edges = np.flatnonzero(np.diff(item)) + 1
-        return {int(i[0]): w for i, w in zip(np.split(item, edges), np.split(window, edges), strict=True)}
+    def candidates(self, text_words: list[str]) -> dict[int, list[int]]:
+        """Places of a text at which a shingle of an item stands, by the item's number; equal hashes are still to be compared."""
+        h = self.hashes.shingles(text_words)
+        near = np.flatnonzero(self.seen[(h & np.uint64(0xFFFF)).astype(np.int64)])
+        low, high = np.searchsorted(self.keys, h[near], "left"), np.searchsorted(self.keys, h[near], "right")
+        out: dict[int, list[int]] = defaultdict(list)
+        for place, a, b in zip(near[high > low].tolist(), low[high > low].tolist(), high[high > low].tolist(), strict=True):
+            for o in set(self.owner[a:b].tolist()):
+                out[o].append(place)
+        return out
 
     def matches(self, text: str, share: float) -> list[tuple[int, int, int, float]]:
         """(item, covered words, words of the passage, share) of the items of which the text holds that share in runs."""
         w = words(text)
         out = []
-        for o, windows in self.candidates(self.prints.windows(w)).items():
+        for o, places in self.candidates(w).items():
             item, passage = self.items[o]
             covered = np.zeros(len(passage), dtype=bool)
-            for k in windows.tolist():
+            for k in places:
                 for at in self.shingles[o].get(tuple(w[k : k + RUN]), ()):
                     covered[at : at + RUN] = True
             n = int(covered.sum())
@@ -164,7 +129,7 @@ class Items:
         return out
 
 
-def find_leaks(docs: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, passage: str, share: float = 0.5, radius: int = 1) -> DataFrame:
+def find_leaks(docs: DataFrame, doc_key: str, text: str, items: DataFrame, item_key: str, passage: str, share: float = 0.5) -> DataFrame:
     """(doc_key, item_key, covered_words, passage_words, share) of each text that holds at least `share` of a passage.
 
     Null and empty texts or passages, and passages of under six words, match nothing. Repeated rows of a text each
@@ -181,7 +146,7 @@ def find_leaks(docs: DataFrame, doc_key: str, text: str, items: DataFrame, item_
         sent = sc.broadcast([(r.i, r.p) for r in own.toLocalIterator()])
 
         def scan(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
-            held = Items(sent.value, radius)
+            held = Items(sent.value)
             for batch in batches:
                 rows = [(d, *m) for d, t in zip(batch["d"], batch["t"], strict=True) for m in held.matches(t, share)]
                 yield pd.DataFrame(rows, columns=["d", "i", "covered_words", "passage_words", "share"])
