@@ -25,16 +25,16 @@ def _current(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = cut(_current(spark, d))
+    rows = cut(neighbours.encoded(_current(spark, d), DIMENSIONS))
     probes = table(spark, d, "similarity_probes").select(F.col("chunk_id").alias("id")).distinct()
-    found = neighbours.top_k(rows, rows.join(probes, "id", "left_semi"), 5, DIMENSIONS)
+    found = neighbours.top_k_stored(rows, rows.join(probes, "id", "left_semi"), 5, DIMENSIONS)
     return found.select(F.col("query_id").alias("chunk_id"), F.col("id").alias("neighbour_chunk_id"))
 
 
 def p2_neighbours(spark: SparkSession, d: str) -> DataFrame:
     """Queries: the vectors whose id is divisible by 100; rows: all."""
-    rows = neighbours.current_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", DIMENSIONS)
-    found = neighbours.top_k(rows, rows.where(F.col("id") % 100 == 0), 10, DIMENSIONS)
+    rows = cut(neighbours.encoded(neighbours.current_vectors(table(spark, d, "embeddings"), "vec_id", "embedding", DIMENSIONS), DIMENSIONS))
+    found = neighbours.top_k_stored(rows, rows.where(F.col("id") % 100 == 0), 10, DIMENSIONS)
     return found.select(F.col("query_id").alias("vec_id"), F.col("id").alias("neighbour_id"), F.col("rank"))
 
 
