@@ -1,7 +1,10 @@
 """Chunks within a token budget that keep to structure: plans, paragraph units, the fold, and their attributes.
 
 Units of one chunk share their titles, and neither overlap nor merging crosses a change of titles, so runs of units of
-equal titles are folded independently: a book's runs are spread over the cluster, and numbers are given afterwards.
+equal titles are folded by themselves. A long run is folded in blocks of units: how a block ends depends on what is held
+when it begins, so each block first says what would come of every possible beginning, these small tables are put
+together in the order of the blocks, and then each block is folded from the beginning that is its own. All of it sees
+sizes alone; the texts move when the chunks are known. The result does not depend on the size of the blocks.
 """
 
 from __future__ import annotations
@@ -11,10 +14,12 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliant.functions import text as X
 from foliant.operators import structure
-from foliant.session import cut
+from foliant.operators.scan import carried, sums_before
+from foliant.session import cut, ship
 
 # Token limit, overlap and strategy by content profile.
 PROFILES = {
@@ -78,27 +83,34 @@ def count(text: str) -> int:
     return len(_TOKENS.findall(text))
 
 
-def paragraphs(text: str, limit: int) -> list[str]:
-    """Blocks between blank lines; blocks over the limit are packed from their sentences."""
-    out: list[str] = []
+def sized_paragraphs(text: str, limit: int) -> list[tuple[int, str]]:
+    """(tokens, text) of the blocks between blank lines; blocks over the limit are packed from their sentences."""
+    out: list[tuple[int, str]] = []
     for block in map(str.strip, re.split(r"\n\s*\n", text)):
         if not block:
             continue
-        if count(block) <= limit:
-            out.append(block)
+        if (n := count(block)) <= limit:
+            out.append((n, block))
             continue
-        held = ""
+        held: list[str] = []
+        size = 0
         for part in map(str.strip, re.split(r"(?<=[.!?।॥])\s+", block)):
-            if held and count(f"{held} {part}") > limit:
-                out.append(held)
-                held = part
-            elif part:
-                held = f"{held} {part}" if held else part
+            n = count(part)  # no token goes over white space, so that counts add up
+            if held and size + n > limit:
+                out.append((size, " ".join(held)))
+                held, size = [], 0
+            if part:
+                held.append(part)
+                size += n
         if held:
-            out.append(held)
+            out.append((size, " ".join(held)))
     return out
 
 
+def paragraphs(text: str, limit: int) -> list[str]:
+    return [body for _, body in sized_paragraphs(text, limit)]
+
+
 def windows(text: str, limit: int, overlap: int) -> list[str]:
     """A long unit in windows of tokens, each but the first beginning `overlap` tokens, a third at most, before the last one's end."""
     at = [m.start() for m in _TOKENS.finditer(text)]
@@ -107,7 +119,7 @@ def windows(text: str, limit: int, overlap: int) -> list[str]:
 
 
 def fold(units: list[tuple[int, str]], limit: int, overlap: int, kind) -> list[tuple[int, int, str]]:
-    """(first page, last page, text) of the chunks of a run of units (page, text) of equal titles."""
+    """(first page, last page, text) of the chunks of a run of units (page, text) of equal titles, all in one go: what chunk_books gives in blocks."""
     chunks: list[list] = []
 
     def flush(group: list[tuple[int, str, int]]) -> None:
@@ -146,58 +158,223 @@ def fold(units: list[tuple[int, str]], limit: int, overlap: int, kind) -> list[t
     return [(a, b, c) for a, b, c, _ in chunks]
 
 
-_KINDS = [("poem", "poem|कविता"), ("story", "story|कहानी"), ("vocabulary", X.VOCABULARY), ("grammar_rule", X.GRAMMAR), ("question_set", X.QUESTION)]
+#: Units of a block, at least; a page's units go to the bin of so many pages. Neither changes the result.
+BLOCK, BIN_PAGES = 4096, 512
+UNITS = "document_id string, page_number int, u int, n int, body string"
+
+
+def flushes(n: list[int], held: int, at: int, limit: int, overlap: int):
+    """((first, end), (at, held)) of each group of units that is closed, with the place and the first unit held after it.
+
+    n are sizes; a negative one is a piece of a long unit, a group by itself. From (at, held) on the rest is determined.
+    """
+    total = sum(n[held:at])
+    while at < len(n):
+        k = n[at]
+        if k < 0:
+            if at > held:
+                yield (held, at), (at, at)
+            yield (at, at + 1), (at + 1, at + 1)
+            at += 1
+            held, total = at, 0
+            continue
+        if at > held and total + k > limit:
+            first, tail = at, 0
+            while first > held and tail + n[first - 1] <= overlap:
+                first -= 1
+                tail += n[first]
+            yield (held, at), (at + 1, first)  # the unit that was too much is taken on in any case
+            held, total = first, tail
+        total += k
+        at += 1
 
 
-def small_kind(body: str) -> str:
-    """The kind of a small text as X.content_type gives it, as far as KEPT_SMALL asks."""
-    for name, pattern in _KINDS:
-        if re.search(pattern, body, re.I):
-            return name
-    if re.search(r"\bexample\b|उदाहरण", body, re.I):
-        return "example"
-    if re.search(r"\bdefinition\b|is called|refers to|परिभाषा|कहलाता|कहलाती|कहते हैं", body, re.I):
-        return "definition"
-    if re.search(r"[A-Za-zअ-ह०-९0-9π√]+\s*[=+×÷≤≥<>]\s*[A-Za-zअ-ह०-९0-9π√()/%+\-×÷\s]+|\b\d+\s*/\s*\d+\b", body):
-        return "formula"
-    return "table" if re.search(X.TABLE_LIKE, body) else "explanation"
+def size_of(n: list[int], first: int, end: int) -> int:
+    return sum(map(abs, n[first:end]))
 
 
-CHUNKS = "document_id string, run long, local_index int, page_start int, page_end int, content string"
-#: Pages of a run that go to one task at most: longer runs are cut, at the price of an overlap there.
-RUN_PAGES = 2000
+def outcomes(n: list[int], before: list[int], limit: int, overlap: int) -> list[tuple[int, int, tuple[int, ...]]]:
+    """For a block of sizes n, by how many units of `before` are held when it begins: (units held at its end, groups closed, sizes of the last two).
+
+    Folds from different beginnings soon meet; what follows is worked out once.
+    """
+    whole, base = [*before, *n], len(before)
+    known: dict[tuple[int, int], tuple] = {}
+    out = []
+    for held in range(base + 1):
+        if held and (before[-held] < 0 or size_of(before, base - held, base) > limit + overlap):
+            break
+        trail, first, end = [], base - held, None
+        for (a, b), state in flushes(whole, first, base, limit, overlap):
+            trail.append((state, size_of(whole, a, b)))
+            first = state[1]
+            if end := known.get(state):
+                break
+        end = end or (len(whole) - first, 0, ())
+        for state, size in reversed(trail):
+            known.setdefault(state, end)
+            end = (end[0], end[1] + 1, end[2] if len(end[2]) == 2 else (size, *end[2]))
+        out.append(end)
+    return out
+
+
+OUTCOMES = T.ArrayType(T.StructType([T.StructField("held", T.IntegerType()), T.StructField("closed", T.IntegerType()), T.StructField("sizes", T.ArrayType(T.IntegerType()))]))
+GROUPS = T.ArrayType(T.StructType([T.StructField(c, T.IntegerType()) for c in ("first", "end", "n", "n1", "n2")]))
+
+
+@F.pandas_udf(OUTCOMES)
+def _outcomes_udf(n: pd.Series, before: pd.Series, limit: pd.Series, overlap: pd.Series) -> pd.Series:
+    rows = zip(n, before, limit, overlap, strict=True)
+    return pd.Series([[{"held": h, "closed": c, "sizes": list(s)} for h, c, s in outcomes(list(map(int, x)), list(map(int, b)), int(m), int(o))] for x, b, m, o in rows], dtype=object)
+
+
+@F.pandas_udf(GROUPS)
+def _groups_udf(n: pd.Series, before: pd.Series, held: pd.Series, limit: pd.Series, overlap: pd.Series, last: pd.Series, sizes: pd.Series) -> pd.Series:
+    """Groups closed in a block, as places in before + n, with the sizes of the two before them in the run."""
+    out = []
+    for x, b, h, m, o, end, s in zip(n, before, held, limit, overlap, last, sizes, strict=True):
+        whole, base = [*map(int, b), *map(int, x)], len(b)
+        first, found, past = base - int(h), [], [None, None, *map(int, s)]
+        groups = []
+        for group, state in flushes(whole, first, base, int(m), int(o)):
+            groups.append(group)
+            first = state[1]
+        if end and first < len(whole):
+            groups.append((first, len(whole)))
+        for a, z in groups:
+            k = size_of(whole, a, z)
+            found.append({"first": a, "end": z, "n": k, "n1": past[-1], "n2": past[-2]})
+            past.append(k)
+        out.append(found)
+    return pd.Series(out, dtype=object)
+
+
+def _in_order(run: pd.DataFrame) -> pd.DataFrame:
+    """What each block of a run begins with: units held, groups closed before, sizes of the last two of them."""
+    held, closed, sizes, rows = 0, 0, (), []
+    for r in run.sort_values("block").itertuples():
+        rows.append((r.document_id, r.run, r.block, held, closed, list(sizes)))
+        held, c, s = r.m[held]["held"], r.m[held]["closed"], r.m[held]["sizes"]
+        closed, sizes = closed + int(c), (*sizes, *map(int, s))[-2:]
+        held = int(held)
+    return pd.DataFrame(rows, columns=["document_id", "run", "block", "held", "closed", "sizes"])
+
+
+def units(pages: DataFrame, plans: DataFrame, text: str) -> DataFrame:
+    """(document_id, page_number, u, n, body, level, title): paragraphs of the cleaned pages in order, n their tokens; pieces of units over the limit have -n. Cut: all that follows reads it."""
+    limit, overlap, _ = PROFILES["unknown"]
+    rows = pages.join(plans, "document_id", "left").select("document_id", "page_number", F.coalesce("max_tokens", F.lit(limit)).alias("m"), F.coalesce("overlap_tokens", F.lit(overlap)).alias("o"), F.col(text).alias("t"))
+
+    def split(batches):
+        for batch in batches:
+            out = []
+            for doc, page, most, back, t in zip(batch["document_id"], batch["page_number"], batch["m"], batch["o"], batch["t"], strict=True):
+                pieces: list[tuple[int, str]] = []
+                for n, body in sized_paragraphs(X.clean(t), most):
+                    pieces += [(n, body)] if n <= most else [(-count(x), x) for x in windows(body, most, back) if x]
+                out += [(doc, page, u, n, body) for u, (n, body) in enumerate(pieces)]
+            yield pd.DataFrame(out, columns=["document_id", "page_number", "u", "n", "body"])
+
+    h = F.when(F.length("body") <= 160, X.heading(F.col("body")))
+    return cut(rows.where(F.col("t").isNotNull() & F.col("page_number").isNotNull() & F.col("document_id").isNotNull()).mapInPandas(split, UNITS).withColumn("h", h).select("document_id", "page_number", "u", "n", "body", "h.level", "h.title"))
+
+
+KEY_TITLES = ["chapter_title", "unit_title", "lesson_title", "section_title"]
+
+
+def placed_units(slim: DataFrame, records: DataFrame) -> DataFrame:
+    """(document_id, page_number, u, n, titles, run, place): each unit with its titles, the number of the first unit of its run in the book, and its own place in the run.
+
+    The titles are those of the record that its page belongs to; after such a page, and where there is none, a heading
+    sets its own title and clears the section's below it.
+    """
+    at = structure.resolve_pages(slim.select("document_id", "page_number").distinct(), records)
+    of = {c: structure.filled(F.col(f"record.{c}")) for c in KEY_TITLES}
+    has = F.coalesce(*of.values()).isNotNull()
+    level = F.col("level")
+    own = {c: F.when(level == c, F.col("title")) for c in KEY_TITLES}
+    own["section_title"] = F.when(level.isin("chapter_title", "unit_title", "lesson_title"), F.lit("")).otherwise(own["section_title"])
+    events = slim.join(at.select("document_id", "page_number", has.alias("has"), *[v.alias(f"r_{c}") for c, v in of.items()]), ["document_id", "page_number"])
+    events = events.select("document_id", "page_number", "u", "n", F.floor(F.col("page_number") / BIN_PAGES).alias("bin"), *[F.when(F.col("has"), F.coalesce(f"r_{c}", F.lit(""))).otherwise(own[c]).alias(c) for c in KEY_TITLES])
+    order = ["page_number", "u"]
+    known = carried(sums_before(events, "document_id", "bin", order, F.lit(1), "g"), "document_id", "bin", order, KEY_TITLES)
+    w = Window.partitionBy("document_id", "bin").orderBy(*order)
+    titles = lambda suffix="": F.struct(*[F.coalesce(f"{c}{suffix}", F.lit("")).alias(c) for c in KEY_TITLES])
+    before = F.when(F.row_number().over(w) == 1, titles("_in")).otherwise(F.lag(titles()).over(w))
+    starts = known.withColumn("run", F.when((F.col("g") == 0) | (before != titles()), F.col("g")))
+    out = carried(starts.drop(*[f"{c}_in" for c in KEY_TITLES]), "document_id", "bin", order, ["run"])
+    return out.select("document_id", *order, "n", *[F.nullif(c, F.lit("")).alias(c) for c in KEY_TITLES], "run", (F.col("g") - F.col("run")).alias("place"))
+
+
+def groups_of(placed: DataFrame, plans: DataFrame) -> DataFrame:
+    """(document_id, run, number, g, n, n1, n2, most, titles, places): the groups of units that the fold closes, in the order g of their book.
+
+    number counts them in their run, n1 and n2 are the sizes of the two before in it, places are (page_number, u).
+    """
+    limit, overlap, _ = PROFILES["unknown"]
+    most, back = F.greatest(F.lit(2 * LEAST), F.coalesce("max_tokens", F.lit(limit))), F.coalesce("overlap_tokens", F.lit(overlap))
+    rows = placed.join(plans, "document_id", "left").withColumn("most", most).withColumn("back", back)
+    rows = rows.withColumn("block", F.floor(F.col("place") / F.greatest(F.lit(BLOCK), 2 * (F.col("most") + F.col("back")))))
+    blocks = rows.groupBy("document_id", "run", "block").agg(*[F.first(c).alias(c) for c in ("most", "back", *KEY_TITLES)], F.array_sort(F.collect_list(F.struct("place", "n", "page_number", "u"))).alias("x"))
+    w = Window.partitionBy("document_id", "run").orderBy("block")
+    kept = F.least(F.size("x"), F.col("most") + F.col("back"))
+    blocks = blocks.withColumn("before", F.coalesce(F.lag(F.slice("x", -kept, kept)).over(w), F.slice("x", 1, 0))).withColumn("last", F.lead("block").over(w).isNull())
+    blocks = cut(blocks)
+    several = blocks.where(~((F.col("block") == 0) & F.col("last"))).select("document_id", "run", "block", _outcomes_udf("x.n", "before.n", "most", "back").alias("m"))
+    begun = several.groupBy("document_id", "run").applyInPandas(_in_order, "document_id string, run bigint, block bigint, held int, closed int, sizes array<int>")
+    none = F.expr("cast(array() as array<int>)")
+    from_ = blocks.join(begun, ["document_id", "run", "block"], "left").withColumn("held", F.coalesce("held", F.lit(0))).withColumn("closed", F.coalesce("closed", F.lit(0))).withColumn("sizes", F.coalesce("sizes", none))
+    found = from_.withColumn("groups", _groups_udf("x.n", "before.n", "held", "most", "back", "last", "sizes")).withColumn("bin", F.floor(F.col("run") / BLOCK))
+    found = sums_before(found, "document_id", "bin", ["run", "block"], F.size("groups"), "g0")
+    all_places = F.transform(F.concat("before", "x"), lambda p: F.struct(p["page_number"].alias("page_number"), p["u"].alias("u")))
+    each = found.select("document_id", "run", "closed", "g0", "most", *KEY_TITLES, all_places.alias("all"), F.posexplode("groups").alias("i", "group"))
+    return each.select("document_id", "run", (F.col("closed") + F.col("i")).alias("number"), (F.col("g0") + F.col("i")).alias("g"), "group.n", "group.n1", "group.n2", "most", *KEY_TITLES, F.slice("all", F.col("group.first") + 1, F.col("group.end") - F.col("group.first")).alias("places"))
+
+
+def merges(bodies: DataFrame) -> DataFrame:
+    """(document_id, g): small groups that join the chunk before them.
+
+    A group is small below LEAST tokens unless its kind is kept. Of three groups in a row at least one is not small: the
+    one after a group that was closed because the next unit was too much holds more, and so does the first piece of a
+    long unit; so the two groups before say what the chunk before holds.
+    """
+    small = bodies.where((F.col("n") < LEAST) & F.col("n1").isNotNull()).select("document_id", "run", "number", "g", "n", "n1", "n2", "most", X.content_type(F.col("body")).alias("kind")).where(~F.col("kind").isin(*KEPT_SMALL))
+    small = cut(small)
+    after = small.select("document_id", "run", (F.col("number") + 1).alias("number"), F.lit(True).alias("second"))
+    both = small.join(after, ["document_id", "run", "number"], "left")
+    two = F.coalesce(F.col("second") & (F.col("n1") + F.col("n2") <= F.col("most")), F.lit(False))
+    holds = F.when(two, F.col("n1") + F.col("n2")).otherwise(F.col("n1"))
+    return both.where(holds + F.col("n") <= F.col("most")).select("document_id", "g")
 
 
 def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: str = "raw_text") -> DataFrame:
     """(document_id, chunk_index, page_start, page_end, chapter_title, unit_title, lesson_title, section_title, content).
 
-    pages holds a page once. Pages are resolved to the records of their book; a page without a record stays in the run
-    before it. Null and blank pages are left out; a book without a plan has the one of `unknown`. Runs are found by a
-    window over slim rows, and the texts move once, keyed by book and run.
+    pages holds a page once. Pages are resolved to the records of their book; what a page without a record has is told
+    by the headings on it, and by what came before. Null and blank pages are left out; a book without a plan has the one
+    of `unknown`; a limit below twice LEAST counts as that. Texts are cleaned once and move by page, group and chunk,
+    never by book.
     """
-    clean = pages.select("document_id", "page_number", X.clean_text(text).alias("_text")).where(F.trim("_text") != "")
-    known = structure.resolve_pages(clean.select("document_id", "page_number"), records)
-    titles = ["chapter_title", "unit_title", "lesson_title", "section_title"]
-    slim = known.select("document_id", "page_number", F.struct(*[structure.filled(F.col(f"record.{c}")).alias(c) for c in titles]).alias("at"), F.coalesce(*[structure.filled(F.col(f"record.{c}")) for c in titles]).isNotNull().alias("has"))
-    w = Window.partitionBy("document_id").orderBy("page_number")
-    slim = slim.withColumn("at", F.last(F.when(F.col("has"), F.col("at")), ignorenulls=True).over(w))
-    slim = slim.withColumn("new", (~F.col("at").eqNullSafe(F.lag("at").over(w)) | (F.row_number().over(w) % RUN_PAGES == 1)).cast("int")).withColumn("run", F.sum("new").over(w))
-    limit, overlap, _ = PROFILES["unknown"]
+    ship(pages.sparkSession)
     plan = plans.select("document_id", "max_tokens", "overlap_tokens")
-    rows = clean.join(slim.select("document_id", "page_number", "run", "at"), ["document_id", "page_number"]).join(plan, "document_id", "left").select("document_id", "run", "page_number", F.coalesce("max_tokens", F.lit(limit)).alias("max_tokens"), F.coalesce("overlap_tokens", F.lit(overlap)).alias("overlap_tokens"), "_text")
-
-    def cut_run(run: pd.DataFrame) -> pd.DataFrame:
-        run = run.sort_values("page_number", kind="stable")
-        most, back = int(run["max_tokens"].iloc[0]), int(run["overlap_tokens"].iloc[0])
-        units = [(int(p), x) for p, t in zip(run["page_number"], run["_text"], strict=True) for x in paragraphs(t, most)]
-        found = fold(units, most, back, small_kind)
-        key = run["document_id"].iloc[0], run["run"].iloc[0]
-        return pd.DataFrame([(*key, i, *c) for i, c in enumerate(found)], columns=["document_id", "run", "local_index", "page_start", "page_end", "content"])
-
-    chunks = rows.groupBy("document_id", "run").applyInPandas(cut_run, CHUNKS)
-    runs = slim.groupBy("document_id", "run").agg(F.first("at").alias("at"))
-    index = F.row_number().over(Window.partitionBy("document_id").orderBy("run", "local_index")) - 1
-    return chunks.join(runs, ["document_id", "run"]).withColumn("chunk_index", index).select("document_id", "chunk_index", "page_start", "page_end", *[F.col(f"at.{c}").alias(c) for c in titles], "content")
+    whole = units(pages, plan.withColumn("max_tokens", F.greatest("max_tokens", F.lit(2 * LEAST))), text)
+    groups = groups_of(cut(placed_units(whole.drop("body"), records)), plan)
+    spread = groups.select("document_id", "run", "number", "g", "n", "n1", "n2", "most", *KEY_TITLES, F.posexplode("places").alias("i", "p")).select("*", "p.page_number", "p.u").drop("p")
+    parts = spread.join(whole.select("document_id", "page_number", "u", "body"), ["document_id", "page_number", "u"])
+    same = ["run", "number", "n", "n1", "n2", "most", *KEY_TITLES]
+    joined = lambda key, body: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, body))), lambda x: x[body]), "\n\n")
+    bodies = cut(parts.groupBy("document_id", "g").agg(*[F.first(c).alias(c) for c in same], F.min("page_number").alias("page_start"), F.max("page_number").alias("page_end"), joined("i", "body").alias("body")))
+    # By bin of groups: how many were merged before it, and which in it. A merged group gets the index of the one it
+    # joins, as it counts among those merged up to itself.
+    bin_ = F.floor(F.col("g") / BLOCK).alias("bin")
+    gone = merges(bodies).groupBy("document_id", bin_).agg(F.collect_list("g").alias("gone"))
+    bins = bodies.select("document_id", bin_).distinct().join(gone, ["document_id", "bin"], "left").withColumn("gone", F.coalesce("gone", F.expr("cast(array() as array<bigint>)")))
+    bins = sums_before(bins.withColumn("all", F.lit(0)), "document_id", "all", ["bin"], F.size("gone"), "less").drop("all")
+    index = F.col("g") - F.col("less") - F.size(F.filter("gone", lambda x: x <= F.col("g")))
+    chunks = bodies.select("*", bin_).join(bins, ["document_id", "bin"]).withColumn("chunk_index", index.cast("int"))
+    titles = [F.first(c).alias(c) for c in KEY_TITLES]
+    out = chunks.groupBy("document_id", "chunk_index").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), *titles, joined("g", "body").alias("content"))
+    return out.select("document_id", "chunk_index", "page_start", "page_end", "chapter_title", "unit_title", "lesson_title", "section_title", "content")
 
 
 def enrich(chunks: DataFrame, books: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
 """Coverage of integer intervals: continuous periods and the gaps between them.
 
-Each interval is cut into canonical dyadic blocks (size 2^k, start a multiple of 2^k). Blocks below the cell size are
-gathered by (key, cell), so a group never holds more than two blocks for each value of a cell, whatever the number of
-rows of its key; larger blocks stay blocks of their own. Within a cell, blocks covered by an ancestor are removed and
-sibling pairs merged upward; what is left is coalesced. Only the first and last run of a cell can continue in another
-one, so the window by key sees two rows a cell.
+Each interval is cut into canonical dyadic blocks (size 2^k, start a multiple of 2^k). Blocks are gathered in three tiers
+of CELL_BITS levels each, by (key, tier, cell), so a group never holds more than two blocks for each of a cell's places,
+whatever the number of rows of its key. Within a cell, blocks covered by an ancestor are removed and sibling pairs
+merged upward; cells covered by a block of a higher tier are dropped. What is left is coalesced: only the first and last
+run of a cell can continue in another one, so the window by key sees two rows a cell.
 """
 
 from __future__ import annotations
@@ -14,40 +14,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Cells of 2^CELL_BITS values.
-CELL_BITS = 12
+from foliant.session import cut
+
+#: Levels of a tier: a cell of the lowest has 2^CELL_BITS values, one of the next as many such cells.
+CELL_BITS, TIERS = 12, 3
 #: Added to every value, so that blocks have no sign; values from -2^31 to 2^31 are covered.
 SHIFT = 1 << 31
-TOP_BITS = 33
 
 RUNS = T.ArrayType(T.StructType([T.StructField("s", T.LongType()), T.StructField("e", T.LongType())]))
 
 
 def dyadic_blocks(start: Column, end: Column) -> Column:
-    """array<struct<k int, i bigint>>: the canonical blocks of [start, end], both included, at most two a level."""
-    zero = F.struct(
-        (start + F.lit(SHIFT)).cast("bigint").alias("l"),
-        (end + F.lit(SHIFT) + F.lit(1)).cast("bigint").alias("r"),
-        F.expr("cast(array() as array<struct<k:int,i:bigint>>)").alias("out"),
-    )
+    """array<struct<k int, i bigint>>: the canonical blocks of [start, end], both included, at most two a level.
+
+    At level k the whole blocks within [l, r) go from l / 2^k, rounded up, to r / 2^k, rounded down. The first is
+    canonical when its number is odd, as its sibling sticks out, and the last when the number after it is.
+    """
+    l, r = (start + F.lit(SHIFT)).cast("bigint"), (end + F.lit(SHIFT) + F.lit(1)).cast("bigint")
+
+    def level(x: Column) -> Column:
+        k, a, b = x["k"], x["a"], x["b"]
+        odd = lambda v: v.bitwiseAND(F.lit(1)) == 1
+        block = lambda i: F.struct(k.alias("k"), i.alias("i"))
+        return F.array(F.when((a < b) & odd(a), block(a)), F.when((a < b) & odd(b) & ~(odd(a) & (a + 1 == b)), block(b - 1)))
 
-    def level(acc: Column, k: Column) -> Column:
-        l, r = acc["l"], acc["r"]
-        left = (l < r) & (l % 2 == 1)
-        l2 = F.when(left, l + 1).otherwise(l)
-        right = (l2 < r) & (r % 2 == 1)
-        r2 = F.when(right, r - 1).otherwise(r)
-        block = lambda i: F.array(F.struct(k.cast("int").alias("k"), i.cast("bigint").alias("i")))
-        none = F.expr("cast(array() as array<struct<k:int,i:bigint>>)")
-        out = F.concat(acc["out"], F.when(left, block(l)).otherwise(none), F.when(right, block(r2)).otherwise(none))
-        live = l2 < r2
-        return F.struct(
-            F.when(live, F.floor(l2 / 2)).otherwise(F.lit(0)).cast("bigint").alias("l"),
-            F.when(live, F.floor(r2 / 2)).otherwise(F.lit(0)).cast("bigint").alias("r"),
-            out.alias("out"),
-        )
-
-    return F.aggregate(F.sequence(F.lit(0), F.lit(TOP_BITS)), zero, level)["out"]
+    levels = F.sequence(F.lit(0), F.floor(F.log2((r - l).cast("double"))).cast("int") + 1)
+    # The bounds of a level are bound to names, as shifts of a column amount are an expression only in SQL.
+    bounds = F.transform(levels, lambda k: F.struct(k.alias("k"), (-F.call_function("shiftright", -l, k)).alias("a"), F.call_function("shiftright", r, k).alias("b")))
+    return F.array_compact(F.flatten(F.transform(bounds, level)))
 
 
 def merge_blocks(blocks: set[tuple[int, int]], top: int) -> list[tuple[int, int]]:
@@ -68,11 +62,14 @@ def merge_blocks(blocks: set[tuple[int, int]], top: int) -> list[tuple[int, int]
 
 
 @F.pandas_udf(RUNS)
-def _cell_runs(levels: pd.Series, indexes: pd.Series) -> pd.Series:
-    return pd.Series(
-        [[{"s": s, "e": e} for s, e in merge_blocks(set(zip(map(int, k), map(int, i), strict=True)), CELL_BITS)] for k, i in zip(levels, indexes, strict=True)],
-        dtype=object,
-    )
+def _cell_runs(tiers: pd.Series, levels: pd.Series, indexes: pd.Series) -> pd.Series:
+    """Runs of values of each cell, from its blocks by level within the tier."""
+    out = []
+    for tier, k, i in zip(tiers, levels, indexes, strict=True):
+        shift = int(tier) * CELL_BITS
+        runs = merge_blocks(set(zip(map(int, k), map(int, i), strict=True)), CELL_BITS)
+        out.append([{"s": s << shift, "e": ((e + 1) << shift) - 1} for s, e in runs])
+    return pd.Series(out, dtype=object)
 
 
 def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
@@ -80,7 +77,8 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str) -> Da
 
     A null end, or an end before the start, means the start alone; a row with a null start is no interval. A null key
     is a key like any other. Runs that touch are one; an empty input gives no rows. Other columns are ignored, and may
-    bear any name. Values must lie between -2^31 and 2^31 - 1.
+    bear any name. Values must lie between -2^31 and 2^31 - 1. The input is read once; the cells, a fraction of it,
+    are written to the checkpoint folder.
     """
     names = [f"_key{n}" for n in range(len(keys))]
     s, e = F.col("_s"), F.col("_e")
@@ -88,45 +86,40 @@ def periods_and_gaps(df: DataFrame, keys: list[str], start: str, end: str) -> Da
         df.select(*[F.col(f"`{k}`").alias(n) for k, n in zip(keys, names, strict=True)], F.col(f"`{start}`").cast("bigint").alias("_s"), F.col(f"`{end}`").cast("bigint").alias("_e"))
         .where(s.isNotNull())
         .withColumn("_e", F.when(e.isNull() | (e < s), s).otherwise(e))
-        .distinct()
     )
-    blocks = spans.select(*names, F.explode(dyadic_blocks(s, e)).alias("b")).select(*names, F.col("b.k").alias("k"), F.col("b.i").alias("i")).distinct()
-    same = lambda a, b: F.lit(True) if not names else _all([a[n].eqNullSafe(b[n]) for n in names])
-
-    small = blocks.where(F.col("k") < CELL_BITS).withColumn("cell", F.expr(f"shiftright(i, {CELL_BITS} - k)"))
-    large = blocks.where(F.col("k") >= CELL_BITS)
-    # Ancestors: few levels above the cell exist, so an equi-join on the exploded ancestors of the cell or block.
-    above = lambda level, index: F.expr(f"transform(sequence(0, {TOP_BITS}), d -> named_struct('k', {level} + d, 'i', shiftright({index}, d)))")
-    cells = small.groupBy(*names, "cell").agg(F.collect_list("k").alias("ks"), F.collect_list("i").alias("is")).select(*names, "cell", _cell_runs("ks", "is").alias("runs"))
-    asked = cells.select(*names, "cell", F.explode(above(str(CELL_BITS), "cell")).alias("a")).select(*names, "cell", F.col("a.k").alias("k"), F.col("a.i").alias("i"))
-    covered = asked.alias("a").join(large.alias("b"), same(_of("a"), _of("b")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.i") == F.col("b.i")), "left_semi").select(*names, "cell").distinct()
-    cells = cells.alias("a").join(covered.alias("b"), same(_of("a"), _of("b")) & (F.col("a.cell") == F.col("b.cell")), "left_anti")
-    up = large.select(*names, F.col("k").alias("k0"), F.col("i").alias("i0"), F.explode(F.slice(above("k", "i"), 2, TOP_BITS)).alias("a")).select(*names, "k0", "i0", F.col("a.k").alias("k"), F.col("a.i").alias("i"))
-    inside = up.alias("a").join(large.alias("b"), same(_of("a"), _of("b")) & (F.col("a.k") == F.col("b.k")) & (F.col("a.i") == F.col("b.i")), "left_semi").select(*names, "k0", "i0").distinct()
-    alone = large.alias("a").join(inside.alias("b"), same(_of("a"), _of("b")) & (F.col("a.k") == F.col("b.k0")) & (F.col("a.i") == F.col("b.i0")), "left_anti")
-    big_runs = alone.select(*names, F.expr("array(named_struct('s', shiftleft(i, k), 'e', shiftleft(i + 1, k) - 1))").cast(RUNS).alias("runs"))
-    groups = cells.select(*names, "runs").unionByName(big_runs)
-
-    inner = groups.select(*names, F.explode(F.expr("slice(runs, 2, greatest(size(runs) - 2, 0))")).alias("r")).select(*names, F.col("r.s").alias("s"), F.col("r.e").alias("e"))
-    holes = groups.select(*names, F.explode(F.expr("transform(sequence(1, size(runs)), n -> named_struct('s', runs[n - 1].e + 1, 'e', if(n < size(runs), runs[n].s - 1, -1L)))")).alias("r")).where("r.e >= 0").select(*names, F.col("r.s").alias("s"), F.col("r.e").alias("e"))
-    edges = groups.select(*names, F.explode(F.expr("if(size(runs) = 1, runs, array(runs[0], runs[size(runs) - 1]))")).alias("r"), F.expr("runs[0].s").alias("g")).select(*names, "g", F.col("r.s").alias("s"), F.col("r.e").alias("e"))
+    blocks = spans.select(*names, F.explode(dyadic_blocks(s, e)).alias("b")).select(*names, F.col("b.k").alias("k"), F.col("b.i").alias("i"))
+    tier = F.least(F.lit(TIERS - 1), F.floor(F.col("k") / CELL_BITS)).cast("int")
+    tiered = blocks.withColumn("tier", tier).withColumn("k", F.col("k") - F.col("tier") * CELL_BITS)
+    # Sets of blocks: repeated ones fall away before the shuffle.
+    held = tiered.groupBy(*names, "tier", F.expr(f"shiftright(i, {CELL_BITS} - k)").alias("cell")).agg(F.collect_set(F.struct("k", "i")).alias("b"))
+    cells = cut(held.select(*names, "tier", "cell", _cell_runs("tier", "b.k", "b.i").alias("runs")))
+
+    upper = cells.where(F.col("tier") > 0).select(*[F.col(n).alias(f"u{n}") for n in names], F.col("tier").alias("u_tier"), F.col("cell").alias("u_cell"), F.col("runs").alias("u_runs"))
+    above = F.transform(F.sequence(F.lit(1), F.lit(TIERS - 1)), lambda t: F.struct(t.alias("t"), F.call_function("shiftright", F.col("cell"), (t - F.col("tier")) * CELL_BITS).alias("c")))
+    asked = cells.where(F.col("tier") < TIERS - 1).select(*names, "tier", "cell", F.explode(F.filter(above, lambda x: x["t"] > F.col("tier"))).alias("a"))
+    first = F.call_function("shiftleft", F.col("cell"), (F.col("tier") + 1) * CELL_BITS)
+    inside = F.exists("u_runs", lambda x: (x["s"] <= first) & (x["e"] >= first))
+    covered = asked.join(upper, _all([F.col(n).eqNullSafe(F.col(f"u{n}")) for n in names] + [F.col("a.t") == F.col("u_tier"), F.col("a.c") == F.col("u_cell")]) & inside, "left_semi")
+    covered = covered.select(*[F.col(n).alias(f"c{n}") for n in names], F.col("tier").alias("c_tier"), F.col("cell").alias("c_cell")).distinct()
+    alone = cells.join(covered, _all([F.col(n).eqNullSafe(F.col(f"c{n}")) for n in names] + [F.col("tier") == F.col("c_tier"), F.col("cell") == F.col("c_cell")]), "left_anti")
+
+    # Inner runs and holes of a lowest cell are final; its first and last run, and all runs of higher tiers, may touch others.
+    n, low = F.size("runs"), F.col("tier") == 0
+    row = lambda kind, s_, e_, group: F.struct(F.lit(kind).alias("kind"), s_.alias("s"), e_.alias("e"), group.alias("g"))
+    of = F.col("runs")[0]["s"]
+    edge = F.filter(F.transform("runs", lambda x, i: F.when(~low | (i == 0) | (i == n - 1), row("edge", x["s"], x["e"], F.when(low, of).otherwise(x["s"]))).otherwise(row("period", x["s"], x["e"], of))), lambda x: x.isNotNull())
+    hole = F.when(low & (n > 1), F.transform(F.sequence(F.lit(1), n - 1), lambda i: row("gap", F.col("runs")[i - 1]["e"] + 1, F.col("runs")[i]["s"] - 1, of))).otherwise(F.slice(F.array(row("gap", of, of, of)), 1, 0))
+    rows = alone.select(*names, F.explode(F.concat(edge, hole)).alias("r")).select(*names, "r.*")
+
     order = Window.partitionBy(*names).orderBy("s")
-    edges = edges.withColumn("before", F.lag("e").over(order)).withColumn("group_before", F.lag("g").over(order))
+    edges = rows.where("kind = 'edge'").withColumn("before", F.lag("e").over(order)).withColumn("group_before", F.lag("g").over(order))
     edges = edges.withColumn("island", F.sum(F.when(F.col("before") + 1 == F.col("s"), 0).otherwise(1)).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    outer = edges.groupBy(*names, "island").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("island")
-    between = edges.where((F.col("before") + 1 < F.col("s")) & (F.col("group_before") != F.col("g"))).select(*names, (F.col("before") + 1).alias("s"), (F.col("s") - 1).alias("e"))
-    out = lambda d, kind: d.select(*[F.col(n).alias(k) for n, k in zip(names, keys, strict=True)], F.lit(kind).alias("kind"), (F.col("s") - SHIFT).cast("int").alias("start_page"), (F.col("e") - SHIFT).cast("int").alias("end_page"))
-    return out(inner.unionByName(outer), "period").unionByName(out(holes.unionByName(between), "gap"))
-
-
-class _of:
-    """Columns of an aliased frame by name."""
-
-    def __init__(self, alias: str):
-        self.alias = alias
-
-    def __getitem__(self, name: str) -> Column:
-        return F.col(f"{self.alias}.{name}")
+    between = (F.col("before") + 1 < F.col("s")) & (F.col("group_before") != F.col("g"))
+    # One row an island: the period, and the gap before it where it isn't a hole within a cell.
+    islands = edges.groupBy(*names, "island").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.min(F.when(between, F.col("before") + 1)).alias("from"), F.min(F.when(between, F.col("s") - 1)).alias("to"))
+    outer = islands.select(*names, F.explode(F.array_compact(F.array(F.struct(F.lit("period").alias("kind"), "s", "e"), F.when(F.col("from").isNotNull(), F.struct(F.lit("gap").alias("kind"), F.col("from").alias("s"), F.col("to").alias("e")))))).alias("r")).select(*names, "r.*")
+    out = rows.where("kind <> 'edge'").select(*names, "kind", "s", "e").unionByName(outer)
+    return out.select(*[F.col(x).alias(k) for x, k in zip(names, keys, strict=True)], "kind", (F.col("s") - SHIFT).cast("int").alias("start_page"), (F.col("e") - SHIFT).cast("int").alias("end_page"))
 
 
 def _all(conditions: list[Column]) -> Column:

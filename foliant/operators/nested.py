@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Table of an object, by the name (letters only, lower case) of the member that holds it. Fixed names of the domain.
@@ -30,6 +30,21 @@ def plain(name: str) -> str:
     return "".join(c for c in name if c.isalpha()).lower()
 
 
+class Again(str):
+    """A name that its object has already: equal to itself alone, so that no member is lost."""
+
+    __slots__ = ()
+    __eq__ = object.__eq__
+    __hash__ = object.__hash__
+
+
+def _members(pairs: list[tuple[str, Any]]) -> dict:
+    out: dict = {}
+    for name, value in pairs:
+        out[Again(name) if name in out else name] = value
+    return out
+
+
 def _constant(word: str) -> None:
     raise ValueError(f"{word} is no JSON")
 
@@ -37,7 +52,7 @@ def _constant(word: str) -> None:
 def parse(text: str) -> Any:
     """The value of a complete JSON text; ValueError otherwise. Nesting of any depth is read."""
     try:
-        return json.loads(text, parse_constant=_constant)
+        return json.loads(text, parse_constant=_constant, object_pairs_hook=_members)
     except RecursionError:
         return _parse_deep(text)
 
@@ -51,7 +66,7 @@ def _parse_deep(text: str) -> Any:
 
     def put(value: Any) -> None:
         if isinstance(target, dict):
-            target[name] = value
+            target[Again(name) if name in target else name] = value
         else:
             target.append(value)
 
@@ -117,13 +132,36 @@ def _dump(value: dict) -> str:
     try:
         return json.dumps(value, ensure_ascii=False)
     except RecursionError:
-        return "{}"
+        return _dump_deep(value)
+
+
+class _Raw(str):
+    """A piece of JSON that is ready."""
+
+
+def _dump_deep(value: Any) -> str:
+    """As json.dumps, with a stack of its own instead of recursion."""
+    out, stack = [], [value]
+    while stack:
+        x = stack.pop()
+        if isinstance(x, _Raw):
+            out.append(x)
+        elif isinstance(x, (dict, list)):
+            parts: list[Any] = []
+            for n, y in enumerate(x.items() if isinstance(x, dict) else x):
+                name, inner = (json.dumps(y[0], ensure_ascii=False) + ": ", y[1]) if isinstance(x, dict) else ("", y)
+                parts += [_Raw((", " if n else "") + name), inner]
+            stack += reversed([_Raw("{" if isinstance(x, dict) else "["), *parts, _Raw("}" if isinstance(x, dict) else "]")])
+        else:
+            out.append(json.dumps(x, ensure_ascii=False))
+    return "".join(out)
 
 
-def visit(payload: str | None) -> Iterator[tuple]:
+def visit(payload: str | None, own_payloads: bool = True) -> Iterator[tuple]:
     """(tag, node_path, parent_path, depth, ordinal, payload, title) of each object, parents before children.
 
-    The payload of a node holds its own scalars and lists of scalars; nested objects are nodes of their own.
+    The payload of a node holds its own scalars and lists of scalars, and the scalars of lists that hold objects too;
+    nested objects are nodes of their own. Of members of equal names each is read. Without own_payloads it is null.
     """
     if payload is None or not payload.strip():
         yield "rejected", "$", None, 0, 0, payload, None
@@ -148,9 +186,11 @@ def visit(payload: str | None) -> Iterator[tuple]:
                 y = unwrap(x)
                 if _holds_object(y):
                     inside.append((y, f"{path}.{name}", path, TABLES.get(flat, "other"), depth + 1, 0))
+                    if isinstance(y, list) and (plain_ones := [v for v in y if not isinstance(v, (dict, list)) and not _holds_object(v)]):
+                        own[name] = plain_ones
                 else:
                     own[name] = y
-            yield tag, path, parent, depth, ordinal, _dump(own), title
+            yield tag, path, parent, depth, ordinal, _dump(own) if own_payloads else None, title
             stack.extend(reversed(inside))
 
 
@@ -178,10 +218,11 @@ def flatten(df: DataFrame, key: str, payload: str) -> DataFrame:
 
 
 def flat_table(nodes: DataFrame, tag: str, fields: dict[str, tuple[str, list[str]]]) -> DataFrame:
-    """The table of one tag with its schema: fields maps a column to its type and the names, as plain() gives them, it may have."""
-    members = F.expr("transform_keys(from_json(payload, 'map<string,string>'), (k, v) -> lower(regexp_replace(k, '[^\\\\p{L}]', '')))")
+    """The table of one tag with its schema: fields maps a column to its type and the names, as plain() gives them, it may have; of several that an object has, the first."""
+    members = F.expr("transform(map_entries(from_json(payload, 'map<string,string>')), e -> named_struct('k', lower(regexp_replace(e.key, '[^\\\\p{L}]', '')), 'v', e.value))")
     rows = nodes.where(F.col("tag") == tag).select("raw_key", "node_path", "parent_path", "ordinal", members.alias("m"))
-    return rows.select("raw_key", "node_path", "parent_path", "ordinal", *[F.coalesce(*[F.col("m")[n] for n in names]).try_cast(kind).alias(c) for c, (kind, names) in fields.items()])
+    member = lambda name: F.get(F.filter("m", lambda e: (e["k"] == name) & e["v"].isNotNull()), F.lit(0))["v"]
+    return rows.select("raw_key", "node_path", "parent_path", "ordinal", *[F.coalesce(*[member(n) for n in names]).try_cast(kind).alias(c) for c, (kind, names) in fields.items()])
 
 
 def write_tables(nodes: DataFrame, path: str) -> None:
@@ -189,7 +230,35 @@ def write_tables(nodes: DataFrame, path: str) -> None:
     nodes.write.mode("overwrite").partitionBy("tag").parquet(path)
 
 
+#: Schemas of the tables: column, type, names as plain() gives them.
+SCHEMAS = {
+    "metadata": {c: ("string", names) for c, names in {"document_key": ["documentkey"], "school_name": ["schoolname", "school"], "class_name": ["classname", "class"], "grade": ["grade"], "board": ["board"], "medium": ["medium"], "book_title": ["booktitle", "title"], "subject": ["subject"], "language": ["language"]}.items()},
+    "editions": {"year": ("int", ["year"])},
+    "contributors": {"role": ("string", ["role"]), "name": ("string", ["name"])},
+    "classification": {"name": ("string", ["name"]), "tags": ("string", ["tags"])},
+    "tags": {"tag": ("string", ["tag"]), "weight": ("double", ["weight"])},
+    "chapters": {"chapter_number": ("string", ["chapternumber"]), "chapter_title": ("string", ["chaptertitle"]), "start_page": ("int", ["startpage", "startpdfpage", "pdfstartpage"])},
+    "units": {"unit_number": ("string", ["unitnumber"]), "unit_title": ("string", ["unittitle"]), "start_page": ("int", ["startpage", "startpdfpage", "pdfstartpage"])},
+    "sections": {"section_number": ("string", ["sectionnumber"]), "section_title": ("string", ["sectiontitle"]), "lesson_title": ("string", ["lessontitle"]), "start_page": ("int", ["startpage", "startpdfpage", "pdfstartpage"]), "lesson_text": ("string", ["lessontext"])},
+    "subsections": {"subsection_number": ("string", ["subsectionnumber"]), "subsection_title": ("string", ["subsectiontitle"]), "anchor_marker": ("string", ["anchormarker"]), "start_page": ("int", ["startpage", "startpdfpage", "pdfstartpage"]), "text_length_chars": ("int", ["textlengthchars"]), "quality_flags": ("string", ["qualityflags"])},
+    "pages": {"page_number": ("int", ["pagenumber"]), "section_title": ("string", ["sectiontitle"]), "text": ("string", ["text"])},
+    "page_ranges": {"start_page": ("int", ["start"]), "end_page": ("int", ["end"])},
+}
+
+
+def read_tables(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The tables that write_tables wrote, each with its schema; only its own folder is read for a table."""
+    nodes = spark.read.schema(NODE_SCHEMA).parquet(path)
+    return {tag: flat_table(nodes, tag, fields) for tag, fields in SCHEMAS.items()}
+
+
 def titled_subsections(df: DataFrame, key: str = "raw_id", payload: str = "payload") -> DataFrame:
-    """(raw_id, parent_path, node_path) of every object with a subsection title; rejected payloads give nothing."""
-    found = flatten(df, key, payload).where(F.col("title").isNotNull())
-    return found.select(F.col("raw_key").cast("bigint").alias("raw_id"), F.coalesce("parent_path", F.lit("$")).alias("parent_path"), "node_path")
+    """(raw_id, parent_path, node_path) of every object with a subsection title; rejected payloads give nothing. The visitor's rows without their payloads."""
+
+    def titled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [(k, parent or "$", path) for k, p in zip(batch["k"], batch["p"], strict=True) for _, path, parent, _, _, _, title in visit(p, False) if title is not None]
+            yield pd.DataFrame(rows, columns=["raw_id", "parent_path", "node_path"]).astype({"raw_id": "Int64"})
+
+    rows = df.select(F.col(f"`{key}`").cast("bigint").alias("k"), F.col(f"`{payload}`").cast("string").alias("p"))
+    return rows.mapInPandas(titled, "raw_id bigint, parent_path string, node_path string")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.operators import intervals, nested
-from foliant.session import table
+from foliant.session import scratch, table
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -17,9 +17,15 @@ def p3_flat_tables(spark: SparkSession, d: str) -> DataFrame:
     return nested.flatten(table(spark, d, "raw_book_records"), "raw_id", "payload")
 
 
-def p3_subsection_table(spark: SparkSession, d: str) -> DataFrame:
-    nodes = nested.flatten(table(spark, d, "raw_book_records"), "raw_id", "payload")
-    return nested.flat_table(nodes, "subsections", {"subsection_number": ("string", ["subsectionnumber"]), "subsection_title": ("string", ["subsectiontitle"]), "start_page": ("int", ["startpage", "startpdfpage", "pdfstartpage"]), "text_length_chars": ("int", ["textlengthchars"])})
+def _flat(tag: str):
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        path = scratch(spark)
+        nested.write_tables(p3_flat_tables(spark, d), path)
+        return nested.read_tables(spark, path)[tag]
+
+    query.__name__ = "p3_subsection_table" if tag == "subsections" else f"p3_{tag}"
+    query.__doc__ = f"The table of {tag}, from the write by tags, with its schema."
+    return query
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -37,5 +43,5 @@ select document_id, 'period' as kind, cast(s as integer) as start_page, cast(e a
 union all
 select document_id, 'gap', cast(e + 1 as integer), cast(x - 1 as integer) from q where x is not null"""
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_flat_tables, p3_subsection_table, p4_found)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_flat_tables, *map(_flat, nested.SCHEMAS), p4_found)}
 SQL = {"p4_found": P4_FOUND}

@@ -44,17 +44,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return shared
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a table written to the shared folder: compressed columns, readable after any executor is lost.
-
-    The table is deleted when the Python process ends; drop_written() does so earlier, once no result needs it.
-    """
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A new path in the shared folder, deleted when the Python process ends; drop_written() does so earlier."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/foliant-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
     if not _written:
         atexit.register(_drop_at_exit)
     _written.append((spark, path))
+    return path
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written to the shared folder: compressed columns, readable after any executor is lost."""
+    spark = df.sparkSession
+    path = scratch(spark)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
