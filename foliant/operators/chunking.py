@@ -358,7 +358,7 @@ def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: st
     ship(pages.sparkSession)
     plan = plans.select("document_id", "max_tokens", "overlap_tokens")
     whole = units(pages, plan.withColumn("max_tokens", F.greatest("max_tokens", F.lit(2 * LEAST))), text)
-    groups = groups_of(cut(placed_units(whole.drop("body"), records)), plan)
+    groups = groups_of(placed_units(whole.drop("body"), records), plan)
     spread = groups.select("document_id", "run", "number", "g", "n", "n1", "n2", "most", *KEY_TITLES, F.posexplode("places").alias("i", "p")).select("*", "p.page_number", "p.u").drop("p")
     parts = spread.join(whole.select("document_id", "page_number", "u", "body"), ["document_id", "page_number", "u"])
     same = ["run", "number", "n", "n1", "n2", "most", *KEY_TITLES]
