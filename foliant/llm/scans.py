@@ -2,11 +2,15 @@
 
 Vocabularies are counted over all pages. Rare words are joined with frequent ones by anagram hashes: exchanging one
 confusable group of characters for another changes the hash, a sum over characters, by a value that depends on the
-groups alone, so that "word's hash + difference" finds every candidate by an equi-join.
+groups alone, so that "word's hash + difference" finds every candidate by an equi-join. Which groups are confused is
+learnt from the vocabulary itself: all exchanges of up to two characters for up to two others, of which those count
+that recur, and by which rare words nearly always come from much more frequent ones.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 import re
 import unicodedata
 from dataclasses import dataclass
@@ -20,23 +24,22 @@ from pyspark.sql import types as T
 from foliant.llm.encoding import USUAL, repair
 from foliant.session import cut
 
-# Groups of characters that are misread, and what stands on the paper.
+# Groups of characters that are misread, and what stands on the paper, as far as they are known beforehand.
 CONFUSIONS = [
     ("@", "a"), ("0", "o"), ("1", "l"), ("5", "s"), ("9", "g"), ("c", "e"), ("cl", "d"), ("f", "t"), ("b", "h"), ("ii", "u"), ("rn", "m"), ("vv", "w"), ("h", "li"),
     ("१", "।"), ("२", "र"), ("भ", "म"), ("म", "भ"), ("ष", "प"), ("प", "ष"), ("ङ", "ड"), ("ृ", "ु"), ("ट", "द"), ("व", "ब"), ("घ", "ध"), ("य", "थ"), ("", "ि"),
 ]
+#: A learnt confusion is shown by so many different words, by so many right ones, and so large a share of its pairs are of a rare and a frequent word.
+SUPPORT, RIGHT_WORDS, SHARE = 5, 5, 0.9
 #: How much more frequent a word must be than its misread form.
 RATIO = 12
 #: Misread words on a page that make a case.
 MISREAD_WORDS = 3
-#: Words with a digit or sign for a letter inside are misread even where the right form is not known.
-ODD = r"(?:[\p{L}\p{M}]@|@[\p{L}\p{M}]|[a-z][0159][a-z]|\b[59][a-z]{3}|\b[01][a-z]{2}|[a-z]{2}[0159]\b|[ऀ-ॣ]२|२[ऀ-ॣ])"
 ORDINAL = r"^\d+(?:st|nd|rd|th)$"
 #: Corrections sent to the workers at most; more are joined by a shuffle.
 BROADCAST_WORDS = 500_000
-LONGEST_WORD = 40
-#: Characters of a line that may be a running head.
-LONGEST_HEAD = 160
+#: How much longer than the longest title a running head may be: letters that are garbled take up to six characters, a number and signs stand beside.
+HEAD_FACTOR, HEAD_MORE = 6, 64
 
 #: Letters, marks, digits and @; the usual ranges stand first, as classes of properties are slow.
 W = r"a-z0-9@\u0900-\u0963\u0966-\u097f\p{L}\p{M}\p{Nd}"
@@ -60,22 +63,99 @@ _READ = str.maketrans("०१२३४५६७८९lIoOS", "012345678911005")
 
 _MARKS = "".join(sorted(chr(c) for c in range(0x300, 0xE00) if unicodedata.category(chr(c))[0] == "M"))
 _NO_LETTER = re.compile(rf"[^\w{_MARKS}]|[\d_]")
-_SIGN = re.compile("[@0159]")
-_SIGNS, _ALIKE = str.maketrans("@0159", "aolsg"), str.maketrans("cfbभषङृटवघय", "ethमपडुदबधथ", "ि")
 
 
-def fold(text: str | None) -> str:
-    """Letters of a title, with misread groups and what they stand for made equal; case, signs and spaces don't count."""
-    s = text or ""
-    if not s.isascii():
-        s = unicodedata.normalize("NFC", s).replace("२", "र")
-    s = s.lower()
-    if _SIGN.search(s):
-        s = s.translate(_SIGNS)
-    s = _NO_LETTER.sub("", s)
-    for wrong, right in (("cl", "d"), ("rn", "m"), ("vv", "w"), ("ii", "u"), ("li", "h")):
-        s = s.replace(wrong, right)
-    return s.replace("c", "e").replace("f", "t").replace("b", "h") if s.isascii() else s.translate(_ALIKE)
+@dataclass(frozen=True)
+class Confusions:
+    """Pairs (what is read, what stands on the paper) with their weights; all that depends on them derives from here."""
+
+    pairs: tuple[tuple[str, str], ...]
+    weights: tuple[float, ...]
+
+    @functools.cached_property
+    def signs(self) -> dict[str, str]:
+        """Digits and signs that are read for a letter."""
+        return {a: b for a, b in self.pairs if len(a) == 1 and not _is_letter(a) and b and all(map(_is_letter, b))}
+
+    @functools.cached_property
+    def _classes(self) -> dict[str, str]:
+        """Each group of letters with what stands for all that are confused with it."""
+        of: dict[str, str] = {}
+
+        def top(g: str) -> str:
+            while of.setdefault(g, g) != g:
+                g = of[g]
+            return g
+
+        for a, b in self.pairs:
+            if a and b and all(map(_is_letter, a + b)):
+                x, y = sorted((top(a), top(b)), key=lambda g: (len(g), g))
+                of[y] = x
+        return {g: top(g) for g in of}
+
+    @functools.cached_property
+    def longer(self) -> list[tuple[str, str]]:
+        return sorted(((g, t) for g, t in self._classes.items() if len(g) > 1), key=lambda x: (-len(x[0]), x[0]))
+
+    @functools.cached_property
+    def single(self) -> dict[str, str]:
+        """Single letters by what stands for them; such as are lost or made up by misreading stand for nothing."""
+        lost = {x for a, b in self.pairs for x, y in ((a, b), (b, a)) if not y and len(x) == 1 and _is_mark(x)}
+        return {g: t for g, t in self._classes.items() if len(g) == 1 and g != t and len(t) == 1} | dict.fromkeys(lost, "")
+
+    @functools.cached_property
+    def odd(self) -> str:
+        """Words with a digit or sign for a letter inside are misread even where the right form is not known."""
+        latin = "".join(sorted(c for c in self.signs if c.isascii() and c.isdigit()))
+        other = "".join(sorted(c for c in self.signs if not c.isascii() and c.isdigit()))
+        marks = "".join(re.escape(c) for c in sorted(self.signs) if not c.isdigit())
+        near = "".join(c for c in latin if c in "01")  # others stand before units of measure too
+        far = "".join(c for c in latin if c not in "01")
+        out = [rf"[\p{{L}}\p{{M}}][{marks}]|[{marks}][\p{{L}}\p{{M}}]"] if marks else []
+        out += [rf"[a-z][{latin}][a-z]|[a-z]{{2}}[{latin}]\b"] if latin else []
+        out += [rf"\b[{far}][a-z]{{3}}"] if far else []
+        out += [rf"\b[{near}][a-z]{{2}}"] if near else []
+        out += [rf"[ऀ-ॣ][{other}]|[{other}][ऀ-ॣ]"] if other else []
+        return f"(?:{'|'.join(out)})" if out else r"(?!)"
+
+    def fold(self, text: str | None) -> str:
+        """Letters of a title, with misread groups and what they stand for made equal; case, signs and spaces don't count."""
+        s = unicodedata.normalize("NFC", text or "").lower().translate(self._sign_table)
+        s = _NO_LETTER.sub("", s)
+        for group, top in self.longer:
+            s = s.replace(group, top)
+        return s.translate(self._single_table)
+
+    @functools.cached_property
+    def _sign_table(self) -> dict:
+        return str.maketrans(self.signs)
+
+    @functools.cached_property
+    def _single_table(self) -> dict:
+        return str.maketrans(self.single)
+
+    def folded(self, word: Column) -> Column:
+        """fold() for words and compounds, JVM-side; the hyphen stays."""
+        short = {a: b for a, b in self.signs.items() if len(b) == 1}
+        w = F.translate(word, "".join(short), "".join(short.values()))
+        for a, b in [*((a, b) for a, b in self.signs.items() if len(b) > 1), *self.longer]:
+            w = F.replace(w, F.lit(a), F.lit(b))
+        # translate() drops the characters that have no counterpart, so these stand last.
+        kept = {a: b for a, b in self.single.items() if b}
+        gone = "".join(a for a, b in self.single.items() if not b)
+        return F.translate(w, "".join(kept) + gone, "".join(kept.values()))
+
+
+def _is_mark(c: str) -> bool:
+    return unicodedata.category(c)[0] == "M"
+
+
+def _is_letter(c: str) -> bool:
+    return c.isalpha() or _is_mark(c)
+
+
+KNOWN = Confusions(tuple(CONFUSIONS), (1.0,) * len(CONFUSIONS))
+fold, folded, ODD = KNOWN.fold, KNOWN.folded, KNOWN.odd
 
 
 def roman(text: str) -> int | None:
@@ -87,7 +167,7 @@ def roman(text: str) -> int | None:
     return sum(-v if v < w else v for v, w in zip(values, [*values[1:], 0], strict=True))
 
 
-def read_edge(line: str) -> dict:
+def read_edge(line: str, fold=fold) -> dict:
     """What a line at the edge of a page holds: arabic and roman number, the rest folded, whether it is a numbered heading."""
     at = {"number": None, "roman": None, "rest": "", "heading": False, "parts": None, "whole": None}
     tokens = line.strip(_AROUND).split()
@@ -122,27 +202,30 @@ EDGE = T.StructType(
 )
 
 
-@F.pandas_udf(EDGE)
-def _edge_udf(lines: pd.Series) -> pd.DataFrame:
-    whole = [repair(t)[0] if _UNUSUAL.search(t) else t for t in lines]  # heads may be garbled too
-    return pd.DataFrame([read_edge(t.strip()) for t in whole], columns=EDGE.names).astype({"number": "Int32", "roman": "Int32"})
+def edge_lines(pages: DataFrame, longest: int = 1 << 30, known: Confusions = KNOWN) -> DataFrame:
+    """(id, document_id, page_number, line, fields of EDGE) of the two first and two last lines that aren't blank, up to `longest` characters. Cut out JVM-side: Python sees no page's text."""
 
+    @F.pandas_udf(EDGE)
+    def read(lines: pd.Series) -> pd.DataFrame:
+        whole = [repair(t)[0] if _UNUSUAL.search(t) else t for t in lines]  # heads may be garbled too
+        return pd.DataFrame([read_edge(t.strip(), known.fold) for t in whole], columns=EDGE.names).astype({"number": "Int32", "roman": "Int32"})
 
-def edge_lines(pages: DataFrame) -> DataFrame:
-    """(id, document_id, page_number, line, fields of EDGE) of the two first and two last lines that aren't blank. Cut out JVM-side: Python sees no page's text."""
     solid = F.filter(F.transform(lines_of(F.col("text")), lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(" \t\xa0")).alias("t"))), lambda x: x["t"] != "")
     n = F.size("s")
     ends = F.when(n <= 4, F.col("s")).otherwise(F.concat(F.slice("s", 1, 2), F.slice("s", -2, 2)))
-    rows = pages.select("id", "document_id", "page_number", solid.alias("s")).select("id", "document_id", "page_number", F.explode(ends).alias("e")).where(F.length("e.t") <= LONGEST_HEAD)
-    return rows.select("id", "document_id", "page_number", "e.line", _edge_udf("e.t").alias("x")).select("id", "document_id", "page_number", "line", "x.*")
+    rows = pages.select("id", "document_id", "page_number", solid.alias("s")).select("id", "document_id", "page_number", F.explode(ends).alias("e")).where(F.length("e.t") <= longest)
+    return rows.select("id", "document_id", "page_number", "e.line", read("e.t").alias("x")).select("id", "document_id", "page_number", "line", "x.*")
 
 
-@F.pandas_udf(T.StringType())
-def _fold_udf(texts: pd.Series) -> pd.Series:
-    return pd.Series([fold(t) for t in texts], dtype=object)
+def _folded_titles(titles: DataFrame, known: Confusions) -> DataFrame:
+    @F.pandas_udf(T.StringType())
+    def fold_all(texts: pd.Series) -> pd.Series:
+        return pd.Series([known.fold(t) for t in texts], dtype=object)
+
+    return titles.where(F.trim("title") != "").withColumn("rest", fold_all("title")).where(F.length("rest") >= 3)
 
 
-def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> DataFrame:
+def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN) -> DataFrame:
     """(id, line, noise) of the lines at head and foot of pages that are running heads or page numbers.
 
     pages: id, document_id, page_number, text. books: document_id, title. chapters: document_id, title, start_page.
@@ -150,11 +233,11 @@ def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> DataF
     the distance from the page's place that most numbers of the book keep; a roman one, where the printed count has
     not begun. A title of a chapter on the page where it opens, or with its word and number before it, is its heading.
     """
-    edges = cut(edge_lines(pages))  # small, and read three times
+    longest = max((r[0] or 0) for r in books.select(F.length("title").alias("n")).unionByName(chapters.select(F.length("title").alias("n"))).agg(F.max("n")).collect())
+    edges = cut(edge_lines(pages, HEAD_FACTOR * longest + HEAD_MORE, known))  # small, and read three times
     of = lambda text: F.xxhash64("document_id", text)  # noqa: E731  # slim keys of a book's titles; 64 bits for a book's few lines
     titles = books.select("document_id", "title", F.lit(None).cast("int").alias("start_page"), F.lit(True).alias("book")).unionByName(chapters.select("document_id", "title", "start_page", F.lit(False).alias("book")))
-    titles = titles.where(F.trim("title") != "").withColumn("rest", _fold_udf("title")).where(F.length("rest") >= 3)
-    titles = titles.groupBy(of("rest").alias("h")).agg(F.max("book").alias("book"), F.collect_set("start_page").alias("starts"))
+    titles = _folded_titles(titles, known).groupBy(of("rest").alias("h")).agg(F.max("book").alias("book"), F.collect_set("start_page").alias("starts"))
     forms = F.concat(F.array(F.struct(F.col("rest"), F.lit(False).alias("part"))), F.when(F.col("whole").isNotNull(), F.array(F.struct(F.col("whole").alias("rest"), F.lit(False).alias("part")))).otherwise(F.expr("array()")), F.coalesce(F.transform("parts", lambda p: F.struct(p.alias("rest"), F.lit(True).alias("part"))), F.expr("array()")))
     named = edges.where(F.length("rest") >= 3).select("id", "document_id", "page_number", "line", "heading", F.explode(forms).alias("t")).where(F.length("t.rest") >= 3).select("id", "page_number", "line", "heading", F.col("t.part").alias("part"), of("t.rest").alias("h"))
     named = cut(named.join(titles, "h"))
@@ -199,13 +282,13 @@ def vocabulary(pages: DataFrame) -> DataFrame:
     return counts.unionByName(parts).where(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-#: Values of characters are below this, so that no sum over LONGEST_WORD of them overflows.
-VALUES = 1 << 55
+#: Values of characters are below VALUES, and sums are taken modulo SUMS, so that words of any length fit 64 bits.
+VALUES, SUMS = 1 << 47, 1 << 62
 
 
 def anagram(word: Column) -> Column:
     """The sum of the values of the characters: the same for all orders of them."""
-    return F.aggregate(F.transform(F.split(word, ""), lambda c: F.pmod(F.xxhash64(c), F.lit(VALUES))), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return F.aggregate(F.transform(F.split(word, ""), lambda c: F.pmod(F.xxhash64(c), F.lit(VALUES))), F.lit(0).cast("bigint"), lambda a, x: F.pmod(a + x, F.lit(SUMS)))
 
 
 def _value_of(group: str) -> int:
@@ -213,23 +296,67 @@ def _value_of(group: str) -> int:
     return sum(xxhash.xxh64_intdigest(c.encode(), seed=42) % VALUES for c in group)
 
 
-def corrections(words: DataFrame) -> DataFrame:
-    """(word, right) for misread words: a frequent word that one or two confusions turn into the rare one; right is null where it isn't known."""
-    plain = words.where((F.length("word") <= LONGEST_WORD) & (F.length("word") >= 3) & (F.instr("word", "-") == 0) & ~F.col("word").rlike(ORDINAL) & F.col("word").rlike(r"[\p{L}]"))
-    plain = plain.withColumn("h", anagram(F.col("word")))
-    single = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(_value_of(b) - _value_of(a)).cast("bigint").alias("d")) for a, b in CONFUSIONS])
+def _plain(words: DataFrame) -> DataFrame:
+    """Words of three characters or more that may be misread; shorter ones can't be told from the numbers of exercises, as "1a"."""
+    return words.where((F.length("word") >= 3) & (F.instr("word", "-") == 0) & ~F.col("word").rlike(ORDINAL) & F.col("word").rlike(r"[\p{L}]")).withColumn("h", anagram(F.col("word")))
+
+
+def exchanges(words: DataFrame) -> DataFrame:
+    """(a, b, rare, near, rights): how many words of `words` become a more frequent one when a at one place is exchanged for b, both of up to two characters.
+
+    rare are those of which the other is RATIO times as frequent, near the others, rights the different words that
+    rare ones become. Two words meet where what is left of both, without a and b, has the same hash at the same place.
+    """
+    n = F.length("word")
+    at = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), n), lambda i: F.transform(F.sequence(F.lit(0), F.least(F.lit(2), n - i)), lambda k: F.struct(i.alias("i"), F.substr(F.col("word"), i + 1, k).alias("g"))))))
+    cuts = _plain(words).where(n >= 4).select("word", "n", "h", at.alias("x")).select("word", "n", "x.i", "x.g", F.pmod(F.col("h") - F.when(F.col("x.g") == "", F.lit(0)).otherwise(anagram(F.col("x.g"))), F.lit(SUMS)).alias("rest"))
+    left = cuts.select(F.col("word"), "n", "i", F.col("g").alias("a"), "rest")
+    right = cuts.where("n >= 3").select(F.col("word").alias("right"), F.col("n").alias("m"), "i", F.col("g").alias("b"), "rest")
+    met = left.join(right, ["rest", "i"]).where((F.col("m") > F.col("n")) & (F.col("a") != F.col("b")))
+    # Nothing at either end of a and b is the same, so that each exchange is found once; and the rest is equal in its order.
+    ends = (F.col("a") == "") | (F.col("b") == "") | (F.left("a", F.lit(1)) != F.left("b", F.lit(1))) & (F.right("a", F.lit(1)) != F.right("b", F.lit(1)))
+    same = F.concat(F.substr(F.col("word"), F.lit(1), F.col("i")), F.substr(F.col("word"), F.col("i") + F.length("a") + 1)) == F.concat(F.substr(F.col("right"), F.lit(1), F.col("i")), F.substr(F.col("right"), F.col("i") + F.length("b") + 1))
+    # What is only added or lost is one character within a word: at their ends words are inflected, or joined with others.
+    within = (F.col("a") != "") & (F.col("b") != "") | (F.length("a") + F.length("b") == 1) & (F.col("i") > 0) & (F.col("i") + F.length("a") < F.length("word"))
+    rare = F.col("m") >= RATIO * F.col("n")
+    return met.where(ends & same & within).groupBy("a", "b").agg(F.count_if(rare).alias("rare"), F.count_if(~rare).alias("near"), F.countDistinct(F.when(rare, F.col("right"))).alias("rights"))
+
+
+def learn(words: DataFrame) -> Confusions:
+    """The confusions known beforehand and those that the words show, weighted by how many words show them.
+
+    Exchanges by which words are inflected relate words of all frequencies, misreading makes rare ones of frequent ones.
+    At most the square of the number of groups of two characters comes to the driver, and of that what recurs.
+    """
+    found = {(r.a, r.b): r for r in exchanges(words).where((F.col("rare") >= SUPPORT) & (F.col("rights") >= RIGHT_WORDS)).collect()}
+    learnt = {k for k, r in found.items() if r.rare >= SHARE * (r.rare + r.near)}
+    # A confusion beside which something else was added is not another one.
+    simple = [(a, b) for a, b in learnt if not any(x != (a, b) and x[0] in a and x[1] in b and found[x].rare >= found[a, b].rare for x in learnt)]
+    pairs = [*CONFUSIONS, *sorted(k for k in simple if k not in CONFUSIONS)]
+    return Confusions(tuple(pairs), tuple(float(1 + found[k].rare) if k in found else 1.0 for k in pairs))
+
+
+def corrections(words: DataFrame, known: Confusions = KNOWN) -> DataFrame:
+    """(word, right) for misread words: a frequent word that one or two confusions turn into the rare one; right is null where it isn't known.
+
+    Of several, one exchange goes before two, then weighs how often the confusions and the right word occur.
+    """
+    plain = _plain(words)
+    single = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(_value_of(b) - _value_of(a)).cast("bigint").alias("d"), F.lit(math.log(w)).alias("w")) for (a, b), w in zip(known.pairs, known.weights, strict=True)])
     possible = F.filter(single, lambda c: (c["a"] == "") | (F.instr(F.col("word"), c["a"]) > 0))
-    none = F.struct(F.lit("").alias("a"), F.lit("").alias("b"), F.lit(0).cast("bigint").alias("d"))
-    rare = plain.withColumn("cs", F.filter(possible, lambda c: (c["a"] != "") | F.col("word").rlike(r"[ऄ-ह]")))
+    none = F.struct(F.lit("").alias("a"), F.lit("").alias("b"), F.lit(0).cast("bigint").alias("d"), F.lit(0.0).alias("w"))
+    # What is lost whole stands beside letters of its own script.
+    rare = plain.withColumn("cs", F.filter(possible, lambda c: (c["a"] != "") | F.col("word").rlike(r"[ऄ-ह]") | ~c["b"].rlike("[ऀ-ॿ]")))
     pairs = rare.where(F.size("cs") > 0).select("word", "n", "h", F.explode("cs").alias("c1"), F.concat(F.array(none), F.col("cs")).alias("cs")).select("word", "n", "h", "c1", F.explode("cs").alias("c2"))
-    keyed = pairs.where((F.col("c2.a") == "") & (F.col("c2.b") == "") | (F.col("c1.a") <= F.col("c2.a"))).select("word", "n", (F.col("h") + F.col("c1.d") + F.col("c2.d")).alias("h"), F.col("c1.a").alias("a1"), F.col("c1.b").alias("b1"), F.col("c2.a").alias("a2"), F.col("c2.b").alias("b2"))
+    keyed = pairs.where((F.col("c2.a") == "") & (F.col("c2.b") == "") | (F.col("c1.a") <= F.col("c2.a"))).select("word", "n", F.pmod(F.col("h") + F.col("c1.d") + F.col("c2.d"), F.lit(SUMS)).alias("h"), F.col("c1.a").alias("a1"), F.col("c1.b").alias("b1"), F.col("c2.a").alias("a2"), F.col("c2.b").alias("b2"), (F.col("c1.w") + F.col("c2.w")).alias("w"))
     frequent = plain.where("n >= 3").select(F.col("word").alias("right"), F.col("n").alias("m"), "h")
-    found = keyed.join(frequent, "h").where((F.col("m") >= RATIO * F.col("n")) | F.col("word").rlike(ODD) & ~F.col("right").rlike(ODD))
+    odd_ = lambda c: F.col(c).rlike(known.odd)
+    found = keyed.join(frequent, "h").where((F.col("m") >= RATIO * F.col("n")) | odd_("word") & ~odd_("right"))
     # Equal hashes are anagrams, not yet exchanges: the exchange must be possible at places in order.
     found = found.where(_exchanges("word", "right", "a1", "b1", "a2", "b2"))
     two = F.when((F.col("a2") == "") & (F.col("b2") == ""), 0).otherwise(1)
-    best = found.groupBy("word").agg(F.min_by("right", F.struct(two.alias("t"), (-F.col("m")).alias("m"), "right")).alias("right"))
-    odd = plain.where(F.col("word").rlike(ODD)).select("word")
+    best = found.groupBy("word").agg(F.min_by("right", F.struct(two.alias("t"), (-F.col("w") - F.log("m")).alias("s"), "right")).alias("right"))
+    odd = plain.where(odd_("word")).select("word")
     return best.select("word", "right").join(odd, "word", "full")
 
 
@@ -245,15 +372,7 @@ def _exchanges(words: pd.Series, rights: pd.Series, a1: pd.Series, b1: pd.Series
     return pd.Series([one(w, r, [(a, b), *([(c, d)] if c or d else [])]) for w, r, a, b, c, d in zip(words, rights, a1, b1, a2, b2, strict=True)], dtype=bool)
 
 
-def folded(word: Column) -> Column:
-    """fold() for words and compounds, JVM-side; the hyphen stays."""
-    w = F.translate(word, "@0159", "aolsg")
-    for wrong, right in (("cl", "d"), ("rn", "m"), ("vv", "w"), ("ii", "u"), ("li", "h")):
-        w = F.replace(w, F.lit(wrong), F.lit(right))
-    return F.translate(F.translate(w, "cfb२भषङृटवघय", "ethरमपडुदबधथ"), "ि", "")
-
-
-def broken_words(pages: DataFrame, words: DataFrame) -> DataFrame:
+def broken_words(pages: DataFrame, words: DataFrame, known: Confusions = KNOWN) -> DataFrame:
     """(id, left, right) of each word that is broken over two lines and is written without hyphen elsewhere.
 
     A compound is known by its hyphenated form within lines, more frequent than the form without; forms count as
@@ -265,11 +384,11 @@ def broken_words(pages: DataFrame, words: DataFrame) -> DataFrame:
     at = F.filter(F.sequence(F.lit(0), F.size("l") - 1), lambda i: F.col("e")[i] & (i < F.size("l") - 1))
     pair = F.transform(at, lambda i: F.struct(F.regexp_extract(F.col("l")[i], rf"([{W}]+(?:-[{W}]+)*)[{MARKS}][ \t\xa0]*$", 1).alias("left"), F.regexp_extract(F.col("l")[i + 1], rf"^[ \t\xa0]*([\p{{L}}\p{{M}}][{W}]*(?:-[{W}]+)*)", 1).alias("right")))
     found = cut(rows.select("id", F.explode(pair).alias("b")).select("id", "b.left", "b.right").where("left <> '' and right <> ''"))  # slim, and read twice
-    keys = found.select("left", "right").distinct().withColumn("joined", folded(F.concat("left", "right"))).withColumn("compound", folded(F.concat_ws("-", "left", "right")))
-    forms = words.groupBy(folded(F.col("word")).alias("form")).agg(F.sum("n").alias("n"))
+    keys = found.select("left", "right").distinct().withColumn("joined", known.folded(F.concat("left", "right"))).withColumn("compound", known.folded(F.concat_ws("-", "left", "right")))
+    forms = words.groupBy(known.folded(F.col("word")).alias("form")).agg(F.sum("n").alias("n"))
     keys = keys.join(forms.select(F.col("form").alias("joined"), F.col("n").alias("whole")), "joined", "left").join(forms.select(F.col("form").alias("compound"), F.col("n").alias("parted")), "compound", "left")
-    known = keys.where(F.coalesce("parted", F.lit(0)) <= F.coalesce("whole", F.lit(0))).select("left", "right")
-    return found.join(known, ["left", "right"])
+    whole = keys.where(F.coalesce("parted", F.lit(0)) <= F.coalesce("whole", F.lit(0))).select("left", "right")
+    return found.join(whole, ["left", "right"])
 
 
 def misread_words(pages: DataFrame, wrong: DataFrame) -> DataFrame:
@@ -287,7 +406,7 @@ def _joined_keeping_lines(text: Column) -> Column:
     return F.regexp_replace(text, rf"[{MARKS}](?<=[{W}].)[ \t\xa0]*(\r?\n)[ \t\xa0]*([{W}]+)", "$2$1")
 
 
-def trusted(misread: DataFrame) -> DataFrame:
+def trusted(misread: DataFrame, known: Confusions = KNOWN) -> DataFrame:
     """The misread words of (id, line, word, right) without words that stand mostly alone.
 
     Misreading comes by the page. A right word that is only rarer than a similar one mostly stands on pages without
@@ -296,7 +415,7 @@ def trusted(misread: DataFrame) -> DataFrame:
     by_page = misread.groupBy("id", "word").agg(F.count(F.lit(1)).alias("own"))
     page = by_page.groupBy("id").agg(F.sum("own").alias("all"))
     support = by_page.join(page, "id").groupBy("word").agg((F.sum(F.when(F.col("all") - F.col("own") >= 2, F.col("own")).otherwise(0)) / F.sum("own")).alias("support"))
-    return misread.join(support.where((F.col("support") >= 0.5) | F.col("word").rlike(ODD)).select("word"), "word", "left_semi")
+    return misread.join(support.where((F.col("support") >= 0.5) | F.col("word").rlike(known.odd)).select("word"), "word", "left_semi")
 
 
 @dataclass
@@ -310,13 +429,14 @@ class Noise:
 
 def look(pages: DataFrame, books: DataFrame, chapters: DataFrame, words: DataFrame | None = None) -> Noise:
     rows = pages.where(F.length("text") > 0)
-    words = vocabulary(rows) if words is None else words
-    lines = page_edges(rows, books, chapters)
+    words = cut(vocabulary(rows)) if words is None else words
+    known = learn(words)
+    lines = page_edges(rows, books, chapters, known)
     lines = cut(lines)
     # The joins read the texts once; what they find is small and read several times.
     # Cut before the anti-join, which Catalyst would otherwise push below the split into lines and shuffle the texts for.
-    misread = cut(misread_words(rows, cut(corrections(words)))).join(lines.select("id", "line"), ["id", "line"], "left_anti")
-    return Noise(lines, trusted(misread), broken_words(rows, words))
+    misread = cut(misread_words(rows, cut(corrections(words, known)))).join(lines.select("id", "line"), ["id", "line"], "left_anti")
+    return Noise(lines, trusted(misread, known), broken_words(rows, words, known))
 
 
 def find_noise(pages: DataFrame, books: DataFrame, chapters: DataFrame, words: DataFrame | None = None) -> DataFrame:

@@ -87,6 +87,40 @@ def test_corrections(spark):
     assert got == {"cornmon": "common", "cliscovcred": "discovered", "fhe": "the", "h0use": None}
 
 
+def test_learnt_confusions(spark):
+    """Groups that no list names are found in the words, inflection is not taken for misreading."""
+    rng = random.Random(7)
+    stems = sorted({"".join(rng.choice(c) for c in ("bdgkmprt", "aeiou", "dgmn", "aeiou", "gkmnrt", "aeo")) for _ in range(300)})
+    rows = {w: rng.randrange(100, 900) for w in stems}
+    misread = {}
+    for a, b in (("q", "g"), ("nn", "m"), ("4", "k")):
+        for w in stems:
+            if b in w[1:] and rng.random() < 0.5:
+                misread[w[0] + w[1:].replace(b, a, 1)] = w
+    for w in stems[::2]:
+        rows[w + "s"] = rng.randrange(1, 400)  # of all frequencies
+    rows |= {w: rng.randrange(1, 4) for w in misread if w not in rows}
+    words = spark.createDataFrame(list(rows.items()), "word string, n bigint")
+    known = S.learn(words)
+    learnt = set(known.pairs) - set(S.CONFUSIONS)
+    assert {("q", "g"), ("nn", "m"), ("4", "k")} <= learnt and not any("s" in a + b for a, b in learnt)
+    assert known.fold("ganne") == known.fold("game") == known.fold("qame") and S.fold("qame") != S.fold("game") and known.signs["4"] == "k"
+    got = {r.word: r.right for r in S.corrections(words, known).collect()}
+    right = [w for w, r in misread.items() if got.get(w) == r]
+    assert len(right) >= 0.95 * len(misread)
+    assert S.learn(words.limit(0)) == S.KNOWN
+
+
+def test_no_bounds_on_words_and_heads(spark):
+    long = "un" * 30 + "common"
+    words = spark.createDataFrame([(long, 90), (long.replace("m", "rn", 1), 2), ("é" * 70_000 + "a", 1)], "word string, n bigint")
+    assert {r.word: r.right for r in S.corrections(words).collect()} == {long.replace("m", "rn", 1): long}
+    title = "The long and winding account of all that befell the weavers of the village " * 3
+    pages = spark.createDataFrame([(f"p{n}", "b", n, f"{title.strip()} {n}\nIt was late.\nThe end came.\nAll slept.", None) for n in range(1, 9)], "id string, document_id string, page_number int, text string, metadata string")
+    found = S.page_edges(pages, spark.createDataFrame([("b", title)], "document_id string, title string"), spark.createDataFrame([], "document_id string, title string, start_page int"))
+    assert found.where("noise = 'header'").count() == 8
+
+
 @pytest.mark.parametrize("n, value", [("iv", 4), ("XII", 12), ("viii", 8), ("xl", 40), ("iiii", None), ("", None), ("mix", None)])
 def test_roman(n, value):
     assert S.roman(n) == value
