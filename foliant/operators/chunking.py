@@ -37,18 +37,22 @@ def default_overlap(limit: Column) -> Column:
     return F.when(limit <= 550, 70).when(limit <= 750, 100).when(limit <= 1000, 140).otherwise(180)
 
 
-def profiles(pages: DataFrame, books: DataFrame, text: str = "raw_text") -> DataFrame:
-    """(document_id, profile, max_tokens, overlap_tokens, strategy) by subject and counts over the first pages of each book."""
+def counts(pages: DataFrame, text: str = "raw_text") -> DataFrame:
+    """(document_id, tokens, questions, formulas, stories, grammar, science, d, l): hits over the first pages of each book, d and l its Devanagari and Latin letters."""
     c = F.col(text)
     n = lambda p: F.sum(F.coalesce(F.regexp_count(c, F.lit(f"(?iu){p}")), F.lit(0)))
     w = Window.partitionBy("document_id").orderBy("page_number", "id")
     head = pages.select("document_id", "page_number", "id", text).withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= SAMPLE_PAGES)
-    counts = head.groupBy("document_id").agg(
+    return head.groupBy("document_id").agg(
         F.greatest(F.lit(1), F.sum(X.regex_token_count(c))).alias("tokens"), n(r"\?|exercise|objective questions|fill in|true or false|solve|अभ्यास|प्रश्न").alias("questions"),
         n(r"[=+×÷≤≥<>]|(?<![\p{L}\p{N}_])\p{Nd}+\s*/\s*\p{Nd}+(?![\p{L}\p{N}_])").alias("formulas"), n(r"(?<![\p{L}\p{N}_])(?:story|poem)(?![\p{L}\p{N}_])|कहानी|कविता").alias("stories"),
         n("grammar|vocabulary|noun|verb|adjective|व्याकरण|संज्ञा|सर्वनाम|क्रिया|विशेषण").alias("grammar"), n("experiment|activity|diagram|observe|science|evs|प्रयोग|विज्ञान").alias("science"),
         F.sum(X.devanagari_count(c)).alias("d"), F.sum(X.latin_count(c)).alias("l"),
     )
+
+
+def profiles(pages: DataFrame, books: DataFrame, text: str = "raw_text") -> DataFrame:
+    """(document_id, profile, max_tokens, overlap_tokens, strategy) by subject and counts over the first pages of each book."""
     s = F.lower(F.coalesce("subject", F.lit("")))
     named = lambda *words: s.rlike("|".join(words))
     profile = (
@@ -64,7 +68,7 @@ def profiles(pages: DataFrame, books: DataFrame, text: str = "raw_text") -> Data
         .otherwise("unknown")
     )
     plan = F.create_map(*[x for k, (m, o, g) in PROFILES.items() for x in (F.lit(k), F.struct(F.lit(m).alias("m"), F.lit(o).alias("o"), F.lit(g).alias("g")))])
-    found = counts.join(books.select(F.col("id").alias("document_id"), "subject"), "document_id", "left").withColumn("profile", profile)
+    found = counts(pages, text).join(books.select(F.col("id").alias("document_id"), "subject"), "document_id", "left").withColumn("profile", profile)
     return found.select("document_id", "profile", plan[F.col("profile")]["m"].alias("max_tokens"), plan[F.col("profile")]["o"].alias("overlap_tokens"), plan[F.col("profile")]["g"].alias("strategy"))
 
 

@@ -7,7 +7,11 @@ slim rows alone: for each title the pages that may open it.
 from __future__ import annotations
 
 import difflib
+import itertools
 import re
+from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,25 +38,51 @@ def number(text: str | None) -> int | None:
     return int(t) if t.isdecimal() else None
 
 
+_ARTICLES, _AROUND = ("A", "An", "The"), ".,;:'\"’‘“”()"
+_NOT_LETTER = re.compile(f"[^{_LETTER}]")
+
+
+def _is_word(w: str) -> bool:
+    """Whether a word may begin a title: an article, or letters that no picture leaves, more than two and not a few small ones."""
+    letters = _NOT_LETTER.sub("", w)
+    return w.strip(_AROUND) in _ARTICLES or len(letters) > 2 and not (letters.islower() and len(letters) <= 5)
+
+
 def without_debris(line: str) -> str:
-    """A line without the scraps that pictures leave before its first real word."""
+    """A line from its unit, or its first real word, on: what pictures leave before it goes."""
     words = re.sub(f"^[^{_LETTER}0-9]+", "", line).split()
-    if m := re.search(r"\bUnit\s+[0-9०-९]+\b.*", " ".join(words), re.I):
-        return m.group().strip(" ,;:-–")
-    while len(words) > 1 and words[0].strip(".,;:'\"’‘“”()") not in ("A", "An", "The"):
-        letters = re.sub(f"[^{_LETTER}]", "", words[0])
-        if letters and not (letters.islower() and len(letters) <= 5 or len(letters) <= 2):
-            break
-        words.pop(0)
-    return " ".join(words).strip(" ,;:-–")
+    unit = re.search(r"\bUnit\s+[0-9०-९]+\b.*", " ".join(words), re.I)
+    first = next((i for i, w in enumerate(words) if _is_word(w)), len(words) - 1)
+    return (unit.group() if unit else " ".join(words[max(0, first) :])).strip(" ,;:-–")
 
 
 def clean_title(text: str, page: int | None = None, no: int | None = None) -> str | None:
-    t = re.sub(r"^[0-9०-९]+\s*[.)\-–:,]\s*", "", without_debris(text))
-    for n in (page, no):
-        t = re.sub(rf"\s+{n}$", "", t) if n is not None else t
-    t = t.strip(" .:-–,")
-    return None if len(re.findall(f"[{_LETTER}]", t)) < 3 or t.lower() in ("contents", "table of contents") else t
+    """A title without its number before it and the numbers after it; none for what holds too few letters or is the contents' own head."""
+    after = "".join(rf"(?:\s+{n})?" for n in (no, page) if n is not None)
+    t = re.sub(rf"^[0-9०-९]+\s*[.)\-–:,]\s*|{after}$" if after else r"^[0-9०-९]+\s*[.)\-–:,]\s*", "", without_debris(text)).strip(" .:-–,")
+    return t if len(t) - len(_NOT_LETTER.findall(t)) >= 3 and t.lower() not in ("contents", "table of contents") else None
+
+
+@dataclass(frozen=True)
+class _Line:
+    """A line of contents by what it may be: the unit it opens, a page alone, a title with its page, a roman number."""
+
+    text: str
+    bare: str
+    unit: re.Match | None
+    page: int | None
+    titled: re.Match | None
+    roman: bool
+
+    @classmethod
+    def of(cls, text: str) -> _Line:
+        bare = without_debris(text)
+        return cls(text, bare, _UNIT.search(bare), _page_alone(bare), re.match(r"^(.*[A-Za-z].*?)\s+([0-9०-९]{1,4})$", bare), re.fullmatch(r"\(?[ivxlcdm]+\)?", text, re.I) is not None)
+
+
+def _page_alone(x: str) -> int | None:
+    digits = re.sub(r"[^0-9०-९]", "", x)
+    return number(digits) if digits and len(x) <= 8 and not re.search(f"[{_LETTER}]", x.translate(_DIGITS)) else None
 
 
 def contents_rows(text: str) -> list[dict]:
@@ -60,41 +90,52 @@ def contents_rows(text: str) -> list[dict]:
     lines = [x for x in (" ".join(y.split()) for y in text.splitlines()) if x]
     head = next((i for i, x in enumerate(lines) if "contents" in x.lower() or "अनुक्रमणिका" in x or "विषय सूची" in x), None)
     body = lines if head is None else lines[head + 1 :]
-    is_page = lambda x: len(x) <= 8 and re.search("[0-9०-९]", x) and not re.search(f"[{_LETTER}]", x.translate(_DIGITS))
-    is_roman = lambda x: re.fullmatch(r"\(?[ivxlcdm]+\)?", x, re.I)
-    digits = lambda x: number(re.sub(r"[^0-9०-९]", "", x))
-    return _units(body, is_page, is_roman, digits) or (_columns(body, is_page, is_roman, digits) if head is not None else []) or _rows(body)
+    return _units(body) or (_columns(body) if head is not None else []) or _rows(body)
 
 
-def _units(body: list[str], is_page, is_roman, digits) -> list[dict]:
-    out: list[dict] = []
-    unit: tuple[str, str] | None = None
+def _sections(lines: list[_Line]) -> Iterator[tuple[str, int]]:
+    """(title, page) within one unit: a title stands in up to three lines before its page, the last of which may bear it."""
     held: list[str] = []
-    for line in body:
-        row = without_debris(line)
-        if m := _UNIT.search(row):
-            unit, held = (str(number(m[1])), clean_title(m[2]) or m[2].strip()), []
-        elif unit is None or is_roman(line) or re.search(r"\bReprint\b", line, re.I):
-            continue
-        elif is_page(row) and held or (m := re.match(r"^(.*[A-Za-z].*?)\s+([0-9०-९]{1,4})$", row)):
-            title, page = (" ".join(held), digits(row)) if is_page(row) else (m[1], number(m[2]))
-            title = clean_title(title, page)
-            if title and page is not None and page <= 1000:
-                n = sum(r["unit_number"] == unit[0] for r in out) + 1
-                out.append({"unit_number": unit[0], "unit_title": unit[1], "section_number": str(n), "section_title": title, "printed_start_page": page, "structure_type": "section", "detected_by": "toc_units", "confidence": 0.82})
+    for x in lines:
+        if x.page is not None and held:
+            yield " ".join(held), x.page
             held = []
-        elif re.search("[A-Za-z]", row) and len(row) <= 140:
-            held = [*held, line if held else row][-3:]  # a title may go on in small letters
+        elif x.titled:
+            yield x.titled[1], number(x.titled[2])
+            held = []
+        elif re.search("[A-Za-z]", x.bare) and len(x.bare) <= 140:
+            held = [*held, x.text if held else x.bare][-3:]  # a title may go on in small letters
+
+
+def _units(body: list[str]) -> list[dict]:
+    parts: list[tuple[re.Match, list[_Line]]] = []
+    for x in map(_Line.of, body):
+        if x.unit:
+            parts.append((x.unit, []))
+        elif parts and not x.roman and not re.search(r"\bReprint\b", x.text, re.I):
+            parts[-1][1].append(x)
+    out: list[dict] = []
+    counts: Counter = Counter()
+    for unit, lines in parts:
+        no, title = str(number(unit[1])), clean_title(unit[2]) or unit[2].strip()
+        for name, page in _sections(lines):
+            if page is not None and page <= 1000 and (name := clean_title(name, page)):
+                counts[no] += 1
+                out.append({"unit_number": no, "unit_title": title, "section_number": str(counts[no]), "section_title": name, "printed_start_page": page, "structure_type": "section", "detected_by": "toc_units", "confidence": 0.82})
     return out if len(out) >= 3 else []
 
 
-def _columns(body: list[str], is_page, is_roman, digits) -> list[dict]:
-    first = next((i for i, x in enumerate(body) if is_page(x) or is_roman(x)), len(body))
-    titles = [t for x in body[:first] if (t := clean_title(x))]
-    numbers = [digits(x) for x in body[first:] if is_page(x)]
-    if len(titles) < 5 or len(numbers) < max(3, len(titles) // 2):
+def _columns(body: list[str]) -> list[dict]:
+    """Titles above, their pages below, from the first line that is a number."""
+    lines = [(x, digits) for x in body for digits in [re.sub(r"[^0-9०-९]", "", x)]]
+    is_page = lambda x, digits: bool(digits) and len(x) <= 8 and not re.search(f"[{_LETTER}]", x.translate(_DIGITS))
+    below = next((i for i, (x, d) in enumerate(lines) if is_page(x, d) or re.fullmatch(r"\(?[ivxlcdm]+\)?", x, re.I)), len(lines))
+    titles = [t for x, _ in lines[:below] if (t := clean_title(x))]
+    pages = [number(d) for x, d in lines[below:] if is_page(x, d)]
+    if len(titles) < 5 or len(pages) < max(3, len(titles) // 2):
         return []
-    return [{"chapter_number": str(i + 1), "chapter_title": t, "printed_start_page": numbers[i] if i < len(numbers) else None, "structure_type": "chapter", "detected_by": "toc_columns", "confidence": 0.62} for i, t in enumerate(titles)]
+    with_page = itertools.zip_longest(titles, pages[: len(titles)])
+    return [{"chapter_number": str(i), "chapter_title": t, "printed_start_page": n, "structure_type": "chapter", "detected_by": "toc_columns", "confidence": 0.62} for i, (t, n) in enumerate(with_page, 1)]
 
 
 def _rows(body: list[str]) -> list[dict]:

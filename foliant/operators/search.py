@@ -46,7 +46,13 @@ def cosine(vector: Column, query: list[float]) -> Column:
 
 
 def vector_top(chunks: DataFrame, vectors: DataFrame, query: list[float], limit: int, filters: dict | None = None) -> DataFrame:
-    """(chunk_id, vector_score): the nearest chunks. Filters go below the limit; ties by chunk_id."""
+    """(chunk_id, vector_score): the nearest chunks. Filters go below the limit; ties by chunk_id.
+
+    vectors are of one model; of several usable rows of a chunk, those of the query's length, the newest counts.
+    """
+    if "created_at" in vectors.columns:
+        fit = (F.size("embedding") == len(query)) & F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x)) & F.exists("embedding", lambda x: x != 0)
+        vectors = vectors.where(fit).groupBy("chunk_id").agg(F.max_by("embedding", F.struct("created_at", "embedding")).alias("embedding"))
     rows = chunks.where(condition(filters or {}, chunks.columns)).select(F.col("id").alias("chunk_id"))
     scored = vectors.select("chunk_id", cosine(F.col("embedding"), query).alias("vector_score")).where(F.col("vector_score").isNotNull() & ~F.isnan("vector_score"))
     return scored.join(rows, "chunk_id").orderBy(F.desc("vector_score"), "chunk_id").limit(limit)

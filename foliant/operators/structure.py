@@ -95,3 +95,21 @@ def chunk_chapter_overlaps(chunks: DataFrame, records: DataFrame) -> DataFrame:
     b = records.where(F.col("pdf_start_page") <= F.col("pdf_end_page")).select("document_id", F.col("id").alias("record_id"), "chapter_title", "pdf_start_page", "pdf_end_page", F.explode(F.sequence(F.floor(F.col("pdf_start_page") / BIN), F.floor(F.col("pdf_end_page") / BIN))).alias("_bin"))
     meets = (F.col("page_start") <= F.col("pdf_end_page")) & (F.col("page_end") >= F.col("pdf_start_page")) & (filled(F.col("_title")).isNull() | filled(F.col("chapter_title")).isNull() | (F.col("_title") == F.col("chapter_title")))
     return a.join(b, ["document_id", "_bin"]).where(meets).select("chunk_id", "record_id").distinct()
+
+
+def matches(chunks: DataFrame, records: DataFrame, agree: list[str], alone: bool) -> DataFrame:
+    """(chunk_id, record_id) of chunks and records of a book whose pages overlap and whose titles of `agree`, where both have one, are equal; with `alone`, a record of which no chunk agrees gets those that overlap."""
+    bins = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / BIN), F.floor(F.col(b) / BIN))).alias("_bin")
+    a = chunks.where(F.col("page_start") <= F.col("page_end")).select("document_id", F.col("id").alias("chunk_id"), "page_start", "page_end", *[filled(F.col(c)).alias(f"a_{c}") for c in agree], bins("page_start", "page_end"))
+    end = F.coalesce("pdf_end_page", "pdf_start_page")
+    b = records.where(F.col("pdf_start_page") <= end).select("document_id", F.col("id").alias("record_id"), "pdf_start_page", end.alias("end"), *[filled(F.col(c)).alias(f"b_{c}") for c in agree])
+    b = b.select("*", bins("pdf_start_page", "end"))
+    met = a.join(b, ["document_id", "_bin"]).where((F.col("page_start") <= F.col("end")) & (F.col("page_end") >= F.col("pdf_start_page")))
+    same = F.lit(True)
+    for c in agree:
+        same = same & F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(True))
+    pairs = met.groupBy("document_id", "chunk_id", "record_id").agg(F.bool_or(same).alias("same"))
+    if alone:
+        some = pairs.groupBy("record_id").agg(F.bool_or("same").alias("some"))
+        pairs = pairs.join(some, "record_id").withColumn("same", F.col("same") | ~F.col("some"))
+    return pairs.where("same").select("chunk_id", "record_id")

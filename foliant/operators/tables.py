@@ -44,9 +44,11 @@ def delete_cascade(deleted: DataFrame, children: dict[str, DataFrame], key: str
     return out
 
 
-def replace_children(target: DataFrame, source: DataFrame, key: str = "document_id") -> DataFrame:
-    """The target with all rows of the parents that the source has rows of replaced by those."""
-    return target.join(source.select(key).distinct(), key, "left_anti").select(*target.columns).unionByName(source.select(*target.columns))
+def replace_children(target: DataFrame, source: DataFrame, key: str = "document_id", parents: DataFrame | None = None) -> DataFrame:
+    """The target with all rows of the parents replaced by those of the source. parents (key) names them, by default
+    those that the source has rows of; a named parent without rows in the source loses all of its own."""
+    ids = (source if parents is None else parents).select(key).distinct()
+    return target.join(ids, key, "left_anti").select(*target.columns).unionByName(source.select(*target.columns))
 
 
 def backfill(df: DataFrame, column: str, *others: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as X
 from foliant.operators import chunking, contents, embedding, export, search, structure, tables, validate
-from foliant.plans.reference import BOOKS, COUNT, books, pages, t
+from foliant.plans.reference import books, pages, t
 from foliant.session import cut, table
 from foliant.sources import json_books
 
@@ -26,36 +26,13 @@ def query(sql: str | None = None):
 
 
 def newest_pages(spark: SparkSession, d: str) -> DataFrame:
-    """Each page of a book once, as stored last."""
-    p = pages(spark, d).select("id", "document_id", "page_number", "raw_text", "created_at")
-    return p.groupBy("document_id", "page_number").agg(F.max_by(F.struct("id", "raw_text"), F.struct("created_at", "id")).alias("p")).select("p.id", "document_id", "page_number", "p.raw_text")
+    """Each page of a book once, as stored last. Which that is is told by slim rows; the texts are read once and joined to their ids."""
+    p = pages(spark, d)
+    ids = p.groupBy("document_id", "page_number").agg(F.max_by("id", F.struct("created_at", "id")).alias("id")).select("id")
+    return p.select("id", "document_id", "page_number", "raw_text").join(ids, "id", "left_semi")
 
 
 NEWEST = "newest as (select * from embeddings_pages qualify row_number() over (partition by document_id, page_number order by created_at desc, id desc) = 1)"
-N = lambda p: f"sum({COUNT.format('raw_text', '(?i)' + p)})"
-
-
-@query(f"""with {BOOKS}, {NEWEST}, h as (select * from newest qualify row_number() over (partition by document_id order by page_number, id) <= 30),
-c as (select document_id, greatest(1, sum({COUNT.format("raw_text", X.TOKEN)})) as tokens, {N("\\?|exercise|objective questions|fill in|true or false|solve|अभ्यास|प्रश्न")} as questions,
-sum({COUNT.format("raw_text", "[=+×÷≤≥<>]")}) as formulas, {N("grammar|vocabulary|noun|verb|adjective|व्याकरण|संज्ञा|सर्वनाम|क्रिया|विशेषण")} as grammar, {N("experiment|activity|diagram|observe|science|evs|प्रयोग|विज्ञान")} as science,
-sum({COUNT.format("raw_text", "[ऀ-ॿ]")}) as dv, sum({COUNT.format("raw_text", "[A-Za-z]")}) as lt from h group by document_id)
-select c.document_id, tokens::bigint as tokens, questions::bigint as questions, formulas::bigint as formulas, grammar::bigint as grammar, science::bigint as science, dv::bigint as devanagari, lt::bigint as latin from c""")
-def profile_counts(spark, d):
-    """The counts behind a chunking profile, over the first 30 pages of each book."""
-    from pyspark.sql import Window
-
-    c = F.col("raw_text")
-    n = lambda p: F.sum(F.coalesce(F.regexp_count(c, F.lit(f"(?iu){p}")), F.lit(0)))
-    head = newest_pages(spark, d).withColumn("n", F.row_number().over(Window.partitionBy("document_id").orderBy("page_number", "id"))).where("n <= 30")
-    return head.groupBy("document_id").agg(
-        F.greatest(F.lit(1), F.sum(X.regex_token_count(c))).cast("bigint").alias("tokens"), n(r"\?|exercise|objective questions|fill in|true or false|solve|अभ्यास|प्रश्न").alias("questions"), n("[=+×÷≤≥<>]").alias("formulas"),
-        n("grammar|vocabulary|noun|verb|adjective|व्याकरण|संज्ञा|सर्वनाम|क्रिया|विशेषण").alias("grammar"), n("experiment|activity|diagram|observe|science|evs|प्रयोग|विज्ञान").alias("science"), F.sum(X.devanagari_count(c)).alias("devanagari"), F.sum(X.latin_count(c)).alias("latin"),
-    )
-
-
-@query()
-def chunk_plan(spark, d):
-    return chunking.profiles(newest_pages(spark, d), books(spark, d))
 
 
 def _chunks(spark, d):
@@ -115,28 +92,11 @@ def json_pages(spark, d):
     return json_books.book_pages(_nodes(spark, d))
 
 
-@query()
-def text_spread_over_pages(spark, d):
-    """Documents of the corpus spread over ten pages each."""
-    rows = table(spark, d, "documents").select("doc_id", "text", F.lit(1).alias("a"), F.lit(10).alias("b"))
-    return json_books.spread_text(rows, ["doc_id"], "text", "a", "b").select("doc_id", "page_number", F.length("text").alias("characters"))
-
-
-@query()
-def toc_detect(spark, d):
-    return contents.detect(newest_pages(spark, d))
-
-
 @query()
 def title_openings(spark, d):
     return contents.openings(newest_pages(spark, d), t(spark, d, "book_chapters"))
 
 
-@query()
-def answer_starts(spark, d):
-    return contents.answer_starts(newest_pages(spark, d))
-
-
 @query()
 def repaired_ranges(spark, d):
     return contents.repair_whole(t(spark, d, "book_chapters"), newest_pages(spark, d))
@@ -164,11 +124,6 @@ def export_nested(spark, d):
     return j.select("document_id", "part", F.sha2("json", 256).alias("digest"), F.length("json").alias("characters"))
 
 
-@query()
-def validation(spark, d):
-    return validate.violations(t(spark, d, "documents"), pages(spark, d), t(spark, d, "book_chapters"), t(spark, d, "book_subsections"), t(spark, d, "chunks"), t(spark, d, "vectors"))
-
-
 @query("""select 'no_pages' as rule, count(*) as violations from (select distinct id from embeddings_documents) d where not exists (select 1 from embeddings_pages p where p.document_id = d.id)
 union all select 'record_backward', count(*) from embeddings_book_chapters where pdf_end_page < pdf_start_page
 union all select 'record_without_start', count(*) from embeddings_book_chapters where pdf_start_page is null
@@ -177,7 +132,7 @@ union all select 'chunk_without_vector', count(*) from embeddings_chunks c where
 union all select 'chunk_without_text', count(*) from embeddings_chunks where trim(coalesce(content, '')) = ''""")
 def validation_counts(spark, d):
     rules = ["no_pages", "record_backward", "record_without_start", "subsection_without_text", "chunk_without_vector", "chunk_without_text"]
-    found = validation(spark, d).where(F.col("rule").isin(rules)).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
+    found = validate.violations(t(spark, d, "documents"), pages(spark, d), t(spark, d, "book_chapters"), t(spark, d, "book_subsections"), t(spark, d, "chunks"), t(spark, d, "vectors")).where(F.col("rule").isin(rules)).groupBy("rule").agg(F.count(F.lit(1)).alias("n"))
     all_rules = spark.createDataFrame([(r,) for r in rules], "rule string")
     return all_rules.join(found, "rule", "left").select("rule", F.coalesce("n", F.lit(0)).alias("violations"))
 

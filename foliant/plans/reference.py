@@ -193,12 +193,6 @@ def keywords_top20(spark, d):
     return t(spark, d, "chunks").select("id", F.array_join(X.keywords(F.col("content")), ",").alias("keywords"))
 
 
-@query()
-def important_terms(spark, d):
-    c = F.col("content")
-    return t(spark, d, "chunks").select("id", F.array_join(X.important_terms(c, X.keywords(c)), ",").alias("terms"))
-
-
 PAGES_LABEL = "case when page_start = page_end then 'page ' || page_start else 'pages ' || page_start || '-' || page_end end"
 
 
@@ -269,12 +263,6 @@ def contents_pages(spark, d):
     return pages(spark, d).select("id", X.contents_page(F.col("raw_text")).alias("contents"))
 
 
-@query()
-def page_kinds(spark, d):
-    c = F.col("raw_text")
-    return pages(spark, d).select("id", X.answer_key_page(c).alias("answer_key"), X.activity_page(c).alias("activity"))
-
-
 # ---- structure
 
 

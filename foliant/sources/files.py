@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.functions import text as X
+from foliant.session import cut, ship
 
 #: Takes a file's bytes, yields the text of its pages.
 PageReader = Callable[[bytes], Iterator[str]]
@@ -45,28 +46,40 @@ def reader_of(module: str) -> PageReader:
 def page_texts(files: DataFrame, readers: list[tuple[str, PageReader]], ocr: Callable[[bytes, int], str] | None = None) -> DataFrame:
     """(path, page_number, raw_text, extraction_method, error): the first reader that works; a file that none reads gives one row with the error.
 
-    ocr, where given, reads a page again when its text is blank or garbage, and replaces it when that is better.
+    ocr, where given, reads those pages again that needs_ocr() names, and replaces the text where better_ocr() says so.
     """
+    ship(files.sparkSession)
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows: list[tuple] = []
             for path, content in zip(batch["path"], batch["content"], strict=True):
-                error = "no reader"
+                errors = []
                 for name, read in readers:
                     try:
-                        rows += [(path, i, t, name, None) for i, t in enumerate(read(content), 1)]
-                        error = None
+                        rows += [(path, i, t, name, None) for i, t in enumerate(list(read(content)), 1)]
                         break
                     except Exception as e:
-                        error = f"{name}: {e}"[:500]
-                if error:
-                    rows.append((path, 0, None, None, error))
-                elif ocr:
-                    rows = [(p, i, o, "ocr", e) if p == path and not (t or "").strip() and (o := ocr(content, i)) else (p, i, t, m, e) for p, i, t, m, e in rows]
+                        errors.append(f"{name}: {e}")
+                else:
+                    rows.append((path, 0, None, None, "; ".join(errors)[:500] or "no reader"))
             yield pd.DataFrame(rows, columns=["path", "page_number", "raw_text", "extraction_method", "error"])
 
-    return files.select("path", "content").mapInPandas(pages, "path string, page_number int, raw_text string, extraction_method string, error string")
+    native = files.select("path", "content").mapInPandas(pages, "path string, page_number int, raw_text string, extraction_method string, error string")
+    if ocr is None:
+        return native
+    native = cut(native)
+
+    def again(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            texts = [ocr(content, int(n)) for content, n in zip(batch["content"], batch["page_number"], strict=True)]
+            yield pd.DataFrame({"path": batch["path"], "page_number": batch["page_number"], "ocr": texts})
+
+    doubtful = native.where("error is null").where(X.needs_ocr(F.col("raw_text"))).select("path", "page_number")
+    read = doubtful.join(files.select("path", "content"), "path").mapInPandas(again, "path string, page_number int, ocr string")
+    both = native.join(read, ["path", "page_number"], "left")
+    better = F.coalesce(X.better_ocr(F.col("raw_text"), F.col("ocr")), F.lit(False))
+    return both.select("path", "page_number", F.when(better, F.col("ocr")).otherwise(F.col("raw_text")).alias("raw_text"), F.when(better, "ocr").otherwise(F.col("extraction_method")).alias("extraction_method"), "error")
 
 
 def ocr_language(columns: list[Column]) -> Column:

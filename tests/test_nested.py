@@ -113,3 +113,26 @@ def test_spread(spark, text, pages, want):
     df = spark.createDataFrame([(1, text, 5, 4 + pages)], "k int, t string, a int, b int")
     got = J.spread_text(df, ["k"], "t", "a", "b").orderBy("page_number").collect()
     assert [r.text for r in got] == want and [r.page_number for r in got] == list(range(5, 5 + len(want)))
+
+
+def test_payloads_of_any_depth_are_kept():
+    deep = "[" * 60_000 + "1" + "]" * 60_000
+    rows = list(N.visit('{"a": 1, "list": %s, "subsection_title": "x"}' % deep))
+    assert len(rows) == 1 and rows[0][5] == '{"a": 1, "list": %s, "subsection_title": "x"}' % deep
+    assert N._dump_deep({"a": [1, {"b": []}], "c": {}, "d": "é"}) == json.dumps({"a": [1, {"b": []}], "c": {}, "d": "é"}, ensure_ascii=False)
+
+
+def test_equal_names_and_mixed_lists_lose_nothing():
+    text = '{"chapters": {"subsection_title": "a"}, "chapters": {"subsection_title": "b"}, "x": 1, "x": 2, "tags": ["t", {"tag": "u"}, 3]}'
+    rows = list(N.visit(text))
+    assert [r[6] for r in rows if r[6]] == ["a", "b"] and [r[1] for r in rows] == ["$", "$.chapters", "$.chapters", "$.tags[1]"]
+    assert rows[0][5] == '{"x": 1, "x": 2, "tags": ["t", 3]}'
+
+
+def test_tables_of_all_tags(spark, tmp_path):
+    payload = json.dumps({"metadata": {"board": "State", "editions": [{"year": 2020}], "contributors": [{"role": "author", "name": "N"}]}, "chapters": [{"chapterNumber": "1", "Chapter Title": "T", "chapter_title": "again", "start_page": "4", "sections": [{"sectionTitle": "S", "tags": [{"tag": "x", "weight": 0.5}]}]}]})
+    N.write_tables(N.flatten(spark.createDataFrame([(1, payload), (2, "{")], "raw_id bigint, payload string"), "raw_id", "payload"), str(tmp_path / "t"))
+    got = {tag: [r.asDict() for r in df.collect()] for tag, df in N.read_tables(spark, str(tmp_path / "t")).items()}
+    assert got["metadata"][0]["board"] == "State" and got["editions"][0]["year"] == 2020 and got["contributors"][0]["name"] == "N" and got["tags"][0]["weight"] == 0.5
+    assert (got["chapters"][0]["chapter_title"], got["chapters"][0]["start_page"]) == ("T", 4) and got["sections"][0]["parent_path"] == "$.chapters[0]" and got["units"] == []
+    assert set(got) == set(N.SCHEMAS)
