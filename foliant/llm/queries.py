@@ -72,12 +72,12 @@ def _scan_tables(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, Dat
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     pages, books, chapters = _scan_tables(spark, d)
-    return scans.find_noise(pages, books, chapters, cut(scans.vocabulary(pages)))
+    return scans.find_noise(pages, books, chapters)
 
 
 def p6_mended(spark: SparkSession, d: str) -> DataFrame:
     pages, books, chapters = _scan_tables(spark, d)
-    return scans.mended_pages(pages, books, chapters, cut(scans.vocabulary(pages)))
+    return scans.mended_pages(pages, books, chapters)
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -120,5 +120,14 @@ def p10_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split.split_documents(table(spark, d, "documents"), "doc_id", "text")
 
 
+#: Words as leak.words() gives them. The characters between two matches of a broken line's end are too few to share.
+_WORDS = r"""regexp_extract_all(lower(translate(regexp_replace(regexp_replace(nfc_normalize({0}), '(\S)[-‐‑\x{AD}¬][^\S\n]*\r?\n\s*([\p{L}\p{N}_])', '\1\2', 'g'),
+'[-‐‑\x{AD}¬''’‘ʼ\x{200C}\x{200D}\x{FEFF}\x{200B}]+', '', 'g'), '०१२३४५६७८९_', '0123456789 ')), '[\p{L}\p{N}\p{M}]+')"""
+P8_FOUND = f"""with d as (select doc_id, {_WORDS.replace("{0}", "text")} as ws from documents where length(text) > 0), i as (select distinct item_id, {_WORDS.replace("{0}", "passage")} as ws from eval_items where passage is not null),
+g as (select distinct doc_id, array_to_string(list_slice(ws, k, k + 5), ' ') as g from (select doc_id, ws, unnest(range(1, len(ws) - 4)) as k from d where len(ws) >= 6)),
+h as (select item_id, len(ws) as n, k, array_to_string(list_slice(ws, k, k + 5), ' ') as g from (select item_id, ws, unnest(range(1, len(ws) - 4)) as k from i where len(ws) >= 6)),
+c as (select distinct doc_id, item_id, n, unnest(range(k, k + 6)) as at from g join h using (g))
+select doc_id, item_id from c group by doc_id, item_id, n having count(*) >= n / 2.0"""
+
 QUERIES = {f.__name__: f for f in (p1_found, p1_restored, p2_found, p2_neighbours, p5_token_budget, p5_page_tokens, p6_found, p6_mended, p7_found, p7_page_languages, p8_found, p8_report, p9_mixture, p9_shares, p10_found, p10_pieces)}
-SQL = {"p2_neighbours": P2_NEIGHBOURS}
+SQL = {"p2_neighbours": P2_NEIGHBOURS, "p8_found": P8_FOUND}

@@ -120,7 +120,8 @@ class Confusions:
 
     def fold(self, text: str | None) -> str:
         """Letters of a title, with misread groups and what they stand for made equal; case, signs and spaces don't count."""
-        s = unicodedata.normalize("NFC", text or "").lower().translate(self._sign_table)
+        s = text or ""
+        s = (s if s.isascii() else unicodedata.normalize("NFC", s)).lower().translate(self._sign_table)
         s = _NO_LETTER.sub("", s)
         for group, top in self.longer:
             s = s.replace(group, top)
@@ -134,16 +135,24 @@ class Confusions:
     def _single_table(self) -> dict:
         return str.maketrans(self.single)
 
+    def letters(self, line: Column) -> Column:
+        """fold() for lines of common characters, JVM-side."""
+        gone = "".join(c for c in _GONE if c not in self.signs)
+        return self._grouped(F.lower(line), gone)
+
     def folded(self, word: Column) -> Column:
         """fold() for words and compounds, JVM-side; the hyphen stays."""
+        return self._grouped(word, "")
+
+    def _grouped(self, word: Column, gone: str) -> Column:
         short = {a: b for a, b in self.signs.items() if len(b) == 1}
-        w = F.translate(word, "".join(short), "".join(short.values()))
+        w = F.translate(word, "".join(short) + gone, "".join(short.values()))
         for a, b in [*((a, b) for a, b in self.signs.items() if len(b) > 1), *self.longer]:
             w = F.replace(w, F.lit(a), F.lit(b))
         # translate() drops the characters that have no counterpart, so these stand last.
         kept = {a: b for a, b in self.single.items() if b}
-        gone = "".join(a for a, b in self.single.items() if not b)
-        return F.translate(w, "".join(kept) + gone, "".join(kept.values()))
+        lost = "".join(a for a, b in self.single.items() if not b)
+        return F.translate(w, "".join(kept) + lost, "".join(kept.values()))
 
 
 def _is_mark(c: str) -> bool:
@@ -202,19 +211,48 @@ EDGE = T.StructType(
 )
 
 
+def _let(value: Column, then) -> Column:
+    """then(value), with the value bound to a variable, so that it is made once however often it is named."""
+    return F.transform(F.array(value), then)[0]
+
+
+def _ends(pages: DataFrame) -> DataFrame:
+    """(id, document_id, page_number, line, t) of the two first and two last lines that aren't blank. Whole pages are looked through only where eight lines at either end don't do."""
+    key, few = ["id", "document_id", "page_number"], 8
+    solid = lambda lines, offset: F.filter(F.transform(lines, lambda x, i: F.struct((i + offset).alias("line"), F.btrim(x, F.lit(" \t\xa0")).alias("t"))), lambda x: x["t"] != "")
+    whole = lambda l: _let(solid(l, F.lit(0)), lambda s: F.when(F.size(s) <= 4, s).otherwise(F.concat(F.slice(s, 1, 2), F.slice(s, -2, 2))))
+    both = lambda l, head, foot: F.when((F.size(head) >= 2) & (F.size(foot) >= 2), F.concat(F.slice(head, 1, 2), F.slice(foot, -2, 2))).otherwise(whole(l))
+    parts = lambda l: _let(solid(F.slice(l, 1, few), F.lit(0)), lambda head: _let(solid(F.slice(l, -few, few), F.size(l) - few), lambda foot: both(l, head, foot)))
+    ends = _let(lines_of(F.col("text")), lambda l: F.when(F.size(l) > 2 * few, parts(l)).otherwise(whole(l)))
+    return pages.select(*key, F.explode(ends).alias("e")).select(*key, "e.line", "e.t")
+
+
+#: Characters of lines that need no composing and are not garbled; a line of them alone can be read JVM-side.
+_COMMON = r"^(?!.*[नरळ]\u093c)[\x20-\x7e‘’“”…ऀ-ॗॠ-ॿ]+$"
+_GONE = "".join(chr(c) for c in range(0x20, 0x7F) if not chr(c).isalpha()) + "‘’“”…।॥०१२३४५६७८९॰"
+_MAYBE_NUMBER = r"[0-9०-९]|^[^A-Za-zऀ-ॿ]*[lIoOSivxcLVXC]{1,10}[^A-Za-zऀ-ॿ]*$"
+
+
+def _is_common(t: Column) -> Column:
+    """Whether read_edge() would find in a line nothing but its letters: no number at either end, no heading's word, no two parts."""
+    inner = F.btrim(t, F.lit(_AROUND))
+    first, last = F.substring_index(inner, " ", 1), F.substring_index(inner, " ", -1)
+    return t.rlike(_COMMON) & ~F.contains(t, F.lit("|")) & ~first.rlike(_MAYBE_NUMBER) & ~last.rlike(_MAYBE_NUMBER) & ~first.rlike(rf"(?i)^[^\p{{L}}]*(?:{HEADING_WORDS})")
+
+
 def edge_lines(pages: DataFrame, longest: int = 1 << 30, known: Confusions = KNOWN) -> DataFrame:
-    """(id, document_id, page_number, line, fields of EDGE) of the two first and two last lines that aren't blank, up to `longest` characters. Cut out JVM-side: Python sees no page's text."""
+    """(id, document_id, page_number, line, t, fields of EDGE) of the two first and two last lines t that aren't blank, up to `longest` characters. Python sees only lines that may hold more than letters."""
 
     @F.pandas_udf(EDGE)
     def read(lines: pd.Series) -> pd.DataFrame:
         whole = [repair(t)[0] if _UNUSUAL.search(t) else t for t in lines]  # heads may be garbled too
         return pd.DataFrame([read_edge(t.strip(), known.fold) for t in whole], columns=EDGE.names).astype({"number": "Int32", "roman": "Int32"})
 
-    solid = F.filter(F.transform(lines_of(F.col("text")), lambda x, i: F.struct(i.alias("line"), F.btrim(x, F.lit(" \t\xa0")).alias("t"))), lambda x: x["t"] != "")
-    n = F.size("s")
-    ends = F.when(n <= 4, F.col("s")).otherwise(F.concat(F.slice("s", 1, 2), F.slice("s", -2, 2)))
-    rows = pages.select("id", "document_id", "page_number", solid.alias("s")).select("id", "document_id", "page_number", F.explode(ends).alias("e")).where(F.length("e.t") <= longest)
-    return rows.select("id", "document_id", "page_number", "e.line", read("e.t").alias("x")).select("id", "document_id", "page_number", "line", "x.*")
+    key = ["id", "document_id", "page_number", "line", "t"]
+    lines = cut(_ends(pages).where(F.length("t") <= longest).withColumn("common", _is_common(F.col("t"))))
+    none = lambda f: F.lit(False) if f.name == "heading" else F.lit(None)
+    plain = lines.where("common").select(*key, *[(known.letters(F.col("t")) if f.name == "rest" else none(f)).cast(f.dataType).alias(f.name) for f in EDGE.fields])
+    return plain.unionByName(lines.where("not common").select(*key, read("t").alias("x")).select(*key, "x.*"))
 
 
 def _folded_titles(titles: DataFrame, known: Confusions) -> DataFrame:
@@ -225,16 +263,21 @@ def _folded_titles(titles: DataFrame, known: Confusions) -> DataFrame:
     return titles.where(F.trim("title") != "").withColumn("rest", fold_all("title")).where(F.length("rest") >= 3)
 
 
-def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN) -> DataFrame:
+def read_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN) -> DataFrame:
+    """edge_lines() of pages, up to the length that a running head may have; cut, as it is small and read several times."""
+    longest = max((r[0] or 0) for r in books.select(F.length("title").alias("n")).unionByName(chapters.select(F.length("title").alias("n"))).agg(F.max("n")).collect())
+    return cut(edge_lines(pages, HEAD_FACTOR * longest + HEAD_MORE, known))
+
+
+def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN, edges: DataFrame | None = None) -> DataFrame:
     """(id, line, noise) of the lines at head and foot of pages that are running heads or page numbers.
 
     pages: id, document_id, page_number, text. books: document_id, title. chapters: document_id, title, start_page.
-    Titles are compared by equality of their folded form, an equi-join by book. A number is the page's when it keeps
+    edges: as read_edges() gives them. Titles are compared by equality of their folded form, an equi-join by book. A number is the page's when it keeps
     the distance from the page's place that most numbers of the book keep; a roman one, where the printed count has
     not begun. A title of a chapter on the page where it opens, or with its word and number before it, is its heading.
     """
-    longest = max((r[0] or 0) for r in books.select(F.length("title").alias("n")).unionByName(chapters.select(F.length("title").alias("n"))).agg(F.max("n")).collect())
-    edges = cut(edge_lines(pages, HEAD_FACTOR * longest + HEAD_MORE, known))  # small, and read three times
+    edges = read_edges(pages, books, chapters, known) if edges is None else edges
     of = lambda text: F.xxhash64("document_id", text)  # noqa: E731  # slim keys of a book's titles; 64 bits for a book's few lines
     titles = books.select("document_id", "title", F.lit(None).cast("int").alias("start_page"), F.lit(True).alias("book")).unionByName(chapters.select("document_id", "title", "start_page", F.lit(False).alias("book")))
     titles = _folded_titles(titles, known).groupBy(of("rest").alias("h")).agg(F.max("book").alias("book"), F.collect_set("start_page").alias("starts"))
@@ -264,7 +307,7 @@ def _blanked(text: Column, more: str = "") -> Column:
 
 def lines_of(text: Column) -> Column:
     """The lines of a text; a CRLF counts as two ends, so that the numbers are those of a split by single characters."""
-    return F.split(F.translate(text, "\r", "\n"), "\n")
+    return F.split(F.replace(text, F.lit("\r"), F.lit("\n")), "\n")
 
 
 def _joined(text: Column) -> Column:
@@ -272,16 +315,33 @@ def _joined(text: Column) -> Column:
     return F.regexp_replace(text, rf"[{MARKS}](?<=[{W}].)[ \t\xa0]*\r?\n[ \t\xa0]*(?=[{W}])", "")  # the mark first: few places have one
 
 
-def vocabulary(pages: DataFrame) -> DataFrame:
-    """(word, n) of all words and hyphenated compounds of the pages, in lower case; the words of compounds count too."""
-    tokens = pages.select(F.explode(F.split(_blanked(_joined(F.col("text"))), " ")).alias("word")).where(F.col("word") != "")
-    raw = tokens.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
-    counts = raw.groupBy(F.lower(F.regexp_replace("word", "^-+|-+$", "")).alias("word")).agg(F.sum("n").alias("n"))
+def raw_tokens(text: Column) -> Column:
+    """What stands between blanks and line ends, signs and all, once words broken over lines are whole. Texts are only split at blanks; the distinct tokens are taken apart."""
+    t = _joined(text)
+    for c in "\n\r\t\xa0":
+        t = F.replace(t, F.lit(c), F.lit(" "))
+    return F.split(t, " ")
+
+
+def raw_counts(pages: DataFrame) -> DataFrame:
+    """(raw, n) of all tokens of the pages."""
+    return pages.select(F.explode(raw_tokens(F.col("text"))).alias("raw")).where(F.col("raw") != "").groupBy("raw").agg(F.count(F.lit(1)).alias("n"))
+
+
+def words_of(raw: DataFrame) -> DataFrame:
+    """(word, n) of all words and hyphenated compounds of tokens (raw, n), in lower case; the words of compounds count too."""
+    tokens = raw.select("n", F.explode(F.split(_blanked(F.col("raw")), " ")).alias("word")).where(F.col("word") != "")
+    counts = tokens.groupBy(F.lower(F.regexp_replace("word", "^-+|-+$", "")).alias("word")).agg(F.sum("n").alias("n"))
     counts = cut(counts.where(F.col("word").rlike(r"[\p{L}@]")))  # small, and read twice
     parts = counts.where(F.instr("word", "-") > 0).select(F.explode(F.split("word", "-+")).alias("word"), "n")
     return counts.unionByName(parts).where(F.col("word") != "").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def vocabulary(pages: DataFrame) -> DataFrame:
+    """words_of() the pages."""
+    return words_of(raw_counts(pages))
+
+
 #: Values of characters are below VALUES, and sums are taken modulo SUMS, so that words of any length fit 64 bits.
 VALUES, SUMS = 1 << 47, 1 << 62
 
@@ -312,7 +372,7 @@ def exchanges(words: DataFrame) -> DataFrame:
     cuts = _plain(words).where(n >= 4).select("word", "n", "h", at.alias("x")).select("word", "n", "x.i", "x.g", F.pmod(F.col("h") - F.when(F.col("x.g") == "", F.lit(0)).otherwise(anagram(F.col("x.g"))), F.lit(SUMS)).alias("rest"))
     left = cuts.select(F.col("word"), "n", "i", F.col("g").alias("a"), "rest")
     right = cuts.where("n >= 3").select(F.col("word").alias("right"), F.col("n").alias("m"), "i", F.col("g").alias("b"), "rest")
-    met = left.join(right, ["rest", "i"]).where((F.col("m") > F.col("n")) & (F.col("a") != F.col("b")))
+    met = left.join(right.hint("shuffle_hash"), ["rest", "i"]).where((F.col("m") > F.col("n")) & (F.col("a") != F.col("b")))
     # Nothing at either end of a and b is the same, so that each exchange is found once; and the rest is equal in its order.
     ends = (F.col("a") == "") | (F.col("b") == "") | (F.left("a", F.lit(1)) != F.left("b", F.lit(1))) & (F.right("a", F.lit(1)) != F.right("b", F.lit(1)))
     same = F.concat(F.substr(F.col("word"), F.lit(1), F.col("i")), F.substr(F.col("word"), F.col("i") + F.length("a") + 1)) == F.concat(F.substr(F.col("right"), F.lit(1), F.col("i")), F.substr(F.col("right"), F.col("i") + F.length("b") + 1))
@@ -391,36 +451,37 @@ def broken_words(pages: DataFrame, words: DataFrame, known: Confusions = KNOWN)
     return found.join(whole, ["left", "right"])
 
 
-def misread_words(pages: DataFrame, wrong: DataFrame) -> DataFrame:
-    """(id, line, word, right) of each misread word of the pages; a word broken over lines is in its first line."""
-    lines = pages.select("id", F.posexplode(lines_of(_joined_keeping_lines(F.col("text")))).alias("line", "t"))
-    tokens = lines.where(F.length("t") > 2).select("id", "line", F.explode(F.split(_blanked(F.col("t"), "-"), " ")).alias("word")).where(F.length("word") > 2)
-    # The few wrong words take on the texts' cases, not the texts the words'.
-    cased = wrong.select(F.explode(F.array_distinct(F.array("word", F.initcap("word"), F.upper("word")))).alias("raw"), F.col("word").alias("low"), "right")
-    few = wrong.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
-    return tokens.join(F.broadcast(cased) if few else cased, F.col("word") == F.col("raw")).select("id", "line", F.col("low").alias("word"), "right")
+def wrong_tokens(raw: DataFrame, wrong: DataFrame) -> DataFrame:
+    """(raw, word, right) of the tokens that hold misread words, in any letter case; a row for each place of a word in a token."""
+    parts = raw.select("raw", F.explode(F.split(_blanked(F.col("raw"), "-"), " ")).alias("word")).where(F.length("word") > 2)
+    return parts.select("raw", F.lower("word").alias("word")).join(wrong, "word")
+
+
+def misread_words(texts: DataFrame, wrong_raw: DataFrame) -> DataFrame:
+    """(id, word, right, n): how often each misread word stands in the texts (id, text)."""
+    found = _wrong_in(texts.select("id", F.explode(raw_tokens(F.col("text"))).alias("raw")), wrong_raw)
+    return found.groupBy("id", "word", "right").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _joined_keeping_lines(text: Column) -> Column:
-    """As _joined, with a line break after the word, so that the lines keep their numbers."""
-    return F.regexp_replace(text, rf"[{MARKS}](?<=[{W}].)[ \t\xa0]*(\r?\n)[ \t\xa0]*([{W}]+)", "$2$1")
+def _wrong_in(tokens: DataFrame, wrong_raw: DataFrame) -> DataFrame:
+    few = wrong_raw.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
+    return tokens.where(F.length("raw") > 2).join(F.broadcast(wrong_raw) if few else wrong_raw, "raw")
 
 
 def trusted(misread: DataFrame, known: Confusions = KNOWN) -> DataFrame:
-    """The misread words of (id, line, word, right) without words that stand mostly alone.
+    """The misread words of (id, word, right, n) without words that stand mostly alone.
 
     Misreading comes by the page. A right word that is only rarer than a similar one mostly stands on pages without
     two other misread words, and is dropped; words with a digit or sign for a letter stay.
     """
-    by_page = misread.groupBy("id", "word").agg(F.count(F.lit(1)).alias("own"))
-    page = by_page.groupBy("id").agg(F.sum("own").alias("all"))
-    support = by_page.join(page, "id").groupBy("word").agg((F.sum(F.when(F.col("all") - F.col("own") >= 2, F.col("own")).otherwise(0)) / F.sum("own")).alias("support"))
+    page = misread.groupBy("id").agg(F.sum("n").alias("all"))
+    support = misread.join(page, "id").groupBy("word").agg((F.sum(F.when(F.col("all") - F.col("n") >= 2, F.col("n")).otherwise(0)) / F.sum("n")).alias("support"))
     return misread.join(support.where((F.col("support") >= 0.5) | F.col("word").rlike(known.odd)).select("word"), "word", "left_semi")
 
 
 @dataclass
 class Noise:
-    """What was found, each by page: lines (id, line, noise), misread words (id, line, word, right), breaks (id, left, right)."""
+    """What was found, each by page: lines (id, line, noise), misread words (id, word, right, n), breaks (id, left, right)."""
 
     lines: DataFrame
     misread: DataFrame
@@ -429,13 +490,19 @@ class Noise:
 
 def look(pages: DataFrame, books: DataFrame, chapters: DataFrame, words: DataFrame | None = None) -> Noise:
     rows = pages.where(F.length("text") > 0)
-    words = cut(vocabulary(rows)) if words is None else words
+    raw = cut(raw_counts(rows))
+    words = cut(words_of(raw)) if words is None else words
     known = learn(words)
-    lines = page_edges(rows, books, chapters, known)
-    lines = cut(lines)
-    # The joins read the texts once; what they find is small and read several times.
-    # Cut before the anti-join, which Catalyst would otherwise push below the split into lines and shuffle the texts for.
-    misread = cut(misread_words(rows, cut(corrections(words, known)))).join(lines.select("id", "line"), ["id", "line"], "left_anti")
+    edges = read_edges(rows, books, chapters, known)
+    lines = cut(page_edges(rows, books, chapters, known, edges))
+    # The texts are read once for the misread words; what is found is small and read several times.
+    wrong = cut(wrong_tokens(raw, corrections(words, known)))
+    found = cut(misread_words(rows, wrong))
+    # Words of heads and page numbers don't count.
+    at_edges = edges.select("id", "line", F.explode(raw_tokens(F.col("t"))).alias("raw"))
+    heads = _wrong_in(at_edges, wrong).join(lines.select("id", "line").distinct(), ["id", "line"], "left_semi").groupBy("id", "word").agg(F.count(F.lit(1)).alias("h"))
+    left = F.col("n") - F.coalesce("h", F.lit(0))
+    misread = found.join(heads, ["id", "word"], "left").select("id", "word", "right", left.alias("n")).where("n > 0")
     return Noise(lines, trusted(misread, known), broken_words(rows, words, known))
 
 
@@ -447,7 +514,7 @@ def find_noise(pages: DataFrame, books: DataFrame, chapters: DataFrame, words: D
     counted as misread.
     """
     found = look(pages, books, chapters, words)
-    misread = found.misread.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MISREAD_WORDS).select("id", F.lit("misread").alias("noise"))
+    misread = found.misread.groupBy("id").agg(F.sum("n").alias("n")).where(F.col("n") >= MISREAD_WORDS).select("id", F.lit("misread").alias("noise"))
     hyphen = found.breaks.select("id", F.lit("hyphen").alias("noise")).distinct()
     return hyphen.unionByName(misread).unionByName(found.lines.select("id", "noise").distinct())
 

@@ -135,6 +135,32 @@ def test_edges(line, number, rest):
     assert at["number"] == number and at["rest"] == S.fold(rest)
 
 
+def test_lines_read_jvm_side_are_read_alike(spark):
+    rng = random.Random(12)
+    words = WORDS + ["I", "O", "l", "x", "mix", "Chapter", "Page", "12", "4th", "g@rden", "cornmon", "“so”", "it’s", "बगीचा", "क़लम", "वन।", "२स", "प्रकरण", "–", "|", "-", "é", "(iv)", "[7]", "...", "Unit:"]
+    lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 7))) for _ in range(3000)]
+    pages = spark.createDataFrame([(str(i), "b", i, t, None) for i, t in enumerate(lines)], "id string, document_id string, page_number int, text string, metadata string")
+    rows = {r.id: r for r in S.edge_lines(pages).collect()}
+    assert len(rows) == len(lines)
+    for i, t in enumerate(lines):
+        want = S.read_edge(t)
+        got = rows[str(i)]
+        assert {k: got[k] for k in want} == want
+    assert pages.where(S._is_common(F.col("text"))).count() > 300
+
+
+def test_ends_of_pages(spark):
+    rng = random.Random(13)
+    texts = ["\n".join(rng.choice(["", " ", "a", "b c", "\xa0"]) for _ in range(rng.choice([1, 3, 9, 17, 40]))).replace("a\n", "a\r\n") for _ in range(200)]
+    pages = spark.createDataFrame([(str(i), "b", i, t) for i, t in enumerate(texts)], "id string, document_id string, page_number int, text string")
+    got: dict = {}
+    for r in S._ends(pages).collect():
+        got.setdefault(r.id, []).append((r.line, r.t))
+    for i, t in enumerate(texts):
+        solid = [(n, x.strip(" \t\xa0")) for n, x in enumerate(t.replace("\r", "\n").split("\n")) if x.strip(" \t\xa0")]
+        assert sorted(got.get(str(i), [])) == (solid if len(solid) <= 4 else solid[:2] + solid[-2:])
+
+
 def test_dirt(spark, tables):
     _, books, chapters, _ = tables
     rows = [("a", None, 1, "word-\nless", None), ("a", None, 1, "word-\nless", None), ("b", "book", None, "x", "{"), (None, "book", 2, None, None), ("c", "book", 3, "", None), ("d", "book", 4, "long " * 60_000, '{"printed_page": "x"}')]
