@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from foliant import ingest
 from foliant.functions import text as X
 from foliant.operators import embedding, export, lookup, search, validate, validate_json
-from foliant.session import drop_written, ship
+from foliant.session import ship, written
 from foliant.sources import files, json_books
 from foliant.store import Store
 
@@ -144,13 +144,12 @@ def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = SparkSession.builder.config("spark.sql.session.timeZone", "UTC").getOrCreate()
     ship(spark)
-    try:
-        return _run(a, spark)
-    except ValueError as e:
-        print(f"foliant: {e}", file=sys.stderr)
-        return 2
-    finally:
-        drop_written()
+    with written():
+        try:
+            return _run(a, spark)
+        except ValueError as e:
+            print(f"foliant: {e}", file=sys.stderr)
+            return 2
 
 
 if __name__ == "__main__":

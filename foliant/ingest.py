@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.functions import text as X
-from foliant.operators import chunking, contents, embedding, lookup, nested, structure, tables
+from foliant.operators import chunking, contents, detection, embedding, lookup, nested, structure, tables
 from foliant.session import cut, ship
 from foliant.sources import files as file_source
 from foliant.sources import json_books
@@ -25,12 +25,13 @@ LANGUAGES = ["Hindi", "English", "Mixed", "Hinglish", "Unknown"]
 
 @dataclass
 class Options:
-    """overrides: metadata that goes before that of the files. reindex: take in again what is there. dry_run: write nothing. export_to: folder for the combined JSON."""
+    """overrides: metadata that goes before that of the files. reindex: take in again what is there. dry_run: write nothing. export_to: folder for the combined JSON. provider: a model that reads the structure of books without JSON."""
 
     overrides: dict[str, str] = field(default_factory=dict)
     reindex: bool = False
     dry_run: bool = False
     export_to: str | None = None
+    provider: detection.Provider | None = None
 
     def __post_init__(self) -> None:
         if unknown := set(self.overrides) - set(METADATA):
@@ -126,7 +127,8 @@ def ingest_files(store: Store, source: str, readers: list[tuple[str, file_source
     key = todo.where("reason is null").select("path", "document_id")
     p = page_rows(read.where("error is null").join(key, "path").select("document_id", "page_number", "raw_text", "extraction_method"))
     p = cut(p)
-    detected = cut(contents.detect(p).withColumn("id", _id("document_id", "position")).withColumn("lesson_title", F.lit(None).cast("string")).withColumn("pdf_start_page", F.lit(None).cast("int")))
+    about = todo.where("reason is null").select(F.col("document_id").alias("id"), "school_name", "class_name", "grade", "board", "subject", "book_title", "language")
+    detected = cut(detection.detect_structure(p, about, o.provider))
     ranges = contents.repair_whole(detected, p).select("document_id", "id", "pdf_start_page", "pdf_end_page")
     chapters = detected.drop("pdf_start_page").join(ranges, ["document_id", "id"], "left").withColumn("section_key", F.concat_ws("/", "unit_number", "chapter_number", F.coalesce("section_number", "section_title", "chapter_title"))).withColumn("printed_end_page", F.lit(None).cast("int"))
     none = store.spark.createDataFrame([], "id string, document_id string, subsection_title string, subsection_text string, pdf_start_page int, pdf_end_page int")

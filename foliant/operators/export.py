@@ -58,11 +58,11 @@ def combined(books: DataFrame, pages: DataFrame, chapters: DataFrame, subsection
     # Lessons of chapters are their chunks; a chapter without any gets the text of its pages, as does a section.
     c = chunks.select("id", "document_id", "page_start", "page_end", "chunk_index", "chunk_type", "content", "important_terms", "keywords", "source_label", *[x for x in ("chapter_title", "unit_title", "section_title", "lesson_title") if x in chunks.columns])
     by_chapter = structure.matches(c, whole, ["chapter_title"], alone=True)
-    lesson = c.join(by_chapter, F.col("id") == F.col("chunk_id")).withColumn("lesson_title", F.coalesce(*[structure.filled(F.col(x)) for x in ("section_title", "lesson_title", "chapter_title")], F.concat(F.lit("Lesson "), F.col("chunk_index") + 1)))
+    lesson = c.join(by_chapter, F.col("id") == F.col("chunk_id")).withColumn("lesson_title", X.chunk_title([structure.filled(F.col(x)) for x in ("lesson_title", "section_title", "chapter_title", "unit_title") if x in c.columns], F.col("chunk_type"), F.col("chunk_index") + 1))
     out.append(line(lesson, "lesson", F.col("chunk_index"), F.col("record_id").alias("parent"), "lesson_title", F.col("chunk_type").alias("lesson_type"), F.col("page_start").alias("start_page"), F.col("page_end").alias("end_page"), X.page_range(F.col("page_start"), F.col("page_end")).alias("page_numbers"), F.col("content").alias("lesson_text"), F.slice("important_terms", 1, 20).alias("key_terms"), F.concat(F.lit("chunk "), "chunk_index", F.lit(", "), "source_label").alias("notes")))
     by_section = structure.matches(c, parts, ["unit_title", "section_title"], alone=False)
     held = c.join(by_section, F.col("id") == F.col("chunk_id")).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("chunk_index", "content", "chunk_type", F.concat("important_terms", "keywords").alias("terms")))).alias("cs"))
-    terms = F.slice(F.array_distinct(F.filter(F.flatten(F.transform("cs", lambda x: x["terms"])), lambda t: F.trim(t) != "")), 1, 30)
+    terms = X.merged_terms(F.flatten(F.transform("cs", lambda x: x["terms"])))
     # Sections, and chapters without a chunk, by the text of their pages.
     bare = whole.join(by_chapter.select("record_id").distinct(), F.col("id") == F.col("record_id"), "left_anti")
     texts = _range_texts(bare.select("id", "document_id", "pdf_start_page", "pdf_end_page").unionByName(parts.join(held.select("record_id"), F.col("id") == F.col("record_id"), "left_anti").select("id", "document_id", "pdf_start_page", "pdf_end_page")), pages)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_, or_
 
 import numpy as np
 import pandas as pd
@@ -35,14 +37,22 @@ def condition(filters: dict[str, str | None], columns: list[str]) -> Column:
 
 
 def cosine(vector: Column, query: list[float]) -> Column:
-    """Cosine similarity in double, at least 0; null for a vector of another length or of no length."""
-    q = F.array(*[F.lit(float(x)) for x in query])
-    norm = float(np.linalg.norm(query))
-    v = vector.cast("array<double>")
-    total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
-    length = F.sqrt(total(F.transform(v, lambda x: x * x)))
-    dot = total(F.zip_with(v, q, lambda x, y: x * y))
-    return F.when((F.size(vector) == len(query)) & (length > 0) & (norm > 0), F.greatest(F.lit(0.0), dot / (length * norm)))
+    """Cosine similarity in double, at least 0; null for a vector of another length, of no length, or not all of numbers. A batch of vectors is one matrix product."""
+    q = np.asarray(query, dtype=np.float64)
+    norm = float(np.linalg.norm(q))
+
+    @F.pandas_udf(T.DoubleType())
+    def score(vectors: pd.Series) -> pd.Series:
+        out = np.full(len(vectors), np.nan)
+        fit = np.array([v is not None and len(v) == len(q) for v in vectors], dtype=bool)
+        if fit.any() and norm > 0:
+            x = np.stack([np.asarray(v, dtype=np.float64) for v in vectors[fit]])
+            with np.errstate(all="ignore"):
+                out[fit] = np.maximum(0.0, (x @ q) / (np.linalg.norm(x, axis=1) * norm))
+        return pd.Series([None if np.isnan(s) else s for s in out], dtype="Float64")
+
+    # Named once in a plan: else a filter on the score would have it worked out twice.
+    return score.asNondeterministic()(vector)
 
 
 def vector_top(chunks: DataFrame, vectors: DataFrame, query: list[float], limit: int, filters: dict | None = None) -> DataFrame:
@@ -130,22 +140,19 @@ def keyword_top(chunks: DataFrame, query: str, limit: int, fields: dict[str, str
     q = parse_query(query)
     if not q.groups:
         return chunks.select(F.col("id").alias("chunk_id"), F.lit(0.0).alias("keyword_score")).limit(0)
-    tokens = F.concat(*[lexemes(F.col(c)) for c in fields])
-    weights = F.concat(*[F.array_repeat(F.lit(CLASS_WEIGHTS[w]), F.size(lexemes(F.col(c)))) for c, w in fields.items()])
-    wanted = F.lit(False)
-    for g in q.groups:
-        all_of = F.lit(True)
-        for p in g:
-            for w in p:
-                all_of = all_of & F.array_contains("t", w)
-        wanted = wanted | all_of
+    # Most texts lack the words even as parts of others, and are not taken apart at all.
+    text = F.lower(F.concat_ws(" ", *fields))
+    any_group = lambda has: reduce(or_, [reduce(and_, [has(w) for p in g for w in p]) for g in q.groups])
+    lexed = F.transform(F.array(F.struct(*[lexemes(F.col(c)).alias(c) for c in fields])), lambda x: F.struct(F.concat(*[x[c] for c in fields]).alias("t"), F.concat(*[F.array_repeat(F.lit(CLASS_WEIGHTS[w]), F.size(x[c])) for c, w in fields.items()]).alias("w")))
 
     @F.pandas_udf(T.DoubleType())
     def rank(ts: pd.Series, ws: pd.Series) -> pd.Series:
         return pd.Series([cover_density(list(t), list(w), q) for t, w in zip(ts, ws, strict=True)], dtype="float64")
 
-    rows = chunks.where(condition(filters or {}, chunks.columns)).select("id", tokens.alias("t"), weights.alias("w")).where(wanted)
-    return rows.select(F.col("id").alias("chunk_id"), rank("t", "w").alias("keyword_score")).where(F.col("keyword_score").isNotNull() & ~F.isnan("keyword_score")).orderBy(F.desc("keyword_score"), "chunk_id").limit(limit)
+    rows = chunks.where(condition(filters or {}, chunks.columns)).where(any_group(lambda w: F.contains(text, F.lit(w))))
+    rows = rows.select("id", F.explode(F.filter(lexed, lambda x: any_group(lambda w: F.array_contains(x["t"], w)))).alias("x"))
+    ranked = rows.select(F.col("id").alias("chunk_id"), rank.asNondeterministic()("x.t", "x.w").alias("keyword_score"))
+    return ranked.where(F.col("keyword_score").isNotNull() & ~F.isnan("keyword_score")).orderBy(F.desc("keyword_score"), "chunk_id").limit(limit)
 
 
 def merge_scores(vector: DataFrame, keyword: DataFrame) -> DataFrame:

@@ -113,3 +113,11 @@ def matches(chunks: DataFrame, records: DataFrame, agree: list[str], alone: bool
         some = pairs.groupBy("record_id").agg(F.bool_or("same").alias("some"))
         pairs = pairs.join(some, "record_id").withColumn("same", F.col("same") | ~F.col("some"))
     return pairs.where("same").select("chunk_id", "record_id")
+
+
+def with_printed_ends(records: DataFrame, pages: DataFrame) -> DataFrame:
+    """with_ends(), and printed_end_page: the end less the book's offset, where one is known, else the page before the next printed start; null without a printed start."""
+    w = Window.partitionBy("document_id").orderBy("pdf_start_page", "id", "updated_at")
+    ends = with_ends(records.drop("printed_end_page"), pages).withColumn("_np", F.lead("printed_start_page").over(w)).join(printed_offsets(records).select("document_id", "page_offset"), "document_id", "left")
+    printed = F.when(F.col("page_offset").isNotNull(), F.col("computed_end_page") - F.col("page_offset")).otherwise(F.col("_np") - 1)
+    return ends.withColumn("printed_end_page", F.when(F.col("printed_start_page").isNotNull(), printed)).drop("_np", "page_offset")

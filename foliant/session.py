@@ -8,6 +8,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,9 +66,19 @@ def cut(df: DataFrame) -> DataFrame:
 _written: list[tuple[SparkSession, str]] = []
 
 
-def drop_written() -> None:
-    """Delete the tables that cut() wrote in this process."""
-    while _written:
+@contextmanager
+def written() -> Iterator[None]:
+    """What cut() and scratch() write within is deleted at the end: use results within, so that long sessions don't fill their disk."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        drop_written(before)
+
+
+def drop_written(keep: int = 0) -> None:
+    """Delete the tables that cut() wrote in this process, but the first `keep`."""
+    while len(_written) > keep:
         spark, path = _written.pop()
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -85,3 +85,32 @@ def page_texts(files: DataFrame, readers: list[tuple[str, PageReader]], ocr: Cal
 def ocr_language(columns: list[Column]) -> Column:
     """Hindi with English where any attribute speaks of Hindi or Devanagari."""
     return F.when(F.lower(F.concat_ws(" ", *columns)).rlike("hindi|हिंदी|हिन्दी|devanagari|sanskrit"), "hin+eng").otherwise("eng")
+
+
+# Shares and numbers of sampled pages from which a file is to be read by OCR.
+EMPTY_SHARE, FEW_CHARACTERS, CORRUPTED_SHARE, STRAY_PAGES = 0.35, 120, 0.12, 2
+
+
+def quality_report(sampled: DataFrame, allow_devanagari: Column) -> DataFrame:
+    """(document_id, sampled_pages, empty_pages, text_pages, control_pages, replacement_pages, stray_pages, average_characters, should_ocr, reason) of sampled pages (document_id, raw_text, ...).
+
+    Five things call for OCR: many empty pages, little text on the others, many corrupted pages, any control or
+    replacement characters, and Devanagari signs on pages of Latin text of a book that is not Hindi (allow_devanagari).
+    """
+    c = F.col("raw_text")
+    n = F.length(F.coalesce(F.regexp_replace(c, r"^[\s\p{Z}]+|[\s\p{Z}]+$", ""), F.lit("")))
+    p = sampled.select("document_id", n.alias("n"), (F.regexp_count(c, F.lit(X.C1)) > 0).alias("c"), (F.regexp_count(c, F.lit("\ufffd")) > 0).alias("r"), (X.stray_devanagari(c, 80) & ~allow_devanagari).alias("s"))
+    out = p.groupBy("document_id").agg(
+        F.count(F.lit(1)).alias("sampled_pages"), F.count_if(F.col("n") == 0).alias("empty_pages"), F.count_if(F.col("n") > 0).alias("text_pages"), F.count_if("c").alias("control_pages"), F.count_if("r").alias("replacement_pages"), F.count_if("s").alias("stray_pages"),
+        F.round(F.coalesce(F.avg(F.when(F.col("n") > 0, F.col("n"))), F.lit(0.0)), 2).alias("average_characters"),
+    )
+    bad = F.col("control_pages") + F.col("replacement_pages") + F.col("stray_pages")
+    of = lambda k: F.concat(k.cast("string"), F.lit(" of "), F.col("sampled_pages").cast("string"), F.lit(" sampled pages "))
+    reasons = F.array_compact(F.array(
+        F.when(F.col("empty_pages") >= EMPTY_SHARE * F.col("sampled_pages"), F.concat(of(F.col("empty_pages")), F.lit("have no text"))),
+        F.when((F.col("text_pages") > 0) & (F.col("average_characters") < FEW_CHARACTERS), F.lit("the pages with text have little")),
+        F.when(bad >= CORRUPTED_SHARE * F.col("sampled_pages"), F.concat(of(bad), F.lit("look corrupted"))),
+        F.when(F.col("control_pages") + F.col("replacement_pages") > 0, F.lit("control or replacement characters")),
+        F.when(F.col("stray_pages") >= STRAY_PAGES, F.lit("stray Devanagari signs")),
+    ))
+    return out.withColumn("should_ocr", F.size(reasons) > 0).withColumn("reason", F.coalesce(F.nullif(F.array_join(reasons, "; "), F.lit("")), F.lit("the text layer looks usable")))
