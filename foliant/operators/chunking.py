@@ -265,7 +265,7 @@ def _in_order(run: pd.DataFrame) -> pd.DataFrame:
 
 
 def units(pages: DataFrame, plans: DataFrame, text: str) -> DataFrame:
-    """(document_id, page_number, u, n, body, level, title): paragraphs of the cleaned pages in order, n their tokens; pieces of units over the limit have -n. Cut: all that follows reads it."""
+    """(document_id, page_number, u, n, body, level, number, title): paragraphs of the cleaned pages in order, n their tokens; pieces of units over the limit have -n. Cut: all that follows reads it."""
     limit, overlap, _ = PROFILES["unknown"]
     rows = pages.join(plans, "document_id", "left").select("document_id", "page_number", F.coalesce("max_tokens", F.lit(limit)).alias("m"), F.coalesce("overlap_tokens", F.lit(overlap)).alias("o"), F.col(text).alias("t"))
 
@@ -280,17 +280,20 @@ def units(pages: DataFrame, plans: DataFrame, text: str) -> DataFrame:
             yield pd.DataFrame(out, columns=["document_id", "page_number", "u", "n", "body"])
 
     h = F.when(F.length("body") <= 160, X.heading(F.col("body")))
-    return cut(rows.where(F.col("t").isNotNull() & F.col("page_number").isNotNull() & F.col("document_id").isNotNull()).mapInPandas(split, UNITS).withColumn("h", h).select("document_id", "page_number", "u", "n", "body", "h.level", "h.title"))
+    return cut(rows.where(F.col("t").isNotNull() & F.col("page_number").isNotNull() & F.col("document_id").isNotNull()).mapInPandas(split, UNITS).withColumn("h", h).select("document_id", "page_number", "u", "n", "body", "h.level", "h.number", "h.title"))
 
 
 KEY_TITLES = ["chapter_title", "unit_title", "lesson_title", "section_title"]
+#: What else a unit has from its place; a change of these alone begins no run.
+PLACE = ["chapter_number", "unit_number", "section_number", "topic"]
 
 
 def placed_units(slim: DataFrame, records: DataFrame) -> DataFrame:
-    """(document_id, page_number, u, n, titles, run, place): each unit with its titles, the number of the first unit of its run in the book, and its own place in the run.
+    """(document_id, page_number, u, n, titles, PLACE, run, place): each unit with its titles, the number of the first unit of its run in the book, and its own place in the run.
 
-    The titles are those of the record that its page belongs to; after such a page, and where there is none, a heading
-    sets its own title and clears the section's below it.
+    The titles and numbers are those of the record that its page belongs to; after such a page, and where there is none,
+    a heading sets its own and clears the section's below it. The topic is that of the page, the title of its section,
+    lesson or chapter, until a heading of a section or topic sets another.
     """
     at = structure.resolve_pages(slim.select("document_id", "page_number").distinct(), records)
     of = {c: structure.filled(F.col(f"record.{c}")) for c in KEY_TITLES}
@@ -298,20 +301,26 @@ def placed_units(slim: DataFrame, records: DataFrame) -> DataFrame:
     level = F.col("level")
     own = {c: F.when(level == c, F.col("title")) for c in KEY_TITLES}
     own["section_title"] = F.when(level.isin("chapter_title", "unit_title", "lesson_title"), F.lit("")).otherwise(own["section_title"])
+    numbers = PLACE[:3]
+    of |= {c: structure.filled(F.col(f"record.{c}")) if c in records.columns else F.lit(None).cast("string") for c in numbers}
+    own |= {c: F.when(level == c.replace("number", "title"), F.coalesce("number", F.lit(""))) for c in numbers}
+    own["section_number"] = F.when(level.isin("unit_title", "lesson_title"), F.lit("")).otherwise(own["section_number"])
     events = slim.join(at.select("document_id", "page_number", has.alias("has"), *[v.alias(f"r_{c}") for c, v in of.items()]), ["document_id", "page_number"])
-    events = events.select("document_id", "page_number", "u", "n", F.floor(F.col("page_number") / BIN_PAGES).alias("bin"), *[F.when(F.col("has"), F.coalesce(f"r_{c}", F.lit(""))).otherwise(own[c]).alias(c) for c in KEY_TITLES])
+    told = F.when(level.isin("topic", "section_title"), F.col("title")).when(level.isin("chapter_title", "unit_title", "lesson_title"), F.lit(""))
+    topic = F.coalesce(told, F.when(F.col("has") & (F.col("u") == 0), F.coalesce("r_section_title", "r_lesson_title", "r_chapter_title", F.lit("")))).alias("topic")
+    events = events.select("document_id", "page_number", "u", "n", F.floor(F.col("page_number") / BIN_PAGES).alias("bin"), *[F.when(F.col("has"), F.coalesce(f"r_{c}", F.lit(""))).otherwise(own[c]).alias(c) for c in KEY_TITLES + numbers], topic)
     order = ["page_number", "u"]
-    known = carried(sums_before(events, "document_id", "bin", order, F.lit(1), "g"), "document_id", "bin", order, KEY_TITLES)
+    known = carried(sums_before(events, "document_id", "bin", order, F.lit(1), "g"), "document_id", "bin", order, KEY_TITLES + PLACE)
     w = Window.partitionBy("document_id", "bin").orderBy(*order)
     titles = lambda suffix="": F.struct(*[F.coalesce(f"{c}{suffix}", F.lit("")).alias(c) for c in KEY_TITLES])
     before = F.when(F.row_number().over(w) == 1, titles("_in")).otherwise(F.lag(titles()).over(w))
     starts = known.withColumn("run", F.when((F.col("g") == 0) | (before != titles()), F.col("g")))
-    out = carried(starts.drop(*[f"{c}_in" for c in KEY_TITLES]), "document_id", "bin", order, ["run"])
-    return out.select("document_id", *order, "n", *[F.nullif(c, F.lit("")).alias(c) for c in KEY_TITLES], "run", (F.col("g") - F.col("run")).alias("place"))
+    out = carried(starts.drop(*[f"{c}_in" for c in KEY_TITLES + PLACE]), "document_id", "bin", order, ["run"])
+    return out.select("document_id", *order, "n", *[F.nullif(c, F.lit("")).alias(c) for c in KEY_TITLES + PLACE], "run", (F.col("g") - F.col("run")).alias("place"))
 
 
 def groups_of(placed: DataFrame, plans: DataFrame) -> DataFrame:
-    """(document_id, run, number, g, n, n1, n2, most, titles, places): the groups of units that the fold closes, in the order g of their book.
+    """(document_id, run, number, g, n, n1, n2, most, titles, PLACE of the last unit, places): the groups of units that the fold closes, in the order g of their book.
 
     number counts them in their run, n1 and n2 are the sizes of the two before in it, places are (page_number, u).
     """
@@ -319,7 +328,7 @@ def groups_of(placed: DataFrame, plans: DataFrame) -> DataFrame:
     most, back = F.greatest(F.lit(2 * LEAST), F.coalesce("max_tokens", F.lit(limit))), F.coalesce("overlap_tokens", F.lit(overlap))
     rows = placed.join(plans, "document_id", "left").withColumn("most", most).withColumn("back", back)
     rows = rows.withColumn("block", F.floor(F.col("place") / F.greatest(F.lit(BLOCK), 2 * (F.col("most") + F.col("back")))))
-    blocks = rows.groupBy("document_id", "run", "block").agg(*[F.first(c).alias(c) for c in ("most", "back", *KEY_TITLES)], F.array_sort(F.collect_list(F.struct("place", "n", "page_number", "u"))).alias("x"))
+    blocks = rows.groupBy("document_id", "run", "block").agg(*[F.first(c).alias(c) for c in ("most", "back", *KEY_TITLES)], F.array_sort(F.collect_list(F.struct("place", "n", "page_number", "u", *PLACE))).alias("x"))
     w = Window.partitionBy("document_id", "run").orderBy("block")
     kept = F.least(F.size("x"), F.col("most") + F.col("back"))
     blocks = blocks.withColumn("before", F.coalesce(F.lag(F.slice("x", -kept, kept)).over(w), F.slice("x", 1, 0))).withColumn("last", F.lead("block").over(w).isNull())
@@ -330,9 +339,9 @@ def groups_of(placed: DataFrame, plans: DataFrame) -> DataFrame:
     from_ = blocks.join(begun, ["document_id", "run", "block"], "left").withColumn("held", F.coalesce("held", F.lit(0))).withColumn("closed", F.coalesce("closed", F.lit(0))).withColumn("sizes", F.coalesce("sizes", none))
     found = from_.withColumn("groups", _groups_udf("x.n", "before.n", "held", "most", "back", "last", "sizes")).withColumn("bin", F.floor(F.col("run") / BLOCK))
     found = sums_before(found, "document_id", "bin", ["run", "block"], F.size("groups"), "g0")
-    all_places = F.transform(F.concat("before", "x"), lambda p: F.struct(p["page_number"].alias("page_number"), p["u"].alias("u")))
+    all_places = F.transform(F.concat("before", "x"), lambda p: F.struct(*[p[c].alias(c) for c in ("page_number", "u", *PLACE)]))
     each = found.select("document_id", "run", "closed", "g0", "most", *KEY_TITLES, all_places.alias("all"), F.posexplode("groups").alias("i", "group"))
-    return each.select("document_id", "run", (F.col("closed") + F.col("i")).alias("number"), (F.col("g0") + F.col("i")).alias("g"), "group.n", "group.n1", "group.n2", "most", *KEY_TITLES, F.slice("all", F.col("group.first") + 1, F.col("group.end") - F.col("group.first")).alias("places"))
+    return each.select("document_id", "run", (F.col("closed") + F.col("i")).alias("number"), (F.col("g0") + F.col("i")).alias("g"), "group.n", "group.n1", "group.n2", "most", *KEY_TITLES, *[F.col("all")[F.col("group.end") - 1][c].alias(c) for c in PLACE], F.slice("all", F.col("group.first") + 1, F.col("group.end") - F.col("group.first")).alias("places"))
 
 
 def merges(bodies: DataFrame) -> DataFrame:
@@ -352,7 +361,7 @@ def merges(bodies: DataFrame) -> DataFrame:
 
 
 def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: str = "raw_text") -> DataFrame:
-    """(document_id, chunk_index, page_start, page_end, chapter_title, unit_title, lesson_title, section_title, content).
+    """(document_id, chunk_index, page_start, page_end, chapter_title, unit_title, lesson_title, section_title, columns of PLACE, content).
 
     pages holds a page once. Pages are resolved to the records of their book; what a page without a record has is told
     by the headings on it, and by what came before. Null and blank pages are left out; a book without a plan has the one
@@ -363,9 +372,9 @@ def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: st
     plan = plans.select("document_id", "max_tokens", "overlap_tokens")
     whole = units(pages, plan.withColumn("max_tokens", F.greatest("max_tokens", F.lit(2 * LEAST))), text)
     groups = groups_of(placed_units(whole.drop("body"), records), plan)
-    spread = groups.select("document_id", "run", "number", "g", "n", "n1", "n2", "most", *KEY_TITLES, F.posexplode("places").alias("i", "p")).select("*", "p.page_number", "p.u").drop("p")
+    spread = groups.select("document_id", "run", "number", "g", "n", "n1", "n2", "most", *KEY_TITLES, *PLACE, F.posexplode("places").alias("i", "p")).select("*", "p.page_number", "p.u").drop("p")
     parts = spread.join(whole.select("document_id", "page_number", "u", "body"), ["document_id", "page_number", "u"])
-    same = ["run", "number", "n", "n1", "n2", "most", *KEY_TITLES]
+    same = ["run", "number", "n", "n1", "n2", "most", *KEY_TITLES, *PLACE]
     joined = lambda key, body: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, body))), lambda x: x[body]), "\n\n")
     bodies = cut(parts.groupBy("document_id", "g").agg(*[F.first(c).alias(c) for c in same], F.min("page_number").alias("page_start"), F.max("page_number").alias("page_end"), joined("i", "body").alias("body")))
     # By bin of groups: how many were merged before it, and which in it. A merged group gets the index of the one it
@@ -377,8 +386,8 @@ def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: st
     index = F.col("g") - F.col("less") - F.size(F.filter("gone", lambda x: x <= F.col("g")))
     chunks = bodies.select("*", bin_).join(bins, ["document_id", "bin"]).withColumn("chunk_index", index.cast("int"))
     titles = [F.first(c).alias(c) for c in KEY_TITLES]
-    out = chunks.groupBy("document_id", "chunk_index").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), *titles, joined("g", "body").alias("content"))
-    return out.select("document_id", "chunk_index", "page_start", "page_end", "chapter_title", "unit_title", "lesson_title", "section_title", "content")
+    out = chunks.groupBy("document_id", "chunk_index").agg(F.min("page_start").alias("page_start"), F.max("page_end").alias("page_end"), *titles, *[F.max_by(c, "g").alias(c) for c in PLACE], joined("g", "body").alias("content"))
+    return out.select("document_id", "chunk_index", "page_start", "page_end", "chapter_title", "unit_title", "lesson_title", "section_title", *PLACE, "content")
 
 
 def enrich(chunks: DataFrame, books: DataFrame) -> DataFrame:
@@ -389,7 +398,7 @@ def enrich(chunks: DataFrame, books: DataFrame) -> DataFrame:
     rows = rows.withColumn("keywords", X.keywords(c)).withColumn("formulas", X.formulas(c)).withColumn("numbers", X.numbers(c)).withColumn("question_types", X.question_types(c)).withColumn("detected_language", X.script_language(c))
     rows = rows.withColumn("important_terms", X.important_terms(c, F.col("keywords")))
     f = X.flags(c)
-    label = {"School": F.col("school_name"), "Class": F.coalesce("class_name", "grade"), "Book": F.col("book_title"), "Subject": F.col("subject"), "Grade": F.coalesce("grade", "class_name"), "Board": F.col("board"), "Language": F.coalesce("language", "detected_language"), "Chapter": F.col("chapter_title"), "Unit": F.col("unit_title"), "Lesson": F.col("lesson_title"), "Section": F.col("section_title"), "Topic": F.coalesce("section_title", "lesson_title", "chapter_title"), "Chunk Type": kind, "Pages": F.concat_ws("-", "page_start", "page_end")}
+    label = {"School": F.col("school_name"), "Class": F.coalesce("class_name", "grade"), "Book": F.col("book_title"), "Subject": F.col("subject"), "Grade": F.coalesce("grade", "class_name"), "Board": F.col("board"), "Language": F.coalesce("language", "detected_language"), "Chapter": F.col("chapter_title"), "Unit": F.col("unit_title"), "Lesson": F.col("lesson_title"), "Section": F.col("section_title"), "Topic": F.coalesce("topic", "section_title", "lesson_title", "chapter_title"), "Chunk Type": kind, "Pages": F.concat_ws("-", "page_start", "page_end")}
     flags = {k: v for k, v in f.items() if k not in ("has_formula", "has_numbers", "has_questions")} | {"has_formula": f["has_formula"] | (F.size("formulas") > 0), "has_numbers": f["has_numbers"] | (F.size("numbers") > 0), "has_questions": f["has_questions"] | (F.size("question_types") > 0), "has_devanagari": X.devanagari_count(c) > 0, "has_english": X.latin_count(c) > 0}
     out = rows.select(
         F.sha2(F.concat_ws("|", "document_id", "chunk_index"), 256).alias("id"), *chunks.columns, "chunk_type", X.pedagogical_role(kind, f["has_examples"]).alias("pedagogical_role"),

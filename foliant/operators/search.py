@@ -132,24 +132,39 @@ def cover_density(tokens: list[str], weights: list[float], query: Query) -> floa
     return rank if matched else None
 
 
+def _lexed(fields: dict[str, str]) -> Column:
+    """array of one struct(t, w): the lexemes of all fields in order, and the weight of each."""
+    each = F.array(F.struct(*[lexemes(F.col(c)).alias(c) for c in fields]))
+    return F.transform(each, lambda x: F.struct(F.concat(*[x[c] for c in fields]).alias("t"), F.concat(*[F.array_repeat(F.lit(CLASS_WEIGHTS[w]), F.size(x[c])) for c, w in fields.items()]).alias("w")))
+
+
+def lexeme_table(chunks: DataFrame, fields: dict[str, str]) -> DataFrame:
+    """chunks with t, their lexemes in order, and w, the weight of each: to be stored when chunks are written, and searched instead of them."""
+    return chunks.select("*", F.explode(_lexed(fields)).alias("_x")).select(*chunks.columns, "_x.t", "_x.w")
+
+
 def keyword_top(chunks: DataFrame, query: str, limit: int, fields: dict[str, str], filters: dict | None = None) -> DataFrame:
     """(chunk_id, keyword_score): chunks by cover density over `fields` (column to class A to D), ties by chunk_id.
 
-    A chunk without any of the wanted words is left out JVM-side; Python ranks the rest in Arrow batches.
+    A chunk without any of the wanted words is left out JVM-side; Python ranks the rest in Arrow batches. Chunks that
+    come from lexeme_table() are not taken apart again.
     """
     q = parse_query(query)
     if not q.groups:
         return chunks.select(F.col("id").alias("chunk_id"), F.lit(0.0).alias("keyword_score")).limit(0)
-    # Most texts lack the words even as parts of others, and are not taken apart at all.
-    text = F.lower(F.concat_ws(" ", *fields))
     any_group = lambda has: reduce(or_, [reduce(and_, [has(w) for p in g for w in p]) for g in q.groups])
-    lexed = F.transform(F.array(F.struct(*[lexemes(F.col(c)).alias(c) for c in fields])), lambda x: F.struct(F.concat(*[x[c] for c in fields]).alias("t"), F.concat(*[F.array_repeat(F.lit(CLASS_WEIGHTS[w]), F.size(x[c])) for c, w in fields.items()]).alias("w")))
 
     @F.pandas_udf(T.DoubleType())
     def rank(ts: pd.Series, ws: pd.Series) -> pd.Series:
         return pd.Series([cover_density(list(t), list(w), q) for t, w in zip(ts, ws, strict=True)], dtype="float64")
 
-    rows = chunks.where(condition(filters or {}, chunks.columns)).where(any_group(lambda w: F.contains(text, F.lit(w))))
+    rows = chunks.where(condition(filters or {}, chunks.columns))
+    if {"t", "w"} <= set(chunks.columns):
+        lexed = F.array(F.struct("t", "w"))  # as lexeme_table() stores them
+    else:
+        # Most texts lack the words even as parts of others, and are not taken apart at all.
+        text = F.lower(F.concat_ws(" ", *fields))
+        rows, lexed = rows.where(any_group(lambda w: F.contains(text, F.lit(w)))), _lexed(fields)
     rows = rows.select("id", F.explode(F.filter(lexed, lambda x: any_group(lambda w: F.array_contains(x["t"], w)))).alias("x"))
     ranked = rows.select(F.col("id").alias("chunk_id"), rank.asNondeterministic()("x.t", "x.w").alias("keyword_score"))
     return ranked.where(F.col("keyword_score").isNotNull() & ~F.isnan("keyword_score")).orderBy(F.desc("keyword_score"), "chunk_id").limit(limit)

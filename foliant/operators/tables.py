@@ -56,6 +56,11 @@ def backfill(df: DataFrame, column: str, *others: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(*[F.nullif(F.trim(F.col(c)), F.lit("")) for c in (column, *others)]))
 
 
+def with_defaults(df: DataFrame, values: dict[str, object]) -> DataFrame:
+    """Nulls of the columns that are named become their values, as they are to be written."""
+    return df.select(*[F.coalesce(F.col(c), F.lit(values[c])).alias(c) if c in values else F.col(c) for c in df.columns])
+
+
 def duplicates(df: DataFrame, keys: list[Column]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 

@@ -180,3 +180,86 @@ def chapter_lessons(spark, d):
     """The chunks of each chapter: of its title, or, where there are none, all over its pages."""
     r = t(spark, d, "book_chapters").where(structure.filled(F.col("chapter_title")).isNotNull())
     return structure.matches(t(spark, d, "chunks"), r, ["chapter_title"], alone=True)
+
+
+# ---- writes by key, defaults, checks of keys
+
+
+def _upserted(t_old, t_new, keys, keep):
+    from foliant.operators import tables
+
+    return tables.upsert(t_old, t_new, keys, keep)
+
+
+@query("""with old as (select document_id, page_number, id, word_count, epoch_us(created_at) as created_us from embeddings_pages qualify row_number() over (partition by document_id, page_number order by created_at, id) = 1),
+new as (select document_id, page_number, id, word_count, epoch_us(created_at) as created_us from embeddings_pages where word_count > 20 qualify row_number() over (partition by document_id, page_number order by created_at desc, id desc) = 1)
+select coalesce(n.document_id, o.document_id) as document_id, coalesce(n.page_number, o.page_number) as page_number, coalesce(o.id, n.id) as id, case when n.id is not null then n.word_count else o.word_count end as word_count, coalesce(n.created_us, o.created_us) as created_us
+from old o full join new n on o.document_id = n.document_id and o.page_number = n.page_number""")
+def upsert_pages(spark, d):
+    """The first states of pages, updated by the last states of those with text; a page keeps its first id."""
+    p = pages(spark, d).select("document_id", "page_number", "id", "word_count", F.unix_micros("created_at").alias("created_us"))
+    key = ["document_id", "page_number"]
+    pick = lambda df, by: df.groupBy(*key).agg(by(F.struct("id", "word_count", "created_us"), F.struct("created_us", "id")).alias("r")).select(*key, "r.*")
+    return _upserted(pick(p, F.min_by), pick(p.where("word_count > 20"), F.max_by), key, ["id"])
+
+
+@query("""with old as (select chunk_id, embedding_model, embedding_dimensions, id, epoch_us(created_at) as created_us from embeddings_vectors qualify row_number() over (partition by chunk_id, embedding_model, embedding_dimensions order by created_at, id) = 1),
+new as (select chunk_id, embedding_model, embedding_dimensions, id, epoch_us(created_at) as created_us from embeddings_vectors qualify row_number() over (partition by chunk_id, embedding_model, embedding_dimensions order by created_at desc, id desc) = 1)
+select n.chunk_id, n.embedding_model, n.embedding_dimensions, o.id, n.created_us from new n join old o on n.chunk_id = o.chunk_id and n.embedding_model = o.embedding_model and n.embedding_dimensions = o.embedding_dimensions""")
+def upsert_vectors(spark, d):
+    """Vectors written again by chunk, model and dimensions: the first id, the last time."""
+    key = ["chunk_id", "embedding_model", "embedding_dimensions"]
+    v = t(spark, d, "vectors").where("chunk_id is not null and embedding_model is not null and embedding_dimensions is not null").select(*key, "id", F.unix_micros("created_at").alias("created_us"))
+    pick = lambda by: v.groupBy(*key).agg(by(F.struct("id", "created_us"), F.struct("created_us", "id")).alias("r")).select(*key, "r.*")
+    return _upserted(pick(F.min_by), pick(F.max_by), key, ["id"])
+
+
+@query("""select document_id, chunk_index, id, case when chunk_index % 2 = 0 then token_count + 1 else token_count end as token_count from embeddings_chunks""")
+def upsert_chunks(spark, d):
+    """Every other chunk written again with one token more, by document and index."""
+    c = t(spark, d, "chunks").select("document_id", "chunk_index", "id", "token_count")
+    again = c.where("chunk_index % 2 = 0").withColumn("token_count", F.col("token_count") + 1).withColumn("id", F.lit("new"))
+    return _upserted(c, again, ["document_id", "chunk_index"], ["id"])
+
+
+@query("""select id, epoch_us(updated_at) as updated_us, coalesce(metadata, '{}') as metadata, coalesce(languages_detected, '[]') as languages, coalesce(total_pages, 0) as pages from embeddings_documents""")
+def written_defaults(spark, d):
+    """What is written for missing JSON and lists."""
+    from foliant.operators import tables
+
+    rows = tables.with_defaults(t(spark, d, "documents"), {"metadata": "{}", "languages_detected": "[]", "total_pages": 0})
+    return rows.select("id", F.unix_micros("updated_at").alias("updated_us"), "metadata", F.col("languages_detected").alias("languages"), F.col("total_pages").alias("pages"))
+
+
+UNIQUE = {"documents": ["document_key"], "pages": ["document_id", "page_number"], "book_chapters": ["document_id", "section_key"], "chunks": ["document_id", "chunk_index"], "vectors": ["chunk_id", "embedding_model", "embedding_dimensions"]}
+
+
+@query(" union all ".join(f"select '{n}' as name, count(*) as keys, cast(coalesce(sum(n), 0) as bigint) as rows from (select count(*) as n from embeddings_{n} where {' and '.join(f'{k} is not null' for k in ks)} group by {', '.join(ks)} having count(*) > 1)" for n, ks in UNIQUE.items()))
+def keys_held_twice(spark, d):
+    """How many keys that are to be unique are held by several rows; a key with a null is none."""
+    from functools import reduce
+
+    from foliant.operators import tables
+
+    one = lambda n, ks: tables.duplicates(t(spark, d, n).na.drop(subset=ks), [F.col(k) for k in ks]).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("keys"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+    return reduce(lambda a, b: a.unionByName(b), [one(n, ks) for n, ks in UNIQUE.items()])
+
+
+@query("""with x as (select id, regexp_extract_all(lower(coalesce(chapter_title, '')), '(?:[\\p{L}\\p{N}_]|\\p{M})+') as a, regexp_extract_all(lower(coalesce(content, '')), '(?:[\\p{L}\\p{N}_]|\\p{M})+') as c from embeddings_chunks)
+select id, len(list_distinct(list_concat(a, c))) as lexemes, len(a) as titles, len(a) + len(c) as positions from x""")
+def chunk_lexemes(spark, d):
+    """The stored form of a chunk for search: lexemes with their places and weights."""
+    from foliant.operators import search
+
+    x = search.lexeme_table(t(spark, d, "chunks"), {"chapter_title": "A", "content": "C"})
+    return x.select("id", F.size(F.array_distinct("t")).alias("lexemes"), F.size(F.filter("w", lambda w: w == 1.0)).alias("titles"), F.size("t").alias("positions"))
+
+
+@query(f"""with {BOOKS}, p as (select document_id, min(page_number) as first from embeddings_pages group by document_id) select id as document_id, document_key, book_title, school_name, class_name, subject, grade from books join p on p.document_id = id""")
+def document_of_rows(spark, d):
+    """The book as any of its rows has it: one row a book that has pages."""
+    from foliant.operators import lookup
+
+    b = lookup.of_document(books(spark, d), None, None, every=True)
+    rows = pages(spark, d).select("document_id").join(b, "document_id")
+    return rows.groupBy("document_id").agg(F.first(F.struct(*lookup.BOOK)).alias("b")).select("document_id", "b.*")

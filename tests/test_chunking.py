@@ -103,3 +103,11 @@ def test_two_level_running_values(spark):
             assert (row.v, row.s) == (last, 2 * place)
             place += 1
     assert carried(df.limit(0), "k", "bin", ["i"], ["v"]).count() == 0
+
+
+def test_numbers_and_topics(spark):
+    body = "The oak and the elm stand here, and many of them do. " * 4
+    pages = [("b", 1, f"Chapter 3: Seeds\n\n{body}\n\nA Small Garden\n\n{body}"), ("b", 2, f"Section 4: Roots\n\n{body}"), ("b", 3, body), ("b", 4, f"{body}\n\nThe Green Leaf\n\n{body}")]
+    record = [("b", "r", "7", "Fruit", None, None, "2", "Pips", None, 3, 4, None)]
+    rows = C.chunk_books(spark.createDataFrame(pages, "document_id string, page_number int, raw_text string"), spark.createDataFrame(record, RECORD), spark.createDataFrame([("b", 1000, 0)], "document_id string, max_tokens int, overlap_tokens int")).orderBy("chunk_index").collect()
+    assert [(r.chapter_number, r.chapter_title, r.section_number, r.section_title, r.topic) for r in rows] == [("3", "Seeds", None, None, "A Small Garden"), ("3", "Seeds", "4", "Roots", "Roots"), ("7", "Fruit", "2", "Pips", "The Green Leaf")]

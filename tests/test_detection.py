@@ -102,3 +102,13 @@ def test_written_tables_go(spark):
         path = inner.inputFiles()[0].removeprefix("file://")
         assert inner.count() == 5 and os.path.exists(path)
     assert not os.path.exists(path) and kept.count() == 3
+
+
+def test_stored_lexemes_give_the_same(spark):
+    from foliant.operators import search
+
+    chunks = spark.createDataFrame([("a", "The garden", "a needle in the garden"), ("b", None, "needles"), ("c", "Needle", None), ("d", "x", "")], "id string, chapter_title string, content string")
+    fields = {"chapter_title": "A", "content": "C"}
+    for q in ("needle", '"the garden" needle', "needle -garden", "garden or x", "zzz"):
+        plain = [tuple(r) for r in search.keyword_top(chunks, q, 9, fields).collect()]
+        assert [tuple(r) for r in search.keyword_top(search.lexeme_table(chunks, fields), q, 9, fields).collect()] == plain
