@@ -25,6 +25,8 @@ CLIP, OFF_SCRIPT = 3.0, -6.0
 SWITCH = 9.0
 #: A page is mixed when the second language has this share of its words.
 MIXED = 0.25
+#: A text of another language than these: of OTHER_WORDS words or more, fewer than this share of them known in its script.
+OTHER, OTHER_WORDS, KNOWN_SHARE = "Other", 20, 0.15
 
 _WORD = re.compile("[a-zÀ-ɏ]+|[ऀ-ॣ॰-ॿ]+")
 _END = re.compile(r"[.!?।॥…:;,][\"'”’)\]]*\s*$")
@@ -151,6 +153,11 @@ def classify(text: str | None, model: Model) -> tuple[str | None, float, list[tu
     if total < 4 or not _STOP.search(part):
         return None, 0.0, [], part
     ranked = sorted(words.items(), key=lambda x: -x[1])
+    # The words are only looked up again where their scores say little.
+    if total >= OTHER_WORDS and sum(margin for *_, margin in found) < total * CLIP / 4:
+        known = sum(w in (model.latin if w < "ऀ" else model.devanagari) for w in _WORD.findall(part.lower()))
+        if known < KNOWN_SHARE * total:
+            return OTHER, 1 - known / total, [], part
     sure = lambda margin, n: 1 / (1 + math.exp(-min(30.0, margin / max(1.0, math.sqrt(n)))))
     segments = [(a, b, STATES[s], sure(margin, n)) for a, b, s, n, margin in found]
     confidence = sum(sure(margin, n) * n for _, _, _, n, margin in found) / total
@@ -164,7 +171,8 @@ FOUND = "_k {kind}, language string, confidence double, segments array<struct<st
 def label_languages(df: DataFrame, key: str, text: str, model: Model, with_body: bool = False) -> DataFrame:
     """(key, language, confidence, segments[, body]) of each row with a text of sentences.
 
-    language is one of STATES, or `Mixed` when a second one has MIXED of the words. segments are places in body, the
+    language is one of STATES, `Mixed` when a second one has MIXED of the words, or `Other` when hardly a word is known
+    in any of them. segments are places in body, the
     text without headings and with its encoding repaired. A null, empty or wordless text gives no row; repeated rows
     each give one; other columns are ignored. The model is sent to the workers; its size is bounded by the SAMPLE_ROWS it was learnt from.
     """
@@ -189,12 +197,12 @@ def label_languages(df: DataFrame, key: str, text: str, model: Model, with_body:
 def wrong_labels(df: DataFrame, key: str, text: str, label: str, model: Model | None = None) -> DataFrame:
     """(key, language) of the rows whose label is missing, blank, unknown or names another language than the text is in.
 
-    Rows of a null key are left out. The label travels with the text through one scan; nothing is joined.
+    Rows of a null key are left out, and so are texts of other languages. The label travels with the text through one scan; nothing is joined.
     """
     model = model or learn(df, key, text, label)
     rows = df.where(F.col(f"`{key}`").isNotNull()).select(F.col(f"`{key}`").alias("k"), language_name(F.col(f"`{label}`")).alias("l"), F.col(f"`{text}`").alias("t"))
     found = _with_labels(rows, model)
-    return found.where(F.col("l").isNull() | (F.col("l") != F.col("language"))).select(F.col("k").alias(key), "language")
+    return found.where((F.col("language") != OTHER) & (F.col("l").isNull() | (F.col("l") != F.col("language")))).select(F.col("k").alias(key), "language")
 
 
 def _with_labels(rows: DataFrame, model: Model) -> DataFrame:

@@ -69,6 +69,30 @@ def test_the_short_way_gives_the_same(model):
         assert {L.STATES[s] for s in states} == {language} == {s[2] for s in L.classify(t, model)[2]}
 
 
+def test_other_languages_are_not_forced(model):
+    french = "Les enfants marchaient lentement vers le village quand soudain la pluie recommença. Personne ne voulait rentrer, car il faisait encore chaud et le chemin semblait court."
+    nepali = "उनीहरूले भोलिपल्ट बिहानै गाउँतिर लागेका थिए। त्यसपछि पानी परेकोले सबैजना घरभित्रै बसेर कुराकानी गर्न थालेका हुन् भन्ने सुनियो। केटाकेटीहरूले खेल्नुपर्ने ठाउँ खोजिरहेका छन् तर पाइएको छैन।"
+    assert L.classify(french, model)[0] == L.classify(nepali, model)[0] == L.OTHER
+    rng = random.Random(15)
+    assert all(L.classify(text(rng, s, 4), model)[0] == s for s in L.STATES)
+
+
+def test_confidence_tells_right_from_wrong(model):
+    """The surer, the more often right: short pieces of two languages in one line, held out from what was learnt."""
+    rng = random.Random(16)
+    seen = []
+    for _ in range(400):
+        s = rng.choice(L.STATES)
+        words = text(rng, s, 1).split()[: rng.choice([4, 6, 9])] + text(rng, rng.choice(L.STATES), 1).split()[:3]
+        got, sure, _, _ = L.classify(" ".join(words) + ".", model)
+        if got in L.STATES:
+            seen.append((sure, got == s))
+    seen.sort()
+    half = len(seen) // 2
+    right = lambda part: sum(r for _, r in part) / len(part)
+    assert right(seen[half:]) >= right(seen[:half]) and right(seen[half:]) >= 0.9
+
+
 def test_headings_do_not_count(model):
     rng = random.Random(6)
     head = "THE WARM GARDEN OF KALNO AND THE RIVER\n"
