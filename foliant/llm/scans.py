@@ -36,7 +36,7 @@ RATIO = 12
 #: Misread words on a page that make a case.
 MISREAD_WORDS = 3
 ORDINAL = r"^\d+(?:st|nd|rd|th)$"
-#: Corrections sent to the workers at most; more are joined by a shuffle.
+#: Corrections, or frequent words, sent to the workers at most; more are joined by a shuffle.
 BROADCAST_WORDS = 500_000
 #: How much longer than the longest title a running head may be: letters that are garbled take up to six characters, a number and signs stand beside.
 HEAD_FACTOR, HEAD_MORE = 6, 64
@@ -240,16 +240,20 @@ def _is_common(t: Column) -> Column:
     return t.rlike(_COMMON) & ~F.contains(t, F.lit("|")) & ~first.rlike(_MAYBE_NUMBER) & ~last.rlike(_MAYBE_NUMBER) & ~first.rlike(rf"(?i)^[^\p{{L}}]*(?:{HEADING_WORDS})")
 
 
-def edge_lines(pages: DataFrame, longest: int = 1 << 30, known: Confusions = KNOWN) -> DataFrame:
-    """(id, document_id, page_number, line, t, fields of EDGE) of the two first and two last lines t that aren't blank, up to `longest` characters. Python sees only lines that may hold more than letters."""
+def line_texts(pages: DataFrame, longest: int = 1 << 30) -> DataFrame:
+    """(id, document_id, page_number, line, t, common) of the two first and two last lines t that aren't blank, up to `longest` characters. Cut, as it is small and read several times."""
+    return cut(_ends(pages).where(F.length("t") <= longest).withColumn("common", _is_common(F.col("t"))))
+
+
+def edge_lines(lines: DataFrame, known: Confusions = KNOWN) -> DataFrame:
+    """(id, document_id, page_number, line, fields of EDGE) of line_texts(). Python sees only lines that may hold more than letters."""
 
     @F.pandas_udf(EDGE)
     def read(lines: pd.Series) -> pd.DataFrame:
         whole = [repair(t)[0] if _UNUSUAL.search(t) else t for t in lines]  # heads may be garbled too
         return pd.DataFrame([read_edge(t.strip(), known.fold) for t in whole], columns=EDGE.names).astype({"number": "Int32", "roman": "Int32"})
 
-    key = ["id", "document_id", "page_number", "line", "t"]
-    lines = cut(_ends(pages).where(F.length("t") <= longest).withColumn("common", _is_common(F.col("t"))))
+    key = ["id", "document_id", "page_number", "line"]
     none = lambda f: F.lit(False) if f.name == "heading" else F.lit(None)
     plain = lines.where("common").select(*key, *[(known.letters(F.col("t")) if f.name == "rest" else none(f)).cast(f.dataType).alias(f.name) for f in EDGE.fields])
     return plain.unionByName(lines.where("not common").select(*key, read("t").alias("x")).select(*key, "x.*"))
@@ -263,21 +267,21 @@ def _folded_titles(titles: DataFrame, known: Confusions) -> DataFrame:
     return titles.where(F.trim("title") != "").withColumn("rest", fold_all("title")).where(F.length("rest") >= 3)
 
 
-def read_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN) -> DataFrame:
-    """edge_lines() of pages, up to the length that a running head may have; cut, as it is small and read several times."""
+def head_texts(pages: DataFrame, books: DataFrame, chapters: DataFrame) -> DataFrame:
+    """line_texts() of pages, up to the length that a running head may have."""
     longest = max((r[0] or 0) for r in books.select(F.length("title").alias("n")).unionByName(chapters.select(F.length("title").alias("n"))).agg(F.max("n")).collect())
-    return cut(edge_lines(pages, HEAD_FACTOR * longest + HEAD_MORE, known))
+    return line_texts(pages, HEAD_FACTOR * longest + HEAD_MORE)
 
 
-def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN, edges: DataFrame | None = None) -> DataFrame:
+def page_edges(pages: DataFrame, books: DataFrame, chapters: DataFrame, known: Confusions = KNOWN, lines: DataFrame | None = None) -> DataFrame:
     """(id, line, noise) of the lines at head and foot of pages that are running heads or page numbers.
 
     pages: id, document_id, page_number, text. books: document_id, title. chapters: document_id, title, start_page.
-    edges: as read_edges() gives them. Titles are compared by equality of their folded form, an equi-join by book. A number is the page's when it keeps
+    lines: as head_texts() gives them. Titles are compared by equality of their folded form, an equi-join by book. A number is the page's when it keeps
     the distance from the page's place that most numbers of the book keep; a roman one, where the printed count has
     not begun. A title of a chapter on the page where it opens, or with its word and number before it, is its heading.
     """
-    edges = read_edges(pages, books, chapters, known) if edges is None else edges
+    edges = cut(edge_lines(head_texts(pages, books, chapters) if lines is None else lines, known))
     of = lambda text: F.xxhash64("document_id", text)  # noqa: E731  # slim keys of a book's titles; 64 bits for a book's few lines
     titles = books.select("document_id", "title", F.lit(None).cast("int").alias("start_page"), F.lit(True).alias("book")).unionByName(chapters.select("document_id", "title", "start_page", F.lit(False).alias("book")))
     titles = _folded_titles(titles, known).groupBy(of("rest").alias("h")).agg(F.max("book").alias("book"), F.collect_set("start_page").alias("starts"))
@@ -356,30 +360,38 @@ def _value_of(group: str) -> int:
     return sum(xxhash.xxh64_intdigest(c.encode(), seed=42) % VALUES for c in group)
 
 
-def _plain(words: DataFrame) -> DataFrame:
+def _is_plain() -> Column:
     """Words of three characters or more that may be misread; shorter ones can't be told from the numbers of exercises, as "1a"."""
-    return words.where((F.length("word") >= 3) & (F.instr("word", "-") == 0) & ~F.col("word").rlike(ORDINAL) & F.col("word").rlike(r"[\p{L}]")).withColumn("h", anagram(F.col("word")))
+    return (F.length("word") >= 3) & (F.instr("word", "-") == 0) & ~F.col("word").rlike(ORDINAL) & F.col("word").rlike(r"[\p{L}]")
+
+
+def _spread(words: DataFrame) -> DataFrame:
+    """Words over all cores, as each makes many rows and their table is small."""
+    return words.repartition(2 * words.sparkSession.sparkContext.defaultParallelism, "word")
+
+
+def _plain(words: DataFrame) -> DataFrame:
+    return words.where(_is_plain()).withColumn("h", anagram(F.col("word")))
 
 
 def exchanges(words: DataFrame) -> DataFrame:
     """(a, b, rare, near, rights): how many words of `words` become a more frequent one when a at one place is exchanged for b, both of up to two characters.
 
     rare are those of which the other is RATIO times as frequent, near the others, rights the different words that
-    rare ones become. Two words meet where what is left of both, without a and b, has the same hash at the same place.
+    rare ones become. Two words meet where what is left of both before and behind a and b has the same hash.
     """
-    n = F.length("word")
-    at = F.explode(F.flatten(F.transform(F.sequence(F.lit(0), n), lambda i: F.transform(F.sequence(F.lit(0), F.least(F.lit(2), n - i)), lambda k: F.struct(i.alias("i"), F.substr(F.col("word"), i + 1, k).alias("g"))))))
-    cuts = _plain(words).where(n >= 4).select("word", "n", "h", at.alias("x")).select("word", "n", "x.i", "x.g", F.pmod(F.col("h") - F.when(F.col("x.g") == "", F.lit(0)).otherwise(anagram(F.col("x.g"))), F.lit(SUMS)).alias("rest"))
-    left = cuts.select(F.col("word"), "n", "i", F.col("g").alias("a"), "rest")
-    right = cuts.where("n >= 3").select(F.col("word").alias("right"), F.col("n").alias("m"), "i", F.col("g").alias("b"), "rest")
-    met = left.join(right.hint("shuffle_hash"), ["rest", "i"]).where((F.col("m") > F.col("n")) & (F.col("a") != F.col("b")))
-    # Nothing at either end of a and b is the same, so that each exchange is found once; and the rest is equal in its order.
+    n, word = F.length("word"), F.col("word")
+    places = F.flatten(F.transform(F.sequence(F.lit(0), n), lambda i: F.transform(F.sequence(F.lit(0), F.least(F.lit(2), n - i)), lambda k: F.struct(F.substr(word, i + 1, k).alias("g"), F.xxhash64(F.substr(word, F.lit(1), i), F.substr(word, i + k + 1)).alias("rest"), ((i > 0) & (i + k < n)).alias("within")))))
+    cuts = _spread(words).where((n >= 4) & _is_plain()).select("n", F.xxhash64("word").alias("w"), F.explode(places).alias("x")).select("n", "w", "x.g", "x.rest", "x.within")
+    left = cuts.select("rest", "within", F.col("g").alias("a"), "n")
+    right = cuts.where("n >= 3").select("rest", F.col("g").alias("b"), F.col("n").alias("m"), F.col("w").alias("right"))
+    met = left.join(right.hint("shuffle_hash"), "rest").where((F.col("m") > F.col("n")) & (F.col("a") != F.col("b")))
+    # Nothing at either end of a and b is the same, so that each exchange is found once.
     ends = (F.col("a") == "") | (F.col("b") == "") | (F.left("a", F.lit(1)) != F.left("b", F.lit(1))) & (F.right("a", F.lit(1)) != F.right("b", F.lit(1)))
-    same = F.concat(F.substr(F.col("word"), F.lit(1), F.col("i")), F.substr(F.col("word"), F.col("i") + F.length("a") + 1)) == F.concat(F.substr(F.col("right"), F.lit(1), F.col("i")), F.substr(F.col("right"), F.col("i") + F.length("b") + 1))
     # What is only added or lost is one character within a word: at their ends words are inflected, or joined with others.
-    within = (F.col("a") != "") & (F.col("b") != "") | (F.length("a") + F.length("b") == 1) & (F.col("i") > 0) & (F.col("i") + F.length("a") < F.length("word"))
+    inside = (F.col("a") != "") & (F.col("b") != "") | (F.length("a") + F.length("b") == 1) & F.col("within")
     rare = F.col("m") >= RATIO * F.col("n")
-    return met.where(ends & same & within).groupBy("a", "b").agg(F.count_if(rare).alias("rare"), F.count_if(~rare).alias("near"), F.countDistinct(F.when(rare, F.col("right"))).alias("rights"))
+    return met.where(ends & inside).groupBy("a", "b").agg(F.count_if(rare).alias("rare"), F.count_if(~rare).alias("near"), F.countDistinct(F.when(rare, F.col("right"))).alias("rights"))
 
 
 def learn(words: DataFrame) -> Confusions:
@@ -401,7 +413,7 @@ def corrections(words: DataFrame, known: Confusions = KNOWN) -> DataFrame:
 
     Of several, one exchange goes before two, then weighs how often the confusions and the right word occur.
     """
-    plain = _plain(words)
+    plain = _plain(_spread(words))
     single = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(_value_of(b) - _value_of(a)).cast("bigint").alias("d"), F.lit(math.log(w)).alias("w")) for (a, b), w in zip(known.pairs, known.weights, strict=True)])
     possible = F.filter(single, lambda c: (c["a"] == "") | (F.instr(F.col("word"), c["a"]) > 0))
     none = F.struct(F.lit("").alias("a"), F.lit("").alias("b"), F.lit(0).cast("bigint").alias("d"), F.lit(0.0).alias("w"))
@@ -411,7 +423,9 @@ def corrections(words: DataFrame, known: Confusions = KNOWN) -> DataFrame:
     keyed = pairs.where((F.col("c2.a") == "") & (F.col("c2.b") == "") | (F.col("c1.a") <= F.col("c2.a"))).select("word", "n", F.pmod(F.col("h") + F.col("c1.d") + F.col("c2.d"), F.lit(SUMS)).alias("h"), F.col("c1.a").alias("a1"), F.col("c1.b").alias("b1"), F.col("c2.a").alias("a2"), F.col("c2.b").alias("b2"), (F.col("c1.w") + F.col("c2.w")).alias("w"))
     frequent = plain.where("n >= 3").select(F.col("word").alias("right"), F.col("n").alias("m"), "h")
     odd_ = lambda c: F.col(c).rlike(known.odd)
-    found = keyed.join(frequent, "h").where((F.col("m") >= RATIO * F.col("n")) | odd_("word") & ~odd_("right"))
+    # A word has some hundred keys, of which hardly one meets a word: they are dropped where they are made, if they can be.
+    few = frequent.limit(BROADCAST_WORDS + 1).count() <= BROADCAST_WORDS
+    found = keyed.join(F.broadcast(frequent) if few else frequent, "h").where((F.col("m") >= RATIO * F.col("n")) | odd_("word") & ~odd_("right"))
     # Equal hashes are anagrams, not yet exchanges: the exchange must be possible at places in order.
     found = found.where(_exchanges("word", "right", "a1", "b1", "a2", "b2"))
     two = F.when((F.col("a2") == "") & (F.col("b2") == ""), 0).otherwise(1)
@@ -493,16 +507,17 @@ def look(pages: DataFrame, books: DataFrame, chapters: DataFrame, words: DataFra
     raw = cut(raw_counts(rows))
     words = cut(words_of(raw)) if words is None else words
     known = learn(words)
-    edges = read_edges(rows, books, chapters, known)
-    lines = cut(page_edges(rows, books, chapters, known, edges))
+    texts = head_texts(rows, books, chapters)
+    lines = cut(page_edges(rows, books, chapters, known, texts))
     # The texts are read once for the misread words; what is found is small and read several times.
     wrong = cut(wrong_tokens(raw, corrections(words, known)))
-    found = cut(misread_words(rows, wrong))
+    found = misread_words(rows, wrong)
     # Words of heads and page numbers don't count.
-    at_edges = edges.select("id", "line", F.explode(raw_tokens(F.col("t"))).alias("raw"))
-    heads = _wrong_in(at_edges, wrong).join(lines.select("id", "line").distinct(), ["id", "line"], "left_semi").groupBy("id", "word").agg(F.count(F.lit(1)).alias("h"))
+    at_edges = texts.select("id", "line", F.explode(raw_tokens(F.col("t"))).alias("raw"))
+    # Cut before the semi-join, which Catalyst would otherwise push below the tokens and shuffle all of them for.
+    heads = cut(_wrong_in(at_edges, wrong)).join(lines.select("id", "line").distinct(), ["id", "line"], "left_semi").groupBy("id", "word").agg(F.count(F.lit(1)).alias("h"))
     left = F.col("n") - F.coalesce("h", F.lit(0))
-    misread = found.join(heads, ["id", "word"], "left").select("id", "word", "right", left.alias("n")).where("n > 0")
+    misread = cut(found.join(heads, ["id", "word"], "left").select("id", "word", "right", left.alias("n")).where("n > 0"))
     return Noise(lines, trusted(misread, known), broken_words(rows, words, known))
 
 

@@ -140,7 +140,7 @@ def test_lines_read_jvm_side_are_read_alike(spark):
     words = WORDS + ["I", "O", "l", "x", "mix", "Chapter", "Page", "12", "4th", "g@rden", "cornmon", "“so”", "it’s", "बगीचा", "क़लम", "वन।", "२स", "प्रकरण", "–", "|", "-", "é", "(iv)", "[7]", "...", "Unit:"]
     lines = [" ".join(rng.choice(words) for _ in range(rng.randrange(1, 7))) for _ in range(3000)]
     pages = spark.createDataFrame([(str(i), "b", i, t, None) for i, t in enumerate(lines)], "id string, document_id string, page_number int, text string, metadata string")
-    rows = {r.id: r for r in S.edge_lines(pages).collect()}
+    rows = {r.id: r for r in S.edge_lines(S.line_texts(pages)).collect()}
     assert len(rows) == len(lines)
     for i, t in enumerate(lines):
         want = S.read_edge(t)
