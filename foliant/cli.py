@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import fnmatch
 import json
 import os
 import sys
@@ -74,6 +75,8 @@ def _print(rows: DataFrame) -> int:
 def _ingest(a: argparse.Namespace, store: Store, embedder: embedding.Embedder) -> int:
     if not os.path.exists(a.source) and "://" not in a.source:
         raise ValueError(f"there is no {a.source}")
+    if os.path.isfile(a.source) and not fnmatch.fnmatch(a.source, "*.json" if a.command == "ingest-json" else a.glob):
+        raise ValueError(f"{a.source} is not a file of this kind")
     given = {m: v for m in ingest.METADATA if (v := getattr(a, m))}
     o = ingest.Options(given, a.reindex, a.dry_run or a.validate_only, None if a.validate_only else a.export_json)
     if a.command == "ingest-json":
@@ -83,7 +86,7 @@ def _ingest(a: argparse.Namespace, store: Store, embedder: embedding.Embedder) -
         report = ingest.ingest_json(store, a.source, embedder, o)
     else:
         if a.validate_only:
-            return int(_print(files.scan(store.spark, a.source, a.glob).drop("content")) == 0)
+            return int(_print(files.listing(store.spark, a.source, a.glob)) == 0)
         readers = [(m, files.reader_of(m)) for m in a.reader or READERS]
         report = ingest.ingest_files(store, a.source, readers, embedder, o, a.glob)
     _print(report)
@@ -102,7 +105,7 @@ def _run(a: argparse.Namespace, spark: SparkSession) -> int:
         filters = {n: getattr(a, n) for n in [*search.EXACT, *search.WITHIN]}
         b = store.read("documents").select(F.col("id").alias("document_id"), "school_name", "class_name", "grade", "board", "subject", "book_title", "language")
         vectors = embedding.of_model(store.read("vectors"), embedder)
-        found = search.hybrid(store.read("chunks").join(b, "document_id"), vectors, a.query, embedding.embed_query(a.query, embedder), a.top_k, filters)
+        found = search.hybrid(store.read("chunks").join(b, "document_id"), vectors, a.query, embedding.embed_query(a.query, embedder), a.top_k, filters, attributes=search.ATTRIBUTES)
         _print(found.select(F.round("final_score", 4).alias("score"), "chunk_id", "source_label", F.substring(X.squeeze(F.col("content")), 1, 260).alias("preview"), X.citation(F.col("book_title"), F.col("page_start"), F.col("page_end")).alias("citation")))
     elif a.command == "validate":
         found = validate.violations(*[store.read(n) for n in ("documents", "pages", "book_chapters", "book_subsections", "chunks", "vectors")])

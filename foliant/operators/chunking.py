@@ -310,7 +310,7 @@ def placed_units(slim: DataFrame, records: DataFrame) -> DataFrame:
     topic = F.coalesce(told, F.when(F.col("has") & (F.col("u") == 0), F.coalesce("r_section_title", "r_lesson_title", "r_chapter_title", F.lit("")))).alias("topic")
     events = events.select("document_id", "page_number", "u", "n", F.floor(F.col("page_number") / BIN_PAGES).alias("bin"), *[F.when(F.col("has"), F.coalesce(f"r_{c}", F.lit(""))).otherwise(own[c]).alias(c) for c in KEY_TITLES + numbers], topic)
     order = ["page_number", "u"]
-    known = carried(sums_before(events, "document_id", "bin", order, F.lit(1), "g"), "document_id", "bin", order, KEY_TITLES + PLACE)
+    known = carried(events, "document_id", "bin", order, KEY_TITLES + PLACE, "g")
     w = Window.partitionBy("document_id", "bin").orderBy(*order)
     titles = lambda suffix="": F.struct(*[F.coalesce(f"{c}{suffix}", F.lit("")).alias(c) for c in KEY_TITLES])
     before = F.when(F.row_number().over(w) == 1, titles("_in")).otherwise(F.lag(titles()).over(w))
@@ -392,7 +392,7 @@ def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: st
 
 def enrich(chunks: DataFrame, books: DataFrame) -> DataFrame:
     """Chunks with the attributes that search and citation need, in one projection over chunks that were cut once."""
-    b = books.select(F.col("id").alias("document_id"), "book_title", "title", "school_name", "class_name", "grade", "board", "subject", "language")
+    b = books.select(F.col("id").alias("document_id"), "book_title", "title", "school_name", "class_name", "grade", "board", "subject", "language", (F.col("medium") if "medium" in books.columns else F.lit(None).cast("string")).alias("medium"))
     c, kind = F.col("content"), F.col("chunk_type")
     rows = cut(chunks).join(b, "document_id", "left").withColumn("chunk_type", X.content_type(c)).withColumn("book_title", F.coalesce(F.nullif("book_title", F.lit("")), F.nullif("title", F.lit("")), F.lit("Untitled Book")))
     rows = rows.withColumn("keywords", X.keywords(c)).withColumn("formulas", X.formulas(c)).withColumn("numbers", X.numbers(c)).withColumn("question_types", X.question_types(c)).withColumn("detected_language", X.script_language(c))
@@ -401,10 +401,12 @@ def enrich(chunks: DataFrame, books: DataFrame) -> DataFrame:
     label = {"School": F.col("school_name"), "Class": F.coalesce("class_name", "grade"), "Book": F.col("book_title"), "Subject": F.col("subject"), "Grade": F.coalesce("grade", "class_name"), "Board": F.col("board"), "Language": F.coalesce("language", "detected_language"), "Chapter": F.col("chapter_title"), "Unit": F.col("unit_title"), "Lesson": F.col("lesson_title"), "Section": F.col("section_title"), "Topic": F.coalesce("topic", "section_title", "lesson_title", "chapter_title"), "Chunk Type": kind, "Pages": F.concat_ws("-", "page_start", "page_end")}
     flags = {k: v for k, v in f.items() if k not in ("has_formula", "has_numbers", "has_questions")} | {"has_formula": f["has_formula"] | (F.size("formulas") > 0), "has_numbers": f["has_numbers"] | (F.size("numbers") > 0), "has_questions": f["has_questions"] | (F.size("question_types") > 0), "has_devanagari": X.devanagari_count(c) > 0, "has_english": X.latin_count(c) > 0}
     out = rows.select(
-        F.sha2(F.concat_ws("|", "document_id", "chunk_index"), 256).alias("id"), *chunks.columns, "chunk_type", X.pedagogical_role(kind, f["has_examples"]).alias("pedagogical_role"),
+        F.sha2(F.concat_ws("|", "document_id", "chunk_index"), 256).alias("id"), *chunks.columns, "book_title", "school_name", "class_name", "subject", "grade", "board", "medium", F.coalesce("language", "detected_language").alias("language"), "chunk_type", F.lit(None).cast("string").alias("difficulty_level"), X.pedagogical_role(kind, f["has_examples"]).alias("pedagogical_role"),
         F.when(kind.isin("poem", "story", "vocabulary", "grammar_rule"), "language").when(kind.isin("worked_example", "formula"), "math").otherwise(X.content_domain(F.col("subject"))).alias("content_domain"),
         X.embedding_input(label, c).alias("content_for_embedding"), X.summary(c).alias("summary"), "keywords", "important_terms", "formulas", "numbers", "question_types", "detected_language",
         X.word_count(c).alias("word_count"), X.regex_token_count(c).alias("token_count"), F.length(c).alias("char_count"), *[v.alias(k) for k, v in flags.items()],
         X.source_label(F.col("book_title"), [F.col("chapter_title"), F.col("section_title"), F.col("lesson_title"), F.col("unit_title")], F.col("page_start"), F.col("page_end")).alias("source_label"), X.citation(F.col("book_title"), F.col("page_start"), F.col("page_end")).alias("citation_text"),
     )
-    return out.withColumn("embedding_input_hash", F.sha2("content_for_embedding", 256))
+    out = out.withColumn("embedding_input_hash", F.sha2("content_for_embedding", 256))
+    about = ["embedding_input_hash", "school_name", "class_name", "book_title", F.sequence("page_start", "page_end").alias("source_pages"), "chapter_number", "chapter_title", "unit_number", "unit_title", "section_number", "section_title"]
+    return out.withColumn("metadata", F.to_json(F.struct(*about)))

@@ -287,7 +287,7 @@ REPAIRED = "document_id string, id string, pdf_start_page int, pdf_end_page int,
 
 
 def repair_book(rows: list[dict], last_page: int, answers: int | None, contents: set[int]) -> None:
-    """Sets start, end and source of a book's records, which are in the order of detection, as the reference does.
+    """Sets start, end and source of a book's records, which are in the order of detection.
 
     Each has id, no, own, printed, section, chapter (whether it is one, has a chapter's title), title, at (pages that bear
     the title, sorted) and near (pages with it in a wider head).
@@ -321,7 +321,7 @@ def repair_book(rows: list[dict], last_page: int, answers: int | None, contents:
 
 
 def _mode(offsets: list[int]) -> tuple[int, int]:
-    return min(((o, offsets.count(o)) for o in set(offsets)), key=lambda x: (-x[1], x[0]), default=(0, 0))
+    return min(Counter(offsets).items(), key=lambda x: (-x[1], x[0]), default=(0, 0))
 
 
 def _section_offset(rows: list[dict], last_page: int, contents: set[int]) -> int | None:
@@ -344,7 +344,7 @@ def _book_offset(rows: list[dict]) -> int | None:
 
 
 def repair_whole(records: DataFrame, pages: DataFrame, text: str = "raw_text") -> DataFrame:
-    """(document_id, id, pdf_start_page, pdf_end_page, source): the whole repair, in the reference's order.
+    """(document_id, id, pdf_start_page, pdf_end_page, source): the whole repair, step by step.
 
     A record for the answers is added where a book has none and its pages show them; titles are looked for on the pages;
     answers that begin earlier move; the offset of sections, else that of the first chapter, of printed page 1 or of most
@@ -386,7 +386,7 @@ def repair_ranges(records: DataFrame, pages: DataFrame, text: str = "raw_text")
     In the order of their numbers, each record opens on the first page after the one before it that bears its title;
     where none does its own start stays. The most frequent offset of starts to printed numbers then fills what is
     missing, and moves a start by up to NEAR pages to a page that bears the title. The title as a line counts alone, and
-    there is no record added: the reference's whole repair is repair_whole().
+    there is no record added: the whole repair is repair_whole().
     """
     slim = records.where(structure.display_title().isNotNull()).select("document_id", "id", X.safe_int(F.regexp_extract("chapter_number", r"(\p{Nd}+)", 1)).alias("no"), F.col("pdf_start_page").alias("own"), F.col("printed_start_page").alias("printed")).dropDuplicates(["document_id", "id"])
     found = openings(pages, records, text)

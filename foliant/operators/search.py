@@ -23,8 +23,10 @@ VECTOR, KEYWORD, METADATA = 0.70, 0.20, 0.10
 SCORES = {"school_name": 0.25, "book_title": 0.20, "subject": 0.25, "grade": 0.20, "class_name": 0.20, "language": 0.20}
 TERM, KIND = 0.20, 0.15
 KINDS = ["definition", "explanation", "example", "activity", "grammar_rule", "worked_example"]
-#: Weights of a hit by field class.
+#: Weights of a hit by field class, the class of each field a chunk may have, and the attributes of its book that a query may match.
 CLASS_WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
+FIELDS = {"chapter_title": "A", "unit_title": "A", "lesson_title": "A", "section_title": "A", "subsection_title": "A", "topic": "B", "content": "C"}
+ATTRIBUTES = ["school_name", "class_name", "book_title", "subject", "grade", "board", "language"]
 
 
 def condition(filters: dict[str, str | None], columns: list[str]) -> Column:
@@ -143,10 +145,14 @@ def lexeme_table(chunks: DataFrame, fields: dict[str, str]) -> DataFrame:
     return chunks.select("*", F.explode(_lexed(fields)).alias("_x")).select(*chunks.columns, "_x.t", "_x.w")
 
 
-def keyword_top(chunks: DataFrame, query: str, limit: int, fields: dict[str, str], filters: dict | None = None) -> DataFrame:
+def fields_of(columns: list[str]) -> dict[str, str]:
+    return {c: w for c, w in FIELDS.items() if c in columns}
+
+
+def keyword_top(chunks: DataFrame, query: str, limit: int, fields: dict[str, str], filters: dict | None = None, attributes: list[str] | None = None) -> DataFrame:
     """(chunk_id, keyword_score): chunks by cover density over `fields` (column to class A to D), ties by chunk_id.
 
-    A chunk without any of the wanted words is left out JVM-side; Python ranks the rest in Arrow batches. Chunks that
+    A chunk that doesn't match itself, but by `attributes`, columns of its book, has the score 0. A chunk without any of the wanted words is left out JVM-side; Python ranks the rest in Arrow batches. Chunks that
     come from lexeme_table() are not taken apart again.
     """
     q = parse_query(query)
@@ -154,19 +160,27 @@ def keyword_top(chunks: DataFrame, query: str, limit: int, fields: dict[str, str
         return chunks.select(F.col("id").alias("chunk_id"), F.lit(0.0).alias("keyword_score")).limit(0)
     any_group = lambda has: reduce(or_, [reduce(and_, [has(w) for p in g for w in p]) for g in q.groups])
 
+    def score(t: list[str], w: list[float], a: list[str]) -> float | None:
+        own = cover_density(t, w, q)
+        return 0.0 if own is None and len(a) and cover_density(a, [1.0] * len(a), q) is not None else own
+
     @F.pandas_udf(T.DoubleType())
-    def rank(ts: pd.Series, ws: pd.Series) -> pd.Series:
-        return pd.Series([cover_density(list(t), list(w), q) for t, w in zip(ts, ws, strict=True)], dtype="float64")
+    def rank(ts: pd.Series, ws: pd.Series, attrs: pd.Series) -> pd.Series:
+        return pd.Series([score(list(t), list(w), list(a)) for t, w, a in zip(ts, ws, attrs, strict=True)], dtype="float64")
 
     rows = chunks.where(condition(filters or {}, chunks.columns))
+    about = F.concat_ws(" ", *attributes) if attributes else F.lit("")
+    of_book = lexemes(about) if attributes else F.expr("cast(array() as array<string>)")
     if {"t", "w"} <= set(chunks.columns):
         lexed = F.array(F.struct("t", "w"))  # as lexeme_table() stores them
     else:
         # Most texts lack the words even as parts of others, and are not taken apart at all.
         text = F.lower(F.concat_ws(" ", *fields))
-        rows, lexed = rows.where(any_group(lambda w: F.contains(text, F.lit(w)))), _lexed(fields)
-    rows = rows.select("id", F.explode(F.filter(lexed, lambda x: any_group(lambda w: F.array_contains(x["t"], w)))).alias("x"))
-    ranked = rows.select(F.col("id").alias("chunk_id"), rank.asNondeterministic()("x.t", "x.w").alias("keyword_score"))
+        in_book = any_group(lambda w: F.contains(F.lower(about), F.lit(w))) if attributes else F.lit(False)
+        rows, lexed = rows.where(any_group(lambda w: F.contains(text, F.lit(w))) | in_book), _lexed(fields)
+    all_ = F.transform(lexed, lambda x: F.struct(x["t"].alias("t"), x["w"].alias("w"), of_book.alias("a")))
+    rows = rows.select("id", F.explode(F.filter(all_, lambda x: any_group(lambda w: F.array_contains(x["t"], w)) | any_group(lambda w: F.array_contains(x["a"], w)))).alias("x"))
+    ranked = rows.select(F.col("id").alias("chunk_id"), rank.asNondeterministic()("x.t", "x.w", "x.a").alias("keyword_score"))
     return ranked.where(F.col("keyword_score").isNotNull() & ~F.isnan("keyword_score")).orderBy(F.desc("keyword_score"), "chunk_id").limit(limit)
 
 
@@ -188,11 +202,11 @@ def metadata_score(columns: list[str], query: str, filters: dict[str, str | None
     return F.least(F.lit(1.0), sum(parts, F.lit(0.0)))
 
 
-def hybrid(chunks: DataFrame, vectors: DataFrame, query: str, query_vector: list[float], top_k: int = 8, filters: dict | None = None, fields: dict[str, str] | None = None) -> DataFrame:
-    """The best chunks by the weighted sum of their scores. chunks holds the attributes of their books as columns."""
+def hybrid(chunks: DataFrame, vectors: DataFrame, query: str, query_vector: list[float], top_k: int = 8, filters: dict | None = None, fields: dict[str, str] | None = None, attributes: list[str] | None = None) -> DataFrame:
+    """The best chunks by the weighted sum of their scores. chunks holds the attributes of their books as columns; fields are by default those of FIELDS that it has."""
     filters = {k: v for k, v in (filters or {}).items() if v}
-    fields = fields or {"chapter_title": "A", "content": "C"}
-    found = merge_scores(vector_top(chunks, vectors, query_vector, max(3 * top_k, top_k), filters), keyword_top(chunks, query, max(3 * top_k, top_k), fields, filters))
+    fields = fields or fields_of(chunks.columns)
+    found = merge_scores(vector_top(chunks, vectors, query_vector, max(3 * top_k, top_k), filters), keyword_top(chunks, query, max(3 * top_k, top_k), fields, filters, attributes))
     # At most 6 * top_k candidates: small by construction.
     rows = chunks.join(F.broadcast(found), chunks["id"] == found["chunk_id"])
     scored = rows.withColumn("metadata_score", metadata_score(chunks.columns, query, filters))

@@ -21,6 +21,11 @@ def scan(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFr
     return files.select("path", F.sha2("content", 256).alias("file_hash"), F.col("length").alias("file_size_bytes"), *[c.alias(k) for k, c in X.path_metadata(F.col("path")).items()], "content")
 
 
+def listing(spark: SparkSession, path: str, glob: str = "*.[pP][dD][fF]") -> DataFrame:
+    """scan() without the contents, in the order of the paths."""
+    return scan(spark, path, glob).drop("content").orderBy("path")
+
+
 def unseen(files: DataFrame, documents: DataFrame) -> DataFrame:
     """Files whose hash no document has."""
     return files.join(documents.select("file_hash").where("file_hash is not null").distinct(), "file_hash", "left_anti")
@@ -36,7 +41,10 @@ def reader_of(module: str) -> PageReader:
         lib = importlib.import_module(module)
         if module == "fitz":
             with lib.open(stream=content, filetype="pdf") as doc:
-                yield from (page.get_text("text", sort=True) or "" for page in doc)
+                for page in doc:
+                    text = page.get_text("text", sort=True) or ""
+                    # Some files give no running text but blocks, top down and from the left.
+                    yield text if text.strip() else "\n".join(b[4] for b in sorted(page.get_text("blocks"), key=lambda b: (b[1], b[0])) if isinstance(b[4], str))
         else:
             yield from (page.extract_text() or "" for page in lib.PdfReader(io.BytesIO(content)).pages)
 

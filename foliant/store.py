@@ -21,7 +21,7 @@ SCHEMAS = {
     "pages": "id string, document_id string, page_number int, raw_text string, cleaned_text string, detected_language string, word_count int, token_count int, has_text boolean, has_math boolean, has_table_like_text boolean, has_devanagari boolean, has_english boolean, extraction_method string, extraction_quality string, metadata string, created_at timestamp",
     "book_chapters": f"id string, document_id string, {_PLACE}, section_key string, structure_type string, printed_start_page int, printed_end_page int, pdf_start_page int, pdf_end_page int, detected_by string, confidence double, metadata string, created_at timestamp, updated_at timestamp",
     "book_subsections": f"id string, document_id string, {_PLACE}, subsection_number string, subsection_title string, anchor_marker string, pdf_start_page int, pdf_end_page int, page_count int, page_numbers array<int>, subsection_text string, text_length_chars int, include_in_embeddings boolean, quality_flags array<string>, metadata string, created_at timestamp, updated_at timestamp",
-    "chunks": "id string, document_id string, chunk_index int, page_start int, page_end int, chapter_title string, unit_title string, lesson_title string, section_title string, chapter_number string, unit_number string, section_number string, topic string, content string, chunk_type string, pedagogical_role string, content_domain string, content_for_embedding string, summary string, keywords array<string>, important_terms array<string>, formulas array<string>, numbers array<string>, question_types array<string>, detected_language string, word_count int, token_count int, char_count int, source_label string, citation_text string, created_at timestamp",
+    "chunks": "id string, document_id string, chunk_index int, page_start int, page_end int, chapter_title string, unit_title string, lesson_title string, section_title string, chapter_number string, unit_number string, section_number string, topic string, content string, chunk_type string, pedagogical_role string, content_domain string, content_for_embedding string, summary string, keywords array<string>, important_terms array<string>, formulas array<string>, numbers array<string>, question_types array<string>, detected_language string, word_count int, token_count int, char_count int, source_label string, citation_text string, metadata string, created_at timestamp",
     "raw_text_pages": f"id string, document_id string, page_number int, raw_text string, {_PLACE}, topic string, printed_page_number int, found_in string, created_at timestamp",
     "vectors": "id string, chunk_id string, document_id string, embedding_model string, embedding_dimensions int, embedding array<float>, embedding_input_hash string, created_at timestamp",
     "subsection_vectors": "id string, subsection_id string, document_id string, embedding_model string, embedding_dimensions int, embedding array<float>, embedding_input_hash string, content_for_embedding string, token_count int, text_was_truncated boolean, created_at timestamp",

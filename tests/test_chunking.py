@@ -94,13 +94,13 @@ def test_two_level_running_values(spark):
     rng = random.Random(5)
     rows = [(k, i, i // 7, rng.choice([None, None, f"v{i}"])) for k in ("a", "b") for i in range(rng.randrange(20, 60))]
     df = spark.createDataFrame(rows, "k string, i int, bin int, v string").repartition(5)
-    out = sums_before(carried(df, "k", "bin", ["i"], ["v"]), "k", "bin", ["i"], F.lit(2), "s").collect()
+    out = sums_before(carried(df, "k", "bin", ["i"], ["v"], "n"), "k", "bin", ["i"], F.lit(2), "s").collect()
     for k in ("a", "b"):
         last, place = None, 0
         for _, i, _, v in sorted(r for r in rows if r[0] == k):
             last = v if v is not None else last
             row = next(r for r in out if r.k == k and r.i == i)
-            assert (row.v, row.s) == (last, 2 * place)
+            assert (row.v, row.s, row.n) == (last, 2 * place, place)
             place += 1
     assert carried(df.limit(0), "k", "bin", ["i"], ["v"]).count() == 0
 

@@ -112,3 +112,14 @@ def test_stored_lexemes_give_the_same(spark):
     for q in ("needle", '"the garden" needle', "needle -garden", "garden or x", "zzz"):
         plain = [tuple(r) for r in search.keyword_top(chunks, q, 9, fields).collect()]
         assert [tuple(r) for r in search.keyword_top(search.lexeme_table(chunks, fields), q, 9, fields).collect()] == plain
+
+
+def test_keywords_in_the_attributes_of_the_book(spark):
+    from foliant.operators import search
+
+    chunks = spark.createDataFrame([("a", "Needles", "thread and needles", "Hill School", "State"), ("b", "Roots", "of a tree", "Hill School", "State"), ("c", "Roots", "of a hill", "Lake", None)], "id string, chapter_title string, content string, school_name string, board string")
+    run = lambda q, attrs: {r.chunk_id: r.keyword_score for r in search.keyword_top(chunks, q, 9, search.fields_of(chunks.columns), None, attrs).collect()}
+    assert run("hill", None) == {"c": pytest.approx(0.2)}
+    assert run("hill", ["school_name", "board"]) == {"a": 0.0, "b": 0.0, "c": pytest.approx(0.2)}
+    assert run('"hill school" -lake', ["school_name", "board"]) == {"a": 0.0, "b": 0.0} and run("needles", ["school_name"]) == {"a": pytest.approx(1.2 / 2, abs=0.7)}
+    assert search.fields_of(["topic", "content", "x"]) == {"topic": "B", "content": "C"}

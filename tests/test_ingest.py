@@ -104,6 +104,26 @@ def feeds():
     return read
 
 
+def test_pages_of_a_library(monkeypatch):
+    import types
+
+    class Page:
+        def __init__(self, text, blocks):
+            self.held = {"text": text, "blocks": blocks}
+
+        def get_text(self, kind, sort=False):
+            return self.held[kind]
+
+    class Doc(list):
+        __enter__ = lambda self: self
+        __exit__ = lambda self, *_: None
+
+    lib = types.ModuleType("fitz")
+    lib.open = lambda stream, filetype: Doc([Page("a page", []), Page(" ", [(0, 9, 0, 0, "below"), (0, 1, 0, 0, "above")])])
+    monkeypatch.setitem(sys.modules, "fitz", lib)
+    assert list(files.reader_of("fitz")(b"")) == ["a page", "above\nbelow"]
+
+
 def test_ingest_files(spark, tmp_path):
     folder = tmp_path / "Hill School" / "Class 6"
     folder.mkdir(parents=True)
@@ -218,6 +238,8 @@ def test_command_line(spark, source, tmp_path, capsys):
     assert run("chapter-text")[0] == 2 and run("ingest-json", str(tmp_path / "none"))[0] == 2 and run("summary", "--document-key", "zzz")[0] == 1
     assert run("summary", "--document-key", "seeds-6")[1][0]["n_pages"] == 6
     assert run("validate-json", source)[0] == 1 and run("validate-json", f"{source}/a.json", "--expect", "subsections=2")[0] == 0
+    (tmp_path / "notes.txt").write_text("x")
+    assert run("ingest", str(tmp_path / "notes.txt"))[0] == 2 and run("ingest", str(tmp_path), "--glob", "*.txt", "--validate-only")[1][0]["path"].endswith("notes.txt")
     assert run("validate")[0] in (0, 1) and run("export", str(tmp_path / "exported"))[0] == 0
     with pytest.raises(SystemExit) as e:
         cli.main([t, "fly"])
