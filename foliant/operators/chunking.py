@@ -280,7 +280,9 @@ def units(pages: DataFrame, plans: DataFrame, text: str) -> DataFrame:
             yield pd.DataFrame(out, columns=["document_id", "page_number", "u", "n", "body"])
 
     h = F.when(F.length("body") <= 160, X.heading(F.col("body")))
-    return cut(rows.where(F.col("t").isNotNull() & F.col("page_number").isNotNull() & F.col("document_id").isNotNull()).mapInPandas(split, UNITS).withColumn("h", h).select("document_id", "page_number", "u", "n", "body", "h.level", "h.number", "h.title"))
+    # The heading is written whole: its fields apart would each have it worked out anew.
+    found = rows.where(F.col("t").isNotNull() & F.col("page_number").isNotNull() & F.col("document_id").isNotNull()).mapInPandas(split, UNITS)
+    return cut(found.withColumn("h", h)).select("document_id", "page_number", "u", "n", "body", "h.level", "h.number", "h.title")
 
 
 KEY_TITLES = ["chapter_title", "unit_title", "lesson_title", "section_title"]
@@ -369,7 +371,7 @@ def chunk_books(pages: DataFrame, records: DataFrame, plans: DataFrame, text: st
     never by book.
     """
     ship(pages.sparkSession)
-    plan = plans.select("document_id", "max_tokens", "overlap_tokens")
+    plan = cut(plans.select("document_id", "max_tokens", "overlap_tokens"))  # a row a book, and read twice
     whole = units(pages, plan.withColumn("max_tokens", F.greatest("max_tokens", F.lit(2 * LEAST))), text)
     groups = groups_of(placed_units(whole.drop("body"), records), plan)
     spread = groups.select("document_id", "run", "number", "g", "n", "n1", "n2", "most", *KEY_TITLES, *PLACE, F.posexplode("places").alias("i", "p")).select("*", "p.page_number", "p.u").drop("p")
