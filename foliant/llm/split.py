@@ -13,7 +13,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliant.llm.tokens import VOCABULARY, encoded_count, encoding, ranks, ship_vocabulary
+from foliant.llm.tokens import VOCABULARY, encoding, ranks, ship_vocabulary
 
 #: Boundaries by strength; the match ends where the next piece may begin.
 BOUNDARIES = {
@@ -48,7 +48,7 @@ def cut(text: str, limit: int, overlap: int, path: str = VOCABULARY) -> list[Pie
     Prefix sums of the token lengths give each token's offset. From the start of a piece, a binary search finds the
     last boundary at or below the limit, of the strongest kind that leaves the piece at least half full, else of any kind
     but the end of a word, else that; without any, the piece is cut hard after a whole character. The next piece begins `overlap` tokens before the end, at most three
-    more where that would split a character. A piece that encodes to more than the limit on its own is cut shorter.
+    more where that would split a character, and ends beyond that end; if nothing beyond it fits, the overlap is shortened. A piece that encodes to more than the limit on its own is cut shorter.
     """
     enc = encoding(path)
     ids = enc.encode_ordinary(text)
@@ -61,31 +61,35 @@ def cut(text: str, limit: int, overlap: int, path: str = VOCABULARY) -> list[Pie
     whole = np.flatnonzero(opens[starts])  # token places at which no character is split
     at = chars[starts[whole]]  # their places in characters, in order
     kinds = {kind: whole[np.searchsorted(at, np.unique(np.minimum([m.end() for m in found.finditer(text)] or [len(text)], len(text))), "right") - 1].tolist() for kind, found in BOUNDARIES.items()}
-    n, places, out, begin = len(ids), whole.tolist(), [], 0
+    n, places, out, begin, last = len(ids), whole.tolist(), [], 0, 0
     char_of = lambda token: int(chars[starts[token]])
     while True:
         room = limit
         while True:
             stop, kind = n, "end"
             if n - begin > room:
-                stop, kind = _last_boundary(kinds, places, begin, room, overlap)
+                stop, kind = _last_boundary(kinds, places, begin, room, overlap, last)
             size = len(enc.encode_ordinary(text[char_of(begin) : char_of(stop)]))
             if size <= limit or stop <= places[bisect.bisect_right(places, begin)]:
                 break  # it fits, or is a single character
             room = min(room, stop - begin) - max(1, size - limit)
+        if stop <= last:
+            begin = places[bisect.bisect_right(places, begin)]
+            continue
         out.append(Piece(char_of(begin), char_of(stop), size, kind))
         if stop >= n:
             return out
         back = places[bisect.bisect_right(places, stop - overlap) - 1]
-        begin = back if back > begin else stop
+        begin, last = back if back > begin else stop, stop
 
 
-def _last_boundary(kinds: dict[str, list[int]], places: list[int], begin: int, room: int, overlap: int) -> tuple[int, str]:
-    natural, low = {k: at for k, at in kinds.items() if k != "word"}, begin + overlap + 1
-    for least, of in ((begin + room // 2, natural), (low, natural), (low, kinds)):
+def _last_boundary(kinds: dict[str, list[int]], places: list[int], begin: int, room: int, overlap: int, last: int) -> tuple[int, str]:
+    natural = {k: at for k, at in kinds.items() if k != "word"}
+    low = max(places[bisect.bisect_right(places, begin)] + overlap, last + 1)  # from there the next piece can begin after this one
+    for least, of in ((max(begin + room // 2, low), natural), (low, natural), (low, kinds)):
         for kind, at in of.items():
             k = bisect.bisect_right(at, begin + room) - 1
-            if k >= 0 and at[k] >= least and at[k] > begin:
+            if k >= 0 and at[k] >= least:
                 return at[k], kind
     k = bisect.bisect_right(places, begin + room) - 1
     if places[k] <= begin:  # one character of more tokens than there is room for
@@ -119,6 +123,5 @@ def split_documents(df: DataFrame, key: str, text: str, limit: int = 4000, overl
 
 
 def oversized(df: DataFrame, key: str, text: str, limit: int = 4000, overlap: int = 200, path: str = VOCABULARY) -> DataFrame:
-    """(key) of the texts that split_documents cuts with the same arguments: those of more than `limit` tokens, whatever the overlap. Nothing is cut for it."""
-    rows = df.where(F.octet_length(F.col(f"`{text}`")) > limit).select(F.col(f"`{key}`").alias("k"), encoded_count(F.col(f"`{text}`"), path).alias("n"))
-    return rows.where(F.col("n") > limit).select(F.col("k").alias(key))
+    """(key) of the texts that split_documents cuts with the same arguments, read off their first pieces: the texts are cut whole for it."""
+    return split_documents(df, key, text, limit, overlap, path).where(F.col("piece_no") == 0).select(key)

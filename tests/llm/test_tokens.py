@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from foliant.llm import split, tokens
+from foliant.llm import queries, split, tokens
 
 
 def reference(text: str) -> int:
@@ -64,3 +64,33 @@ def test_short_texts_and_tables(spark):
     assert split.split_documents(df.limit(0), "doc_id", "text").count() == 0
     with pytest.raises(ValueError):
         split.split_documents(df, "doc_id", "text", 100, 60)
+
+
+def test_found_documents_are_those_cut(spark, tmp_path):
+    long = prose(200)
+    rows = [(1, long), (2, "short"), (3, None), (4, "a b " * 1990), (5, "word " * 6000)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.p10_found(spark, str(tmp_path))
+    assert "MapInPandas" in found._jdf.queryExecution().executedPlan().toString()
+    pieces = queries.p10_pieces(spark, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in found.collect()) == sorted({r.doc_id for r in pieces}) == [i for i, t in rows if t and reference(t) > 4000]
+    of = sorted((r for r in pieces if r.doc_id == 1), key=lambda r: r.piece_no)
+    assert len(of) > 1 and of[0].piece + "".join(b.piece[a.end_char - b.start_char :] for a, b in zip(of, of[1:], strict=False)) == long
+
+
+@pytest.mark.parametrize("overlap", [95, 96, 97, 99, 100])
+def test_pieces_overlap_where_the_step_back_splits_a_character(overlap):
+    text = "\U0001f600 " * 100 + "End.\n\n" + "\U0001f600" * 2000
+    found = split.cut(text, 1000, overlap)
+    assert found[0].start == 0 and found[-1].end == len(text) and all(p.tokens <= 1000 for p in found)
+    for a, b in zip(found, found[1:], strict=False):
+        assert a.start < b.start < a.end < b.end
+        assert overlap <= reference(text[b.start : a.end]) <= overlap + 3
+
+
+@pytest.mark.parametrize(("limit", "overlap"), [(8, 3), (12, 5), (50, 24)])
+def test_pieces_go_forward_under_small_limits(limit, overlap):
+    text = "\U0001f9d1‍\U0001f33e क्षि. \U0001f600\n\n" * 60
+    found = split.cut(text, limit, overlap)
+    assert found[0].start == 0 and found[-1].end == len(text) and all(p.tokens <= limit for p in found)
+    assert all(a.start < b.start <= a.end < b.end for a, b in zip(found, found[1:], strict=False))
